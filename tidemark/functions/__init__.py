@@ -2,11 +2,13 @@
 
 from .calendar import weekday_name
 from .rates import rate, round_half_even
+from .statistics import pearson
 from .values import parse_boolean, parse_timestamp, to_double, to_long, to_text
 
 __all__ = [
     "parse_boolean",
     "parse_timestamp",
+    "pearson",
     "rate",
     "round_half_even",
     "to_double",

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import pearson
 from ..naming import ref, require_columns, type_of
 from .columns import columns_of_kind
 
@@ -38,7 +39,7 @@ def count_duplicates(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
 def correlation(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
     """One row with the Pearson correlation ``<a>_<b>`` of each pair of columns."""
     require_columns(df, [c for pair in pairs for c in pair])
-    return df.agg(*[F.corr(ref(a), ref(b)).alias(f"{a}_{b}") for a, b in pairs])
+    return df.agg(*[pearson(ref(a), ref(b)).alias(f"{a}_{b}") for a, b in pairs])
 
 
 def correlation_matrix(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -48,7 +49,7 @@ def correlation_matrix(df: DataFrame, columns: list[str] | None = None) -> DataF
     correlation with anything, itself included.
     """
     columns = require_columns(df, columns or columns_of_kind(df, "numeric"))
-    pairs = [F.corr(ref(a), ref(b)).alias(f"{a} {b}") for a, b in combinations(columns, 2)]
+    pairs = [pearson(ref(a), ref(b)).alias(f"{a} {b}") for a, b in combinations(columns, 2)]
     own = [F.when(F.min(ref(c)) < F.max(ref(c)), 1.0).alias(f"{c} {c}") for c in columns]
     measured = df.agg(*pairs, *own)
 
@@ -66,7 +67,7 @@ def describe(df: DataFrame, columns: list[str] | None = None, accuracy: int = 10
 
     Numeric and boolean columns are described as doubles, others as text with count, nulls,
     minimum and maximum. Percentiles come from a mergeable sketch of bounded size
-    with rank error ``rows / accuracy``; they are exact up to ``accuracy`` rows.
+    with rank error ``rows / accuracy``; they are exact below ``accuracy / 2`` rows.
     """
     columns = require_columns(df, columns or df.columns)
     numeric = {c for c in columns if isinstance(type_of(df, c), (T.NumericType, T.BooleanType))}
