@@ -4,6 +4,6 @@ A module's ``QUERIES`` maps a name to ``(query, sql)``; ``sql`` is None where SQ
 no counterpart. Timestamps are compared as text, counters as BIGINT.
 """
 
-from . import aggregates, joins, relational
+from . import aggregates, cleaning, files, joins, quality, relational, stages
 
-MODULES = [relational, joins, aggregates]
+MODULES = [relational, joins, aggregates, quality, cleaning, stages, files]

@@ -5,8 +5,13 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
-def _struct(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)
+_TYPES = {"BIGINT": T.LongType(), "DOUBLE": T.DoubleType(), "STRING": T.StringType(), "BOOLEAN": T.BooleanType()}
+
+
+def _struct(columns: str) -> T.StructType:
+    """``name TYPE`` pairs; unlike ``fromDDL`` this needs no session."""
+    pairs = [column.split() for column in columns.split(",")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 RAW_CAMPAIGNS = _struct(

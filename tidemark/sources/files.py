@@ -31,6 +31,22 @@ def _without(df: DataFrame, excluded: list[str] | None) -> DataFrame:
     return df.filter(~F.col("_metadata.file_name").isin(list(excluded)))
 
 
+def _sample(
+    spark: SparkSession, locations: list[str], folder: str | None, pattern: str, excluded: list[str] | None
+) -> list[str]:
+    """Where to look up columns: for a folder with exclusions, its first kept file.
+
+    Lists names only; no file is opened.
+    """
+    if not folder or not excluded:
+        return locations
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
+    first = _without(listed, excluded).agg(F.min("path").alias("path")).first()["path"]
+    if first is None:
+        raise FileNotFoundError(f"no {pattern} file is left in {folder}")
+    return [first]
+
+
 def csv_reader_options(sep: str, header: bool, multiline: bool, mode: str) -> dict[str, str]:
     return {
         "sep": sep,
@@ -47,7 +63,7 @@ def csv_reader_options(sep: str, header: bool, multiline: bool, mode: str) -> di
 def read_csv(
     spark: SparkSession,
     paths: str | list[str] | None = None,
-    schema: T.StructType | None = None,
+    schema: T.StructType | str | None = None,
     columns: list[str] | None = None,
     sep: str = ",",
     header: bool = True,
@@ -66,20 +82,22 @@ def read_csv(
     ``multiline`` allows line breaks inside quoted cells but reads each file in one task.
     """
     locations = _locations(paths, folder)
+    sample = _sample(spark, locations, folder, "*.csv", exclude)
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
     reader = spark.read.options(**csv_reader_options(sep, header, multiline, mode))
     if folder:
         reader = reader.option("pathGlobFilter", "*.csv")
-    if schema is not None:
-        if header:
-            # Reads one line of one file.
-            names = reader.option("header", "true").csv(locations).columns
-            absent = [n for n in schema.names if n not in names]
-            if absent:
-                raise ValueError(f"the file has no columns {absent}; it has {names}")
-            kinds = {f.name: f.dataType for f in schema.fields}
-            schema = T.StructType([T.StructField(n, kinds.get(n, T.StringType())) for n in names])
-        # Fail on a file whose header differs, rather than shift its columns.
-        reader = reader.schema(schema).option("enforceSchema", "false")
+    kinds = {f.name: f.dataType for f in schema.fields} if schema is not None else {}
+    if header or schema is None:
+        # Reads one line of one file.
+        names = reader.csv(sample).columns
+        absent = [n for n in kinds if n not in names]
+        if absent:
+            raise ValueError(f"the file has no columns {absent}; it has {names}")
+        schema = T.StructType([T.StructField(n, kinds.get(n, T.StringType())) for n in names])
+    # Fail on a file whose header differs, rather than shift its columns.
+    reader = reader.schema(schema).option("enforceSchema", "false")
     df = _without(reader.csv(locations), exclude)
     return df.select([ref(c) for c in require_columns(df, columns)]) if columns else df
 
@@ -127,6 +145,9 @@ def read_parquet(
     """
     locations = _locations(paths, folder)
     reader = spark.read.option("pathGlobFilter", "*.parquet") if folder else spark.read
+    if folder and exclude:
+        sample = _sample(spark, locations, folder, "*.parquet", exclude)
+        reader = reader.schema(spark.read.parquet(*sample).schema)
     df = _without(reader.parquet(*locations), exclude)
     kept = require_columns(df, columns) if columns else df.columns
     if position is None and chunk is None:
