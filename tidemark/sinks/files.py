@@ -9,6 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.records import as_table
 
+# Spark's own formats stop at milliseconds.
+_CSV_TIMES = {
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+}
+
 _MODES = {"w": "overwrite", "a": "append", "overwrite": "overwrite", "append": "append"}
 
 
@@ -27,7 +33,7 @@ def write_csv(
     """
     if not path:
         raise ValueError("no path was given")
-    options = {"sep": sep, "header": str(header).lower(), "quote": '"', "escape": '"'}
+    options = {"sep": sep, "header": str(header).lower(), "quote": '"', "escape": '"', **_CSV_TIMES}
     df.write.mode(_mode(mode)).options(nullValue="", emptyValue='""', **options).csv(path)
     return path
 
