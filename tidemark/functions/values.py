@@ -7,10 +7,13 @@ from pyspark.sql import functions as F
 
 from ..fixed_values import FALSE_WORDS, TRUE_WORDS
 
-# Accepted timestamp texts, after the day order and separators were normalised.
-_ISO_TEXT = r"^\d{4}-\d{2}-\d{2}([ T]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?)?$"
-_YEAR_FIRST = r"^(\d{4})[/.](\d{2})[/.](\d{2})(?=$|[ T])"
-_DAY_FIRST = r"^(\d{2})[-/.](\d{2})[-/.](\d{4})(?=$|[ T])"
+_TIME = r"([ T]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?)?"
+# What a plain cast reads, less its partial dates and its zones, which it would drop.
+_ISO_TEXT = rf"^\d{{4}}-\d{{2}}-\d{{2}}{_TIME}$"
+# Other separators or the day first, or blanks around.
+_OTHER_TEXT = rf"^\s*(\d{{4}}[-/.]\d{{2}}[-/.]\d{{2}}|\d{{2}}[-/.]\d{{2}}[-/.]\d{{4}}){_TIME}\s*$"
+_YEAR_FIRST = r"^(\d{4})[/.](\d{2})[/.](\d{2})"
+_DAY_FIRST = r"^(\d{2})[-/.](\d{2})[-/.](\d{4})"
 
 
 def to_long(c: Column) -> Column:
@@ -41,7 +44,9 @@ def parse_timestamp(c: Column, formats: list[str] | None = None) -> Column:
     if formats:
         parsed = [F.try_to_timestamp(c, F.lit(f)).cast("timestamp_ntz") for f in formats]
         return F.coalesce(*parsed)
-    text = F.trim(c)
-    text = F.regexp_replace(text, F.lit(_YEAR_FIRST), F.lit("$1-$2-$3"))
+    text = F.regexp_replace(F.trim(c), F.lit(_YEAR_FIRST), F.lit("$1-$2-$3"))
     text = F.regexp_replace(text, F.lit(_DAY_FIRST), F.lit("$3-$2-$1"))
-    return F.when(text.rlike(_ISO_TEXT), text.try_cast("timestamp_ntz"))
+    # ISO text, the common case, costs one match and the cast.
+    return F.when(c.rlike(_ISO_TEXT), c.try_cast("timestamp_ntz")).when(
+        c.rlike(_OTHER_TEXT), text.try_cast("timestamp_ntz")
+    )

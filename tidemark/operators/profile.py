@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
@@ -12,6 +13,8 @@ from ..functions import pearson
 from ..naming import ref, require_columns, type_of
 from .columns import columns_of_kind
 
+_PAIRS_PER_SCAN = 8
+
 
 def numeric_stats(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """One row with ``<column>_mean``, ``_min``, ``_max`` and ``_std`` (sample)."""
@@ -36,10 +39,33 @@ def count_duplicates(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
     ).withColumn("duplicates", ref("rows") - ref("distinct_rows"))
 
 
+def _correlations(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
+    """Rows ``a``, ``b``, ``r`` both ways: one aggregation per few pairs of columns.
+
+    With a dozen pairs in one aggregation the generated code outgrows what the JVM
+    compiles and runs more than ten times slower (measured), so that several short
+    scans beat a single one.
+    """
+    parts = []
+    for start in range(0, len(pairs), _PAIRS_PER_SCAN):
+        chunk = pairs[start : start + _PAIRS_PER_SCAN]
+        measured = df.agg(*[pearson(ref(a), ref(b)).alias(f"r{i}") for i, (a, b) in enumerate(chunk)])
+        rows = [
+            F.struct(F.lit(x).alias("a"), F.lit(y).alias("b"), ref(f"r{i}").alias("r"))
+            for i, (a, b) in enumerate(chunk)
+            for x, y in {(a, b), (b, a)}
+        ]
+        parts.append(measured.select(F.explode(F.array(*rows)).alias("row")).select("row.*"))
+    return reduce(DataFrame.unionAll, parts)
+
+
 def correlation(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
     """One row with the Pearson correlation ``<a>_<b>`` of each pair of columns."""
     require_columns(df, [c for pair in pairs for c in pair])
-    return df.agg(*[pearson(ref(a), ref(b)).alias(f"{a}_{b}") for a, b in pairs])
+    found = _correlations(df, pairs)
+    return found.agg(
+        *[F.max(F.when((ref("a") == a) & (ref("b") == b), ref("r"))).alias(f"{a}_{b}") for a, b in pairs]
+    )
 
 
 def correlation_matrix(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -49,17 +75,16 @@ def correlation_matrix(df: DataFrame, columns: list[str] | None = None) -> DataF
     correlation with anything, itself included.
     """
     columns = require_columns(df, columns or columns_of_kind(df, "numeric"))
-    pairs = [pearson(ref(a), ref(b)).alias(f"{a} {b}") for a, b in combinations(columns, 2)]
-    own = [F.when(F.min(ref(c)) < F.max(ref(c)), 1.0).alias(f"{c} {c}") for c in columns]
-    measured = df.agg(*pairs, *own)
-
-    def value(a: str, b: str) -> Column:
-        return ref(f"{a} {b}" if columns.index(a) <= columns.index(b) else f"{b} {a}")
-
-    rows = [
-        F.struct(F.lit(a).alias("column"), *[value(a, b).alias(b) for b in columns]) for a in columns
+    ranges = df.agg(*[(F.min(ref(c)) < F.max(ref(c))).alias(c) for c in columns])
+    own = [
+        F.struct(F.lit(c).alias("a"), F.lit(c).alias("b"), F.when(ref(c), 1.0).alias("r")) for c in columns
     ]
-    return measured.select(F.explode(F.array(*rows)).alias("row")).select("row.*")
+    found = ranges.select(F.explode(F.array(*own)).alias("row")).select("row.*")
+    pairs = list(combinations(columns, 2))
+    if pairs:
+        found = found.unionAll(_correlations(df, pairs))
+    cells = [F.max(F.when(ref("b") == c, ref("r"))).alias(c) for c in columns]
+    return found.groupBy(ref("a").alias("column")).agg(*cells)
 
 
 def describe(df: DataFrame, columns: list[str] | None = None, accuracy: int = 10_000) -> DataFrame:
