@@ -110,6 +110,7 @@ def flagship(spark, sf):
             ("l_suppkey", table(spark, sf, "supplier").filter("s_acctbal > 0"), "s_suppkey"),
             ("l_partkey", table(spark, sf, "part").filter("p_size > 25"), "p_partkey"),
         ],
+        unique_keys=True,
     )
     flags = [F.expr(c).alias(n) for n, c in _LINE_FLAGS.items()]
     return flag_rates(lines.select("l_suppkey", "l_orderkey", *flags), key="l_suppkey", id_column="l_orderkey")

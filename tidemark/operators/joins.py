@@ -42,8 +42,9 @@ def merge(
     without a partner, found against the distinct keys of the other side.
     ``unique`` (``"left"``, ``"right"`` or ``"both"``) says which side is known to
     hold each key once; where that makes the plain outer join safe it is used, and
-    the preserved side is read once instead of twice. A wrong statement only costs
-    time, not rows. The inputs must give the same rows each time they are read.
+    the preserved side is read once instead of twice. Semi and anti joins then skip
+    collapsing the copies of a key on the right. A wrong statement only costs time,
+    not rows. The inputs must give the same rows each time they are read.
     """
     if how not in _HOW:
         raise ValueError(f"how={how!r} is not one of {sorted(_HOW)}")
@@ -53,7 +54,8 @@ def merge(
     left_keys, right_keys = _keys(left, right, on, left_on, right_on)
 
     if kind in ("left_semi", "left_anti"):
-        return _match(left, left_keys, _distinct_keys(right, right_keys), kind)
+        wanted = _keys_of(right, right_keys) if unique in ("right", "both") else _distinct_keys(right, right_keys)
+        return _match(left, left_keys, wanted, kind)
 
     dropped_left = set(left_keys) if kind == "right" else set()
     dropped_right = set(right_keys) if kind in ("inner", "left") else set()
@@ -116,16 +118,19 @@ def _keys(left, right, on, left_on, right_on) -> tuple[list[str], list[str]]:
     return left_keys, right_keys
 
 
+def _keys_of(df: DataFrame, keys: list[str]) -> DataFrame:
+    """The non-null key combinations under names that clash with nothing."""
+    named = df.select([ref(k).alias(f"__match{i}") for i, k in enumerate(keys)])
+    return named.filter(reduce(lambda a, b: a & b, [ref(c).isNotNull() for c in named.columns]))
+
+
 def _distinct_keys(df: DataFrame, keys: list[str]) -> DataFrame:
-    """The non-null key combinations, each once, under names that clash with nothing.
+    """Each non-null key combination once.
 
     The distinct is aggregated before its shuffle, so copies of a hot key collapse
     early, and its partitioning is the one the join needs.
     """
-    named = df.select([ref(k).alias(f"__match{i}") for i, k in enumerate(keys)])
-    return named.filter(
-        reduce(lambda a, b: a & b, [ref(c).isNotNull() for c in named.columns])
-    ).distinct()
+    return _keys_of(df, keys).distinct()
 
 
 def _match(df: DataFrame, keys: list[str], wanted: DataFrame, how: str) -> DataFrame:
@@ -135,18 +140,26 @@ def _match(df: DataFrame, keys: list[str], wanted: DataFrame, how: str) -> DataF
     return df.join(wanted, condition, how)
 
 
-def keep_referenced(df: DataFrame, references: list[tuple[str, DataFrame, str]]) -> DataFrame:
+def keep_referenced(
+    df: DataFrame, references: list[tuple[str, DataFrame, str]], unique_keys: bool = False
+) -> DataFrame:
     """Keep the rows whose foreign keys all exist in their reference tables.
 
     ``references`` lists ``(foreign key, reference table, primary key)``; put the
     small tables first, they are broadcast by Spark's own size check and cut the
     rows that a larger one has to shuffle. A hot foreign key is split by adaptive
-    execution; null keys are dropped before any shuffle.
+    execution; null keys are dropped before any shuffle. ``unique_keys`` says that the
+    primary keys are unique, so that their copies need not be collapsed first.
+
+    Adaptive execution does not split the last join if the rows are then grouped by
+    that same key: end with another one, or set
+    ``spark.sql.adaptive.forceOptimizeSkewedJoin``.
     """
     if not references:
         raise ValueError("no reference table was given")
+    unique = "right" if unique_keys else None
     for column, table, key in references:
-        df = merge(df, table, left_on=column, right_on=key, how="semi")
+        df = merge(df, table, left_on=column, right_on=key, how="semi", unique=unique)
     return df
 
 
