@@ -138,8 +138,9 @@ def test_membership_broadcasts_one_list_for_all_columns(spark):
     assert "ReusedExchange" in plan
 
 
-def test_hot_keys_are_split(spark):
-    """A key with a third of all rows of a large join is read by several tasks."""
+@pytest.fixture
+def eager_splitting(spark):
+    """Small tables treated as large ones: no broadcast, low skew thresholds."""
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
@@ -149,24 +150,58 @@ def test_hot_keys_are_split(spark):
         "spark.sql.shuffle.partitions": "40",
     }
     before = {k: spark.conf.get(k, None) for k in settings}
-    try:
-        for k, v in settings.items():
-            spark.conf.set(k, v)
-        hot = "IF(id % 3 = 0, 7, id % 5000) AS k"
-        left = spark.range(0, 60000, 1, 8).selectExpr(hot, "id AS a")
-        right = spark.range(0, 5000, 1, 2).selectExpr("id AS k", "id AS b")
-        for how in ("inner", "left", "semi", "anti"):
-            joined = merge(left, right, on="k", how=how, unique="right")
-            joined.write.format("noop").mode("overwrite").save()
-            assert joined.count() == (0 if how == "anti" else 60000)
-            joined.collect()
-            assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString(), how
-        # The other way round the hot key is on the side an outer join cannot split.
-        for how in ("left", "full"):
-            joined = merge(right, left, on="k", how=how)
-            joined.collect()
-            plan = joined._jdf.queryExecution().executedPlan().toString()
-            assert "skew=true" in plan and "FullOuter" not in plan and "LeftOuter" not in plan
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def _executed(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+
+
+HOT = "IF(id % 3 = 0, 7, id % 5000)"
+
+
+@pytest.mark.parametrize("how, unique", [(h, u) for h in ("inner", "left", "semi", "anti") for u in (None, "right")])
+def test_hot_key_on_the_left_is_split(spark, eager_splitting, how, unique):
+    """A key with a third of all rows of a large join is read by several tasks."""
+    left = spark.range(0, 60000, 1, 8).selectExpr(f"{HOT} AS k", "id AS a")
+    right = spark.range(0, 5000, 1, 2).selectExpr("id AS k", "id AS b")
+    joined = merge(left, right, on="k", how=how, unique=unique)
+    plan = _executed(joined)
+    assert plan.count("skew=true") == plan.count("SortMergeJoin")
+    assert joined.count() == (0 if how == "anti" else 60000)
+
+
+@pytest.mark.parametrize("how", ["left", "full"])
+def test_hot_key_on_the_right_is_split(spark, eager_splitting, how):
+    """Here the hot key is on the side that an outer join does not split."""
+    left = spark.range(0, 6000, 1, 2).selectExpr("id AS k", "id AS b")
+    right = spark.range(0, 60000, 1, 8).selectExpr(f"{HOT} AS k", "id AS a")
+    joined = merge(left, right, on="k", how=how)
+    plan = _executed(joined)
+    assert "FullOuter" not in plan and "LeftOuter" not in plan
+    # The join that finds left rows without a partner meets collapsed keys: nothing to split.
+    assert plan.count("skew=true") == plan.count("SortMergeJoin") - 1
+    assert joined.count() == 60000 + 1000
+
+
+def test_hot_reference_keys_are_split(spark, eager_splitting):
+    facts = spark.range(0, 60000, 1, 8).selectExpr(f"{HOT} AS k", "id % 100 AS g", "id AS a")
+    keys = spark.range(0, 9000, 1, 4).selectExpr("id % 4000 AS k")
+    kept = keep_referenced(facts, [("k", keys, "k")])
+    assert "skew=true" in _executed(kept)
+    assert kept.count() == facts.filter("k < 4000").count()
+
+
+def test_hot_days_are_split(spark, eager_splitting):
+    day = "date_add(DATE'2020-01-01', CAST({} AS INT))"
+    facts = spark.range(0, 60000, 1, 8).selectExpr(f"IF(id % 3 = 1, NULL, {day.format(HOT)}) AS d", "id")
+    days = spark.range(0, 5000, 1, 2).selectExpr(f"{day.format('id')} AS d")
+    flagged = flag_membership(facts, ["d"], days, "d", broadcast_rows=0)
+    plan = _executed(flagged)
+    assert "skew=true" in plan and "BroadcastHashJoin" not in plan
+    assert flagged.filter("d_holiday").count() == 40000 and flagged.count() == 60000

@@ -10,6 +10,8 @@ from pyspark.sql import types as T
 
 from ..naming import ref, require_columns, type_of
 
+_TASK = "__task"
+
 _HOW = {
     "inner": "inner",
     "left": "left",
@@ -39,7 +41,9 @@ def merge(
     Adaptive execution splits a hot key of the preserved side of an outer join but
     not of the other side, and neither side of a full join. Outer joins are
     therefore written as the inner join, which splits on both sides, plus the rows
-    without a partner, found against the distinct keys of the other side.
+    without a partner, found against the collapsed keys of the other side. It splits
+    only where both inputs are shuffled for the join: write or rebalance a table that
+    was just grouped by the join's key before joining it to a skewed one.
     ``unique`` (``"left"``, ``"right"`` or ``"both"``) says which side is known to
     hold each key once; where that makes the plain outer join safe it is used, and
     the preserved side is read once instead of twice. Semi and anti joins then skip
@@ -54,7 +58,7 @@ def merge(
     left_keys, right_keys = _keys(left, right, on, left_on, right_on)
 
     if kind in ("left_semi", "left_anti"):
-        wanted = _keys_of(right, right_keys) if unique in ("right", "both") else _distinct_keys(right, right_keys)
+        wanted = _keys_of(right, right_keys) if unique in ("right", "both") else _collapsed_keys(right, right_keys)
         return _match(left, left_keys, wanted, kind)
 
     dropped_left = set(left_keys) if kind == "right" else set()
@@ -88,11 +92,11 @@ def merge(
 
     parts = left.join(renamed, condition, "inner").select(result)
     if kind in ("left", "full"):
-        alone = _match(left, left_keys, _distinct_keys(right, right_keys), "left_anti")
+        alone = _match(left, left_keys, _collapsed_keys(right, right_keys), "left_anti")
         absent = [F.lit(None).cast(type_of(right, c)).alias(n) for c, n in names.items()]
         parts = parts.unionAll(alone.select([ref(c) for c in kept_left] + absent))
     if kind in ("right", "full"):
-        alone = _match(right, right_keys, _distinct_keys(left, left_keys), "left_anti")
+        alone = _match(right, right_keys, _collapsed_keys(left, left_keys), "left_anti")
         absent = [F.lit(None).cast(type_of(left, c)).alias(c) for c in kept_left]
         parts = parts.unionAll(alone.select(absent + [ref(c).alias(n) for c, n in names.items()]))
     return parts
@@ -124,13 +128,16 @@ def _keys_of(df: DataFrame, keys: list[str]) -> DataFrame:
     return named.filter(reduce(lambda a, b: a & b, [ref(c).isNotNull() for c in named.columns]))
 
 
-def _distinct_keys(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Each non-null key combination once.
+def _collapsed_keys(df: DataFrame, keys: list[str]) -> DataFrame:
+    """The non-null key combinations, each once per input task.
 
-    The distinct is aggregated before its shuffle, so copies of a hot key collapse
-    early, and its partitioning is the one the join needs.
+    Copies of a hot key collapse before the first shuffle. A plain distinct would
+    leave the keys partitioned as the join needs them, with its aggregation between
+    shuffle and join, and then adaptive execution does not split hot keys of the
+    other side either; this way the join shuffles the remaining keys itself.
     """
-    return _keys_of(df, keys).distinct()
+    keyed = _keys_of(df, keys)
+    return keyed.withColumn(_TASK, F.spark_partition_id()).distinct().drop(_TASK)
 
 
 def _match(df: DataFrame, keys: list[str], wanted: DataFrame, how: str) -> DataFrame:

@@ -28,7 +28,8 @@ def flag_membership(
     ``broadcast_rows`` they are broadcast, once for all columns, and the flagged
     table is not shuffled. Beyond that the joins are left to Spark; the days are
     unique, so only the flagged table can be skewed, and adaptive execution splits
-    that side of a left join.
+    that side of a left join. For this the days are rebalanced, so that the join has
+    to shuffle them itself.
     """
     require_columns(df, columns)
     require_columns(days, [day_column])
@@ -36,12 +37,11 @@ def flag_membership(
         days.select(ref(day_column).cast("date").alias(_DAY)).filter(ref(_DAY).isNotNull()).distinct()
     )
     small = has_at_most(unique_days, broadcast_rows)
+    unique_days = F.broadcast(unique_days) if small else unique_days.hint("rebalance")
     inputs = df.columns
     flags = []
     for i, name in enumerate(columns):
         side = unique_days.select(ref(_DAY).alias(f"__day{i}"), F.lit(True).alias(f"__hit{i}"))
-        if small:
-            side = F.broadcast(side)
         df = df.join(side, ref(name).cast("date") == ref(f"__day{i}"), "left")
         hit = F.when(ref(name).isNotNull(), F.coalesce(ref(f"__hit{i}"), F.lit(False)))
         flags.append(hit.alias(f"{name}{suffix}"))
