@@ -7,13 +7,15 @@ from pyspark.sql import functions as F
 
 from ..fixed_values import FALSE_WORDS, TRUE_WORDS
 
-_TIME = r"([ T]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?)?"
 # What a plain cast reads, less its partial dates and its zones, which it would drop.
+_TIME = r"([ T]\d{2}:\d{2}(?::\d{2}(?:\.\d{1,9})?)?)?"
 _ISO_TEXT = rf"^\d{{4}}-\d{{2}}-\d{{2}}{_TIME}$"
-# Other separators or the day first, or blanks around.
-_OTHER_TEXT = rf"^\s*(\d{{4}}[-/.]\d{{2}}[-/.]\d{{2}}|\d{{2}}[-/.]\d{{2}}[-/.]\d{{4}}){_TIME}\s*$"
-_YEAR_FIRST = r"^(\d{4})[/.](\d{2})[/.](\d{2})"
-_DAY_FIRST = r"^(\d{2})[-/.](\d{2})[-/.](\d{4})"
+# The year or the day first, three separators, blanks around; anything else as a whole.
+_ANY_TEXT = (
+    r"(?s)^\s*(?:(\d{4})[-/.](\d{2})[-/.](\d{2})|(\d{2})[-/.](\d{2})[-/.](\d{4}))" + _TIME + r"\s*$|^.*$"
+)
+# Groups that took no part are empty, so that other text becomes "--", which is no date.
+_AS_ISO = "$1$6-$2$5-$3$4$7"
 
 
 def to_long(c: Column) -> Column:
@@ -31,7 +33,7 @@ def to_text(c: Column) -> Column:
 def parse_boolean(c: Column) -> Column:
     """True or false by word list, null for any other text."""
     word = F.lower(c.cast("string"))
-    return F.when(word.isin(TRUE_WORDS), F.lit(True)).when(word.isin(FALSE_WORDS), F.lit(False))
+    return F.when(word.isin(TRUE_WORDS + FALSE_WORDS), word.isin(TRUE_WORDS))
 
 
 def parse_timestamp(c: Column, formats: list[str] | None = None) -> Column:
@@ -44,9 +46,7 @@ def parse_timestamp(c: Column, formats: list[str] | None = None) -> Column:
     if formats:
         parsed = [F.try_to_timestamp(c, F.lit(f)).cast("timestamp_ntz") for f in formats]
         return F.coalesce(*parsed)
-    text = F.regexp_replace(F.trim(c), F.lit(_YEAR_FIRST), F.lit("$1-$2-$3"))
-    text = F.regexp_replace(text, F.lit(_DAY_FIRST), F.lit("$3-$2-$1"))
-    # ISO text, the common case, costs one match and the cast.
-    return F.when(c.rlike(_ISO_TEXT), c.try_cast("timestamp_ntz")).when(
-        c.rlike(_OTHER_TEXT), text.try_cast("timestamp_ntz")
-    )
+    # ISO text, the common case, costs one match and the cast. A single cast keeps the
+    # generated code of a table with many such columns small enough to be compiled.
+    iso = F.when(c.rlike(_ISO_TEXT), c).otherwise(F.regexp_replace(c, F.lit(_ANY_TEXT), F.lit(_AS_ISO)))
+    return iso.try_cast("timestamp_ntz")

@@ -102,29 +102,31 @@ def read_csv(
     return df.select([ref(c) for c in require_columns(df, columns)]) if columns else df
 
 
+_WHOLE, _DECIMAL, _FLAG, _TEXT = 1, 2, 4, 8
+
+
 def infer_schema(spark: SparkSession, paths: str | list[str], **options) -> T.StructType:
     """Types of CSV columns from all their values: long, double, boolean or text.
 
-    One aggregation over the files. Dates stay text.
+    Dates stay text. One aggregation over the files: the cells of a row are taken
+    apart and the kinds of value seen in each column are combined in the map tasks.
     """
     text = read_csv(spark, paths, **options)
-    kinds = {"bigint": T.LongType(), "double": T.DoubleType(), "boolean": T.BooleanType()}
-    patterns = {"bigint": r"^[+-]?\d+$", "double": r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$", "boolean": "^(true|false)$"}
-
-    def misfits(name: str, kind: str):
-        value = ref(name)
-        fits = value.rlike(patterns[kind]) & value.try_cast(kind).isNotNull()
-        return F.count_if(value.isNotNull() & ~fits)
-
-    counted = text.agg(
-        *[misfits(c, k).alias(f"{k} {i}") for i, c in enumerate(text.columns) for k in kinds],
-        *[F.count(ref(c)).alias(f"values {i}") for i, c in enumerate(text.columns)],
-    ).first()
-    fields = []
-    for i, c in enumerate(text.columns):
-        fitting = [k for k in kinds if counted[f"{k} {i}"] == 0 and counted[f"values {i}"] > 0]
-        fields.append(T.StructField(c, kinds[fitting[0]] if fitting else T.StringType()))
-    return T.StructType(fields)
+    cell = ref("cell")
+    number_like = F.ascii(cell) <= ord("9")
+    kind = (
+        F.when(cell.isin("true", "false"), _FLAG)
+        .when(number_like & cell.rlike(r"^[+-]?\d+$"), F.when(cell.try_cast("bigint").isNotNull(), _WHOLE).otherwise(_DECIMAL))
+        .when(number_like & cell.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"), _DECIMAL)
+        .when(cell.isNotNull(), _TEXT)
+    )
+    cells = text.select(F.posexplode(F.array(*[ref(c) for c in text.columns])).alias("column", "cell"))
+    kinds = cells.select("column", kind.alias("kind")).groupBy("column").agg(F.bit_or("kind").alias("kinds"))
+    seen = {r["column"]: r["kinds"] for r in kinds.collect()}
+    types = {_WHOLE: T.LongType(), _DECIMAL: T.DoubleType(), _WHOLE | _DECIMAL: T.DoubleType(), _FLAG: T.BooleanType()}
+    return T.StructType(
+        [T.StructField(c, types.get(seen.get(i), T.StringType())) for i, c in enumerate(text.columns)]
+    )
 
 
 def read_parquet(
