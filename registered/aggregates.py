@@ -217,27 +217,35 @@ def profile_describe(spark, sf):
     orders = table(spark, sf, "orders").select(
         "o_custkey", F.expr("CASE WHEN o_totalprice < 100000 THEN NULL ELSE o_totalprice END AS price"), "o_orderstatus"
     )
-    summary = describe(orders, accuracy=100_000)
+    summary = describe(orders)
     return _rounded(longs(summary, "orden"), ["o_custkey", "price"])
 
 
 def _describe_sql() -> str:
-    numbers = {"o_custkey": "o_custkey", "price": "price"}
+    numbers = ["o_custkey", "price"]
+
+    def nearest(share: float) -> str:
+        """The value whose 0-based place is the rounded share of the last one's."""
+        place = f"CAST(floor((count({{0}}) OVER () - 1) * {share} + 0.5) AS BIGINT) + 1"
+        numbered = f"row_number() OVER (ORDER BY {{0}} NULLS LAST) = {place}"
+        return f"(SELECT {{0}} FROM (SELECT {{0}}, {numbered} AS hit FROM {source}) WHERE hit)"
+
+    source = "(SELECT *, CASE WHEN o_totalprice < 100000 THEN NULL ELSE o_totalprice END AS price FROM orders)"
     statistics = [
-        ("count", "count({})", "CAST(count(o_orderstatus) AS VARCHAR)"),
-        ("null_count", "count(*) - count({})", "CAST(count(*) - count(o_orderstatus) AS VARCHAR)"),
-        ("mean", "round(avg({}), 6)", "NULL"),
-        ("std", "round(stddev_samp({}), 6)", "NULL"),
-        ("min", "min({})", "min(o_orderstatus)"),
-        *[(f"{p}%", f"quantile_disc({{}}, {p / 100})", "NULL") for p in (25, 50, 75)],
-        ("max", "max({})", "max(o_orderstatus)"),
+        ("count", "count({0})", "CAST(count(o_orderstatus) AS VARCHAR)"),
+        ("null_count", "count(*) - count({0})", "CAST(count(*) - count(o_orderstatus) AS VARCHAR)"),
+        ("mean", "round(avg({0}), 6)", "NULL"),
+        ("std", "round(stddev_samp({0}), 6)", "NULL"),
+        ("min", "min({0})", "min(o_orderstatus)"),
+        *[(f"{p}%", nearest(p / 100), "NULL") for p in (25, 50, 75)],
+        ("max", "max({0})", "max(o_orderstatus)"),
     ]
-    source = "(SELECT *, CASE WHEN o_totalprice < 100000 THEN NULL ELSE o_totalprice END AS price FROM orders)"
     rows = []
     for i, (name, number, word) in enumerate(statistics):
-        cells = ", ".join(f"CAST({number.format(c)} AS DOUBLE) AS {n}" for n, c in numbers.items())
+        cells = ", ".join(f"CAST({number.format(c)} AS DOUBLE) AS {c}" for c in numbers)
+        origin = "" if name.endswith("%") else f" FROM {source}"
         rows.append(
-            f"SELECT {i}::BIGINT AS orden, '{name}' AS statistic, {cells}, {word}::VARCHAR AS o_orderstatus FROM {source}"
+            f"SELECT {i}::BIGINT AS orden, '{name}' AS statistic, {cells}, {word}::VARCHAR AS o_orderstatus{origin}"
         )
     return " UNION ALL ".join(rows)
 

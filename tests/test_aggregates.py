@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions import rate, round_half_even
+from tidemark.operators.quantiles import exact_quantiles
 from tidemark.operators import (
     correlation,
     correlation_matrix,
@@ -184,4 +185,33 @@ def test_describe(spark):
     found = {r.statistic: r for r in describe(df).collect()}
     assert (found["count"].x, found["null_count"].s, found["mean"].x) == (101.0, "1", 51.0)
     assert [found[s].x for s in ("min", "25%", "50%", "75%", "max")] == [1.0, 26.0, 51.0, 76.0, 101.0]
+    sketched = {r.statistic: r for r in describe(df, exact=False).collect()}
+    assert [sketched[s].x for s in ("25%", "50%", "75%")] == [26.0, 51.0, 76.0]
     assert found["min"].s == "n10" and found["50%"].s is None and found["mean"].b == pytest.approx(51 / 101)
+
+
+def _nearest(values, share):
+    known = sorted(v for v in values if v is not None)
+    return known[math.floor((len(known) - 1) * share + 0.5)] if known else None
+
+
+@pytest.mark.parametrize("accuracy", [4, 20, 100, 10_000])
+@pytest.mark.parametrize(
+    "expression",
+    [
+        "pmod(xxhash64(id), 100003)",
+        "IF(id % 3 = 0, 7, pmod(xxhash64(id), 50))",
+        "IF(id % 3 = 0, NULL, -id)",
+        "id * id",
+        "5",
+        "IF(id < 2, id, NULL)",
+        "IF(id < 1, id, NULL)",
+        "CAST(NULL AS INT)",
+    ],
+)
+def test_quantiles_are_exact_even_from_coarse_sketches(spark, expression, accuracy):
+    df = spark.range(0, 3000, 1, 5).selectExpr(f"CAST({expression} AS DOUBLE) AS x")
+    shares = [0.0, 0.01, 0.25, 0.5, 0.75, 0.999, 1.0]
+    values = [r.x for r in df.collect()]
+    found = exact_quantiles(df, {"x": F.col("x")}, shares, accuracy)
+    assert found == {"x": [_nearest(values, s) for s in shares]}

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from ..functions import pearson
 from ..naming import ref, require_columns, type_of
 from .columns import columns_of_kind
+from .quantiles import exact_quantiles
 
 _PAIRS_PER_SCAN = 8
 
@@ -87,46 +88,51 @@ def correlation_matrix(df: DataFrame, columns: list[str] | None = None) -> DataF
     return found.groupBy(ref("a").alias("column")).agg(*cells)
 
 
-def describe(df: DataFrame, columns: list[str] | None = None, accuracy: int = 10_000) -> DataFrame:
+def describe(
+    df: DataFrame, columns: list[str] | None = None, exact: bool = True, accuracy: int = 10_000
+) -> DataFrame:
     """Rows ``count, null_count, mean, std, min, 25%, 50%, 75%, max`` per column.
 
-    Numeric and boolean columns are described as doubles, others as text with count, nulls,
-    minimum and maximum. Percentiles come from a mergeable sketch of bounded size
-    with rank error ``rows / accuracy``; they are exact below ``accuracy / 2`` rows.
+    Numeric and boolean columns are described as doubles, others as text with count,
+    nulls, minimum and maximum. A percentile is the value nearest to that share of the
+    way from the first to the last. The exact ones take some aggregations of their own,
+    run when this is called (see ``exact_quantiles``); otherwise they come with the
+    rest from a sketch of bounded size, with ranks off by up to ``rows / accuracy``.
     """
     columns = require_columns(df, columns or df.columns)
-    numeric = {c for c in columns if isinstance(type_of(df, c), (T.NumericType, T.BooleanType))}
-
-    def as_number(c: str) -> Column:
+    numbers: dict[str, Column] = {}
+    for c in columns:
         kind = type_of(df, c)
-        number = ref(c).cast("int") if isinstance(kind, T.BooleanType) else ref(c)
-        return number.cast("double")
+        if isinstance(kind, T.BooleanType):
+            numbers[c] = ref(c).cast("int").cast("double")
+        elif isinstance(kind, T.NumericType):
+            numbers[c] = ref(c).cast("double")
+    shares = {"25%": 0.25, "50%": 0.5, "75%": 0.75}
+    found = exact_quantiles(df, numbers, list(shares.values()), accuracy) if exact and numbers else {}
 
     measures: dict[str, Column] = {}
     for c in columns:
-        measures[f"count {c}"] = F.count(ref(c))
-        measures[f"null_count {c}"] = F.count_if(ref(c).isNull())
-        if c in numeric:
-            x = as_number(c)
-            measures |= {f"mean {c}": F.mean(x), f"std {c}": F.stddev_samp(x)}
-            measures |= {f"min {c}": F.min(x), f"max {c}": F.max(x)}
-            measures[f"percentiles {c}"] = F.percentile_approx(x, [0.25, 0.5, 0.75], accuracy)
-        else:
-            measures |= {f"min {c}": F.min(ref(c)), f"max {c}": F.max(ref(c))}
+        value = numbers.get(c, ref(c))
+        measures |= {f"count {c}": F.count(value), f"null_count {c}": F.count_if(value.isNull())}
+        measures |= {f"min {c}": F.min(value), f"max {c}": F.max(value)}
+        if c in numbers:
+            measures |= {f"mean {c}": F.mean(value), f"std {c}": F.stddev_samp(value)}
+            if not exact:
+                measures[f"percentiles {c}"] = F.percentile_approx(value, list(shares.values()), accuracy)
     measured = df.agg(*[m.alias(n) for n, m in measures.items()])
 
-    def value(statistic: str, c: str) -> Column:
-        kind = "double" if c in numeric else "string"
-        if statistic.endswith("%"):
-            position = {"25%": 0, "50%": 1, "75%": 2}[statistic]
-            found = ref(f"percentiles {c}")[position] if c in numeric else F.lit(None)
+    def cell(statistic: str, c: str) -> Column:
+        if statistic in shares and c in numbers:
+            i = list(shares).index(statistic)
+            shown = F.lit(found[c][i]) if exact else ref(f"percentiles {c}")[i]
         else:
-            found = ref(f"{statistic} {c}") if f"{statistic} {c}" in measures else F.lit(None)
-        return found.cast(kind).alias(c)
+            name = f"{statistic} {c}"
+            shown = ref(name) if name in measures else F.lit(None)
+        return shown.cast("double" if c in numbers else "string").alias(c)
 
-    statistics = ["count", "null_count", "mean", "std", "min", "25%", "50%", "75%", "max"]
+    statistics = ["count", "null_count", "mean", "std", "min", *shares, "max"]
     rows = [
-        F.struct(F.lit(i).alias("orden"), F.lit(s).alias("statistic"), *[value(s, c) for c in columns])
+        F.struct(F.lit(i).alias("orden"), F.lit(s).alias("statistic"), *[cell(s, c) for c in columns])
         for i, s in enumerate(statistics)
     ]
     return measured.select(F.explode(F.array(*rows)).alias("row")).select("row.*")
