@@ -142,6 +142,15 @@ def test_parquet_append_to_partitions(spark, rows, tmp_path):
     assert rows(read_parquet(spark, path), "a", "k") == [(1, "x"), (1, "x"), (2, "y"), (2, "y")]
 
 
+def test_partitions_have_few_files(spark, tmp_path):
+    df = spark.range(0, 4000, 1, 8).selectExpr("id % 5 AS k", "id")
+    for rebalance in (True, False):
+        path = write_parquet(df, str(tmp_path / f"p{rebalance}"), partition_by=["k"], rebalance=rebalance)
+        files = [f for _, _, names in os.walk(path) for f in names if f.endswith(".parquet")]
+        assert len(files) == (5 if rebalance else 40)
+        assert read_parquet(spark, path).count() == 4000
+
+
 def test_parquet_positions_and_chunks(spark, tmp_path):
     path = str(tmp_path / "p")
     spark.range(0, 1000, 1, 4).write.parquet(path)

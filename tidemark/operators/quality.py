@@ -11,14 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..fixed_values import (
-    EMAIL_PATTERN,
-    MINIMUM_AGE,
-    NULL_SHARE_LIMIT,
-    REPORT_FAILED,
-    REPORT_OK,
-    REPORT_TOTAL,
-)
+from .. import fixed_values as fixed
 from ..functions import parse_timestamp, rate, round_half_even
 from ..naming import ref, type_of
 
@@ -51,41 +44,41 @@ def _verdict(ok: bool, text: str) -> _Check:
 
 
 def _not_null(df, name, options):
-    return _counter("valores nulos", ref(name).isNull())
+    return _counter(fixed.TEXT_NULLS, ref(name).isNull())
 
 
 def _not_negative(df, name, options):
     _require(df, name, T.NumericType)
-    return _counter("valores negativos", ref(name) < 0)
+    return _counter(fixed.TEXT_NEGATIVE, ref(name) < 0)
 
 
 def _email(df, name, options):
-    return _counter("correos inválidos", ~ref(name).cast("string").rlike(f"(?U){EMAIL_PATTERN}"))
+    return _counter(fixed.TEXT_EMAIL, ~ref(name).cast("string").rlike(f"(?U){fixed.EMAIL_PATTERN}"))
 
 
 def _no_repeats(df, name, options):
     return _Check(
-        lambda n, total: F.concat(n.cast("string"), F.lit(" duplicados encontrados")), repeats=True
+        lambda n, total: F.concat(n.cast("string"), F.lit(f" {fixed.TEXT_DUPLICATES}")), repeats=True
     )
 
 
 def _boolean(df, name, options):
     if isinstance(type_of(df, name), T.BooleanType):
-        return _verdict(True, f"Columna '{name}' es tipo booleano.")
-    return _verdict(False, "Valores no corresponden a booleanos")
+        return _verdict(True, fixed.TEXT_BOOLEAN.format(name))
+    return _verdict(False, fixed.TEXT_NOT_BOOLEAN)
 
 
 def _date_format(df, name, options):
     kind = type_of(df, name)
     if isinstance(kind, _TEMPORAL):
-        return _verdict(True, f"Columna '{name}' ya es tipo {kind.simpleString()}")
+        return _verdict(True, fixed.TEXT_DATE_TYPE.format(name, kind.simpleString()))
     if isinstance(kind, _EPOCH):
-        return _verdict(True, f"Columna '{name}' convertida desde timestamp numérico")
+        return _verdict(True, fixed.TEXT_DATE_FROM_NUMBER.format(name))
     if isinstance(kind, T.StringType):
         if options["compat_dates"]:
-            return _verdict(True, f"Columna '{name}' convertida desde string")
+            return _verdict(True, fixed.TEXT_DATE_FROM_TEXT.format(name))
         return _counter("fechas no reconocidas", ref(name).isNotNull() & parse_timestamp(ref(name)).isNull())
-    return _verdict(False, f"Tipo no compatible para fecha: {kind.simpleString()}")
+    return _verdict(False, fixed.TEXT_NO_DATE_TYPE.format(kind.simpleString()))
 
 
 def _not_future(df, name, options):
@@ -97,12 +90,12 @@ def _not_future(df, name, options):
     else:
         _require(df, name, *_TEMPORAL)
         date = ref(name).cast("date")
-    return _counter("registros con fecha futura", date > options["as_of"])
+    return _counter(fixed.TEXT_FUTURE, date > options["as_of"])
 
 
 def _minimum_age(df, name, options):
     _require(df, name, T.NumericType)
-    return _counter(f"registros con edad menor a {options['minimum_age']}", ref(name) < options["minimum_age"])
+    return _counter(fixed.TEXT_AGE.format(options["minimum_age"]), ref(name) < options["minimum_age"])
 
 
 def _mostly_null(df, name, options):
@@ -111,9 +104,9 @@ def _mostly_null(df, name, options):
 
     def text(n, total):
         # Rounded half to even first: the formatter itself rounds half up.
-        return F.format_string("%.2f%% de nulos en la columna", round_half_even(share(n, total)))
+        return F.format_string("%.2f%s", round_half_even(share(n, total)), F.lit(fixed.TEXT_NULL_SHARE))
 
-    return _Check(text, lambda n, total: share(n, total) > NULL_SHARE_LIMIT, counted=ref(name).isNull())
+    return _Check(text, lambda n, total: share(n, total) > fixed.NULL_SHARE_LIMIT, counted=ref(name).isNull())
 
 
 def _require(df: DataFrame, name: str, *kinds: type) -> None:
@@ -139,7 +132,7 @@ def quality_report(
     df: DataFrame,
     rules: list[tuple[str, str]],
     as_of: datetime.date | None = None,
-    minimum_age: int = MINIMUM_AGE,
+    minimum_age: int = fixed.MINIMUM_AGE,
     compat_dates: bool = False,
 ) -> DataFrame:
     """One row per ``(column, rule)`` and a last row with the number of rows.
@@ -170,8 +163,8 @@ def quality_report(
         if not check.repeats:
             n = ref(f"n{i}") if check.counted is not None else F.lit(0)
             rows.append(_row(i, *rules[i], check.failed(n, ref("total")), check.detail(n, ref("total"))))
-    total_text = F.concat(ref("total").cast("string"), F.lit(" de registros"))
-    rows.append(_row(len(rules), REPORT_TOTAL, "", None, total_text))
+    total_text = F.concat(ref("total").cast("string"), F.lit(f" {fixed.TEXT_TOTAL}"))
+    rows.append(_row(len(rules), fixed.REPORT_TOTAL, "", None, total_text))
     branches = [_rows(counted, rows)]
 
     repeated = sorted({rules[i][0] for i, c in enumerate(checks) if c.repeats})
@@ -189,14 +182,14 @@ def quality_report(
 
 def _check(df: DataFrame, column: str, rule: str, options: dict) -> _Check:
     if column not in df.columns:
-        return _verdict(False, "Columna no encontrada")
+        return _verdict(False, fixed.TEXT_NO_COLUMN)
     if rule not in RULES:
-        return _verdict(False, f"Regla '{rule}' no reconocida")
+        return _verdict(False, fixed.TEXT_NO_RULE.format(rule))
     return RULES[rule](df, column, options)
 
 
 def _row(position: int, column: str, rule: str, failed: Column | None, detail: Column) -> Column:
-    state = F.lit("") if failed is None else F.when(failed, REPORT_FAILED).otherwise(REPORT_OK)
+    state = F.lit("") if failed is None else F.when(failed, fixed.REPORT_FAILED).otherwise(fixed.REPORT_OK)
     return F.struct(
         F.lit(position).alias("orden"),
         F.lit(column).alias("columna"),

@@ -7,9 +7,9 @@ from pyspark.sql import DataFrame
 from ..fixed_values import CAMPAIGN_FILLERS, MESSAGE_FILLERS
 from ..operators import cast_columns, drop_columns, drop_duplicates, drop_nulls, fill_nulls, keep_referenced
 
-# Columns that are almost always null or say nothing about a message.
-_EMPTY_CAMPAIGN_COLUMNS = ["position", "is_test", "hour_limit", "ab_test"]
-_EMPTY_MESSAGE_COLUMNS = [
+# --- Fixed values: columns that are almost always null or say nothing ---
+EMPTY_CAMPAIGN_COLUMNS = ["position", "is_test", "hour_limit", "ab_test"]
+EMPTY_MESSAGE_COLUMNS = [
     "category",
     "created_at",
     "updated_at",
@@ -23,25 +23,61 @@ _EMPTY_MESSAGE_COLUMNS = [
     "purchased_at",
 ]
 
+# --- Fixed values: column types of the clean tables ---
+RECORD_TYPES = {
+    "id": "int",
+    "age": "int",
+    "country": "category",
+    "preferred_channel": "category",
+    "loyalty_level": "category",
+    "average_purchase_value": "float",
+    "churn_risk": "float",
+}
+CAMPAIGN_TYPES = {
+    "id": "int",
+    "total_count": "int",
+    "subject_length": "int",
+    "campaign_type": "category",
+    "channel": "category",
+    "started_at": "timestamp",
+    "finished_at": "timestamp",
+    "subject_with_personalization": "bool",
+    "subject_with_deadline": "bool",
+    "subject_with_emoji": "bool",
+    "subject_with_bonuses": "bool",
+    "subject_with_discount": "bool",
+    "subject_with_saleout": "bool",
+    "warmup_mode": "bool",
+}
+MESSAGE_TYPES = {
+    "id": "int",
+    "campaign_id": "int",
+    "client_id": "int",
+    "date": "timestamp",
+    "sent_at": "timestamp",
+    "opened_first_time_at": "timestamp",
+    "opened_last_time_at": "timestamp",
+    "is_opened": "bool",
+    "is_clicked": "bool",
+    "is_unsubscribed": "bool",
+    "is_hard_bounced": "bool",
+    "is_soft_bounced": "bool",
+    "is_complained": "bool",
+    "is_blocked": "bool",
+    "is_purchased": "bool",
+}
+
 
 def clean_customer_records(records: DataFrame) -> DataFrame:
-    types = dict.fromkeys(["id", "age"], "int")
-    types |= dict.fromkeys(["country", "preferred_channel", "loyalty_level"], "category")
-    types |= dict.fromkeys(["average_purchase_value", "churn_risk"], "float")
-    return cast_columns(records, types)
+    return cast_columns(records, RECORD_TYPES)
 
 
 def clean_campaigns(raw: DataFrame) -> DataFrame:
     """Campaigns with a start; counts and labels filled; flags and dates typed."""
-    flags = [c for c in raw.columns if c.startswith("subject_with_")] + ["warmup_mode"]
-    types = dict.fromkeys(["id", "total_count", "subject_length"], "int")
-    types |= dict.fromkeys(["campaign_type", "channel"], "category")
-    types |= dict.fromkeys(["started_at", "finished_at"], "timestamp")
-    types |= dict.fromkeys(flags, "bool")
     return (
-        raw.transform(drop_columns, _EMPTY_CAMPAIGN_COLUMNS)
+        raw.transform(drop_columns, EMPTY_CAMPAIGN_COLUMNS)
         .transform(drop_nulls, ["started_at"], fill=CAMPAIGN_FILLERS)
-        .transform(cast_columns, types)
+        .transform(cast_columns, CAMPAIGN_TYPES)
     )
 
 
@@ -56,13 +92,10 @@ def clean_holidays(raw: DataFrame) -> DataFrame:
 
 def clean_messages(raw: DataFrame) -> DataFrame:
     """Messages with typed flags and dates; also the row transform of the ingest."""
-    types = dict.fromkeys(["id", "campaign_id", "client_id"], "int")
-    types |= dict.fromkeys(["date", "sent_at", "opened_first_time_at", "opened_last_time_at"], "timestamp")
-    types |= dict.fromkeys([c for c in raw.columns if c.startswith("is_")], "bool")
     return (
-        raw.transform(drop_columns, _EMPTY_MESSAGE_COLUMNS)
+        raw.transform(drop_columns, EMPTY_MESSAGE_COLUMNS)
         .transform(fill_nulls, MESSAGE_FILLERS)
-        .transform(cast_columns, types)
+        .transform(cast_columns, MESSAGE_TYPES)
     )
 
 

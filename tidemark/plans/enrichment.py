@@ -15,8 +15,17 @@ from ..operators import (
     merge,
 )
 
+# --- Fixed values: dates that are compared with the holidays; types of the clients ---
 MESSAGE_DATES = ["date", "sent_at", "opened_first_time_at", "opened_last_time_at"]
 CAMPAIGN_DATES = ["started_at", "finished_at"]
+CLIENT_TYPES = {
+    "age": "int",
+    "gender": "category",
+    "preferred_channel": "category",
+    "loyalty_level": "category",
+    "average_purchase_value": "float",
+    "churn_risk": "float",
+}
 
 
 def enriched_messages(messages: DataFrame, holidays: DataFrame) -> DataFrame:
@@ -32,16 +41,8 @@ def enriched_clients(clients: DataFrame, records: DataFrame) -> DataFrame:
 
     The record id identifies a customer, so only the client side can be skewed.
     """
-    types = {
-        "age": "int",
-        "gender": "category",
-        "preferred_channel": "category",
-        "loyalty_level": "category",
-        "average_purchase_value": "float",
-        "churn_risk": "float",
-    }
     joined = merge(clients, records, left_on="client_id", right_on="id", how="left", unique="right")
-    return joined.transform(fill_nulls, CLIENT_FILLERS).transform(cast_columns, types)
+    return joined.transform(fill_nulls, CLIENT_FILLERS).transform(cast_columns, CLIENT_TYPES)
 
 
 def enriched_holidays(holidays: DataFrame, compat_shift: bool = False) -> DataFrame:

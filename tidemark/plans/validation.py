@@ -1,16 +1,17 @@
 """Quality rules of the gold tables."""
 
-from __future__ import annotations
-
+# --- Fixed values: columns and their rules, in the order of the reports ---
 CAMPAIGN_RULES = [
     ("id", "no_nulos"),
     ("channel", "no_nulos"),
     ("started_at", "formato_fecha"),
     ("finished_at", "nulos_mayor_95"),
-    *[
-        (f"subject_with_{what}", "validacion_boolean")
-        for what in ["personalization", "deadline", "emoji", "bonuses", "discount", "saleout"]
-    ],
+    ("subject_with_personalization", "validacion_boolean"),
+    ("subject_with_deadline", "validacion_boolean"),
+    ("subject_with_emoji", "validacion_boolean"),
+    ("subject_with_bonuses", "validacion_boolean"),
+    ("subject_with_discount", "validacion_boolean"),
+    ("subject_with_saleout", "validacion_boolean"),
     ("warmup_mode", "validacion_boolean"),
 ]
 
@@ -22,20 +23,18 @@ CLIENT_RULES = [
 ]
 
 MESSAGE_RULES = [
-    *[(c, "no_nulos") for c in ["client_id", "campaign_id", "channel", "platform"]],
+    ("client_id", "no_nulos"),
+    ("campaign_id", "no_nulos"),
+    ("channel", "no_nulos"),
+    ("platform", "no_nulos"),
     ("date", "formato_fecha"),
     ("opened_first_time_at", "nulos_mayor_95"),
-    *[
-        (f"is_{what}", "validacion_boolean")
-        for what in [
-            "opened",
-            "clicked",
-            "unsubscribed",
-            "hard_bounced",
-            "soft_bounced",
-            "complained",
-            "blocked",
-            "purchased",
-        ]
-    ],
+    ("is_opened", "validacion_boolean"),
+    ("is_clicked", "validacion_boolean"),
+    ("is_unsubscribed", "validacion_boolean"),
+    ("is_hard_bounced", "validacion_boolean"),
+    ("is_soft_bounced", "validacion_boolean"),
+    ("is_complained", "validacion_boolean"),
+    ("is_blocked", "validacion_boolean"),
+    ("is_purchased", "validacion_boolean"),
 ]

@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterable
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+from ..naming import ref, require_columns
 from ..sources.records import as_table
 
 # Spark's own formats stop at milliseconds.
@@ -53,9 +54,13 @@ def write_parquet(
     mode: str = "overwrite",
     compression: str = "snappy",
     partition_by: list[str] | None = None,
+    rebalance: bool = True,
 ) -> str:
     """Write Parquet; appending adds files and requires the same columns and types.
 
+    With ``partition_by`` the rows are first rebalanced by those columns: few files per
+    partition instead of one per task and partition, and a large partition is still
+    written by several tasks. Turn that off for rows that come in this order already.
     Do not overwrite a path that the plan of ``df`` reads. Returns the path.
     """
     if not path:
@@ -68,6 +73,8 @@ def write_parquet(
             own = [c for c in own if c[0] not in partition_by] + [(c, dict(own)[c]) for c in partition_by]
         if existing is not None and existing != own:
             raise ValueError(f"cannot append {own} to {existing}")
+    if partition_by and rebalance:
+        df = df.hint("rebalance", *[ref(c) for c in require_columns(df, partition_by)])
     writer = df.write.mode(_mode(mode)).option("compression", compression)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
