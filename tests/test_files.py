@@ -173,6 +173,23 @@ def test_first_row_as_written(spark, tmp_path):
     assert {r.k: r.v for r in kept} == {"b": 2, "a": 9}
 
 
+def test_first_row_as_written_in_csv(spark, tmp_path):
+    """Also where one file is read by many tasks."""
+    lines = [(i * 7919 % 100, i) for i in range(20000)]
+    _file(tmp_path, "1.csv", "k,v\n" + "\n".join(f"{k},{v}" for k, v in lines[:15000]) + "\n")
+    _file(tmp_path, "2.csv", "k,v\n" + "\n".join(f"{k},{v}" for k, v in lines[15000:]) + "\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "4000")
+        df = read_csv(spark, folder=str(tmp_path), schema="k BIGINT, v BIGINT", position="place")
+        assert df.rdd.getNumPartitions() > 10
+        assert [r.v for r in df.orderBy("place").collect()] == [v for _, v in lines]
+        kept = drop_duplicates(df, ["k"], order_by=["place"])
+        assert {r.k: r.v for r in kept.collect()} == {k: v for k, v in reversed(lines)}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_parquet_scan_reads_only_the_columns(spark, tmp_path):
     path = str(tmp_path / "p")
     spark.range(10).selectExpr("id", "id AS wide", "id AS wider").write.parquet(path)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from ..fixed_values import CAMPAIGN_FILLERS, MESSAGE_FILLERS
-from ..operators import cast_columns, drop_columns, drop_duplicates, drop_nulls, fill_nulls, keep_referenced
+from ..operators import cast_columns, drop_columns, drop_duplicates, drop_nulls, fill_nulls, keep_columns, keep_referenced
 
 # --- Fixed values: columns that are almost always null or say nothing ---
 EMPTY_CAMPAIGN_COLUMNS = ["position", "is_test", "hour_limit", "ab_test"]
@@ -85,9 +85,10 @@ def clean_clients(raw: DataFrame) -> DataFrame:
     return cast_columns(raw, {"first_purchase_date": "timestamp"})
 
 
-def clean_holidays(raw: DataFrame) -> DataFrame:
-    """One row per date: the first holiday name in alphabetical order."""
-    return cast_columns(drop_duplicates(raw, ["date"], order_by=["holiday"]), {"date": "timestamp"})
+def clean_holidays(raw: DataFrame, order_by: list[str] | None = None) -> DataFrame:
+    """One row per date: the first by ``order_by``, or else by the name of the holiday."""
+    first = drop_duplicates(raw, ["date"], order_by=order_by or ["holiday"])
+    return cast_columns(keep_columns(first, ["date", "holiday"]), {"date": "timestamp"})
 
 
 def clean_messages(raw: DataFrame) -> DataFrame:

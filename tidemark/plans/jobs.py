@@ -62,12 +62,12 @@ def build_silver(spark: SparkSession, at: Layout) -> None:
     """Clean the raw tables and keep the messages of known campaigns and clients."""
     records = read_json_records(spark, at.bronze("customers.json"), schemas.CUSTOMER_RECORDS)
     write_parquet(cleaning.clean_customer_records(records), at.silver("customers"))
-    for name, schema, clean in [
-        ("campaigns", schemas.RAW_CAMPAIGNS, cleaning.clean_campaigns),
-        ("clients", schemas.RAW_CLIENTS, cleaning.clean_clients),
-        ("holidays", schemas.RAW_HOLIDAYS, cleaning.clean_holidays),
-    ]:
-        write_parquet(clean(read_csv(spark, at.bronze(f"{name}.csv"), schema)), at.silver(name))
+    campaigns = read_csv(spark, at.bronze("campaigns.csv"), schemas.RAW_CAMPAIGNS)
+    write_parquet(cleaning.clean_campaigns(campaigns), at.silver("campaigns"))
+    clients = read_csv(spark, at.bronze("clients.csv"), schemas.RAW_CLIENTS)
+    write_parquet(cleaning.clean_clients(clients), at.silver("clients"))
+    holidays = read_csv(spark, at.bronze("holidays.csv"), schemas.RAW_HOLIDAYS, position="place")
+    write_parquet(cleaning.clean_holidays(holidays, order_by=["place"]), at.silver("holidays"))
     ingest_messages(spark, at)
     tables = [read_parquet(spark, at.silver(t)) for t in ("messages", "campaigns", "clients")]
     write_parquet(cleaning.known_messages(*tables), at.silver("messages_known"))

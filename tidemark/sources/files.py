@@ -71,6 +71,7 @@ def read_csv(
     exclude: list[str] | None = None,
     multiline: bool = False,
     mode: str = "FAILFAST",
+    position: str | None = None,
 ) -> DataFrame:
     """Scan CSV files: the listed ones, or all ``*.csv`` of a folder except some.
 
@@ -80,6 +81,8 @@ def read_csv(
     An empty cell is null, a quoted empty cell is empty text. A cell that does not
     fit its type fails the job unless ``mode`` is ``PERMISSIVE`` or ``DROPMALFORMED``.
     ``multiline`` allows line breaks inside quoted cells but reads each file in one task.
+    ``position`` names a column that sorts the rows as the files hold them, in the order
+    of their paths, for keeping the first of duplicate rows as written.
     """
     locations = _locations(paths, folder)
     sample = _sample(spark, locations, folder, "*.csv", exclude)
@@ -99,7 +102,12 @@ def read_csv(
     # Fail on a file whose header differs, rather than shift its columns.
     reader = reader.schema(schema).option("enforceSchema", "false")
     df = _without(reader.csv(locations), exclude)
-    return df.select([ref(c) for c in require_columns(df, columns)]) if columns else df
+    kept = [ref(c) for c in (require_columns(df, columns) if columns else df.columns)]
+    if position:
+        # One block is read by one task, from top to bottom.
+        block = [F.col("_metadata.file_path"), F.col("_metadata.file_block_start")]
+        kept.append(F.struct(*block, F.monotonically_increasing_id().alias("row")).alias(position))
+    return df.select(kept)
 
 
 _WHOLE, _DECIMAL, _FLAG, _TEXT = 1, 2, 4, 8
