@@ -180,6 +180,20 @@ def test_correlation_matrix(spark):
     assert found["c"] == (None, None, None)
 
 
+def test_wide_tables(spark):
+    """More columns than one aggregation takes, of several types."""
+    df = spark.range(1, 51).selectExpr(
+        *[f"CAST(id * {i} AS {'BIGINT' if i % 2 else 'DOUBLE'}) AS c{i}" for i in range(1, 24)], "CAST(NULL AS INT) AS none"
+    )
+    stats = numeric_stats(df)
+    found = stats.first()
+    assert [found[f"c{i}_max"] for i in range(1, 24)] == [50 * i for i in range(1, 24)]
+    assert dict(stats.dtypes)["c1_max"] == "bigint" and dict(stats.dtypes)["c2_max"] == "double"
+    assert found.none_mean is None and stats.columns[:2] == ["c1_mean", "c2_mean"]
+    matrix = correlation_matrix(df, [f"c{i}" for i in range(1, 8)]).collect()
+    assert [[round(r[f"c{i}"], 9) for i in range(1, 8)] for r in matrix] == [[1.0] * 7] * 7
+
+
 def test_describe(spark):
     df = spark.range(1, 102).selectExpr("CAST(id AS DOUBLE) AS x", "IF(id > 1, concat('n', id), NULL) AS s", "id > 50 AS b")
     found = {r.statistic: r for r in describe(df).collect()}

@@ -15,13 +15,34 @@ from .columns import columns_of_kind
 from .quantiles import exact_quantiles
 
 _PAIRS_PER_SCAN = 8
+_COLUMNS_PER_SCAN = 10
+
+
+def _in_parts(df: DataFrame, measures: dict[str, Column], size: int) -> DataFrame:
+    """One row of aggregates, ``size`` of them per aggregation over their own columns.
+
+    With too many in one aggregation the generated code outgrows what the JVM compiles
+    and runs about ten times slower (measured), so that several narrow scans beat a
+    single wide one.
+    """
+    items = list(measures.items())
+    parts = [
+        df.agg(*[m.alias(n) for n, m in items[start : start + size]]) for start in range(0, len(items), size)
+    ]
+    if len(parts) == 1:
+        return parts[0]
+    # Each column is known in the row of one part only.
+    together = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return together.agg(*[F.max(ref(n)).alias(n) for n in measures])
 
 
 def numeric_stats(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """One row with ``<column>_mean``, ``_min``, ``_max`` and ``_std`` (sample)."""
     columns = require_columns(df, columns or columns_of_kind(df, "numeric"))
     stats = {"mean": F.mean, "min": F.min, "max": F.max, "std": F.stddev_samp}
-    return df.agg(*[f(ref(c)).alias(f"{c}_{name}") for name, f in stats.items() for c in columns])
+    measures = {f"{c}_{name}": f(ref(c)) for c in columns for name, f in stats.items()}
+    ordered = [ref(f"{c}_{name}") for name in stats for c in columns]
+    return _in_parts(df, measures, _COLUMNS_PER_SCAN * len(stats)).select(ordered)
 
 
 def null_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -40,33 +61,13 @@ def count_duplicates(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
     ).withColumn("duplicates", ref("rows") - ref("distinct_rows"))
 
 
-def _correlations(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
-    """Rows ``a``, ``b``, ``r`` both ways: one aggregation per few pairs of columns.
-
-    With a dozen pairs in one aggregation the generated code outgrows what the JVM
-    compiles and runs more than ten times slower (measured), so that several short
-    scans beat a single one.
-    """
-    parts = []
-    for start in range(0, len(pairs), _PAIRS_PER_SCAN):
-        chunk = pairs[start : start + _PAIRS_PER_SCAN]
-        measured = df.agg(*[pearson(ref(a), ref(b)).alias(f"r{i}") for i, (a, b) in enumerate(chunk)])
-        rows = [
-            F.struct(F.lit(x).alias("a"), F.lit(y).alias("b"), ref(f"r{i}").alias("r"))
-            for i, (a, b) in enumerate(chunk)
-            for x, y in {(a, b), (b, a)}
-        ]
-        parts.append(measured.select(F.explode(F.array(*rows)).alias("row")).select("row.*"))
-    return reduce(DataFrame.unionAll, parts)
-
-
 def correlation(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
     """One row with the Pearson correlation ``<a>_<b>`` of each pair of columns."""
     require_columns(df, [c for pair in pairs for c in pair])
-    found = _correlations(df, pairs)
-    return found.agg(
-        *[F.max(F.when((ref("a") == a) & (ref("b") == b), ref("r"))).alias(f"{a}_{b}") for a, b in pairs]
-    )
+    measures = {f"{a}_{b}": pearson(ref(a), ref(b)) for a, b in pairs}
+    if not pairs or len(measures) < len(pairs):
+        raise ValueError(f"no pairs, or pairs with the same name: {pairs}")
+    return _in_parts(df, measures, _PAIRS_PER_SCAN)
 
 
 def correlation_matrix(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -76,16 +77,16 @@ def correlation_matrix(df: DataFrame, columns: list[str] | None = None) -> DataF
     correlation with anything, itself included.
     """
     columns = require_columns(df, columns or columns_of_kind(df, "numeric"))
-    ranges = df.agg(*[(F.min(ref(c)) < F.max(ref(c))).alias(c) for c in columns])
-    own = [
-        F.struct(F.lit(c).alias("a"), F.lit(c).alias("b"), F.when(ref(c), 1.0).alias("r")) for c in columns
-    ]
-    found = ranges.select(F.explode(F.array(*own)).alias("row")).select("row.*")
-    pairs = list(combinations(columns, 2))
-    if pairs:
-        found = found.unionAll(_correlations(df, pairs))
-    cells = [F.max(F.when(ref("b") == c, ref("r"))).alias(c) for c in columns]
-    return found.groupBy(ref("a").alias("column")).agg(*cells)
+    places = range(len(columns))
+    measures = {f"{i} {j}": pearson(ref(columns[i]), ref(columns[j])) for i, j in combinations(places, 2)}
+    measures |= {f"{i} {i}": F.when(F.min(ref(c)) < F.max(ref(c)), 1.0) for i, c in enumerate(columns)}
+    measured = _in_parts(df, measures, _PAIRS_PER_SCAN)
+
+    def cell(i: int, j: int) -> Column:
+        return ref(f"{min(i, j)} {max(i, j)}").alias(columns[j])
+
+    rows = [F.struct(F.lit(columns[i]).alias("column"), *[cell(i, j) for j in places]) for i in places]
+    return measured.select(F.explode(F.array(*rows)).alias("row")).select("row.*")
 
 
 def describe(
