@@ -4,13 +4,16 @@ handed to Spark's JDBC reader and writer are checked as such."""
 import datetime
 import io
 import json
+import tempfile
 import urllib.error
 from decimal import Decimal
+from types import SimpleNamespace
 
 import pytest
 
 from tidemark.plans import Layout, load_database
 from tidemark.schemas import CUSTOMER_RECORDS, DATABASE_TYPES
+from tidemark.session import fresh_path, shared_folder
 from tidemark.sinks.jdbc import write_options
 from tidemark.sources import bind, read_api
 from tidemark.sources.jdbc import read_options
@@ -173,8 +176,19 @@ def test_database_load_order_columns_and_types(spark, tmp_path, monkeypatch):
 
 
 def test_session_folder(spark):
-    from tidemark.session import fresh_path, shared_folder
-
     folder = shared_folder(spark)
-    assert folder == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+    assert folder == (spark.conf.get("spark.checkpoint.dir", None) or folder).rstrip("/")
     assert fresh_path(spark, "x").startswith(folder) and fresh_path(spark, "x") != fresh_path(spark, "x")
+
+
+def _session(master, folder):
+    return SimpleNamespace(
+        conf=SimpleNamespace(get=lambda name, default: folder or default), sparkContext=SimpleNamespace(master=master)
+    )
+
+
+def test_only_local_sessions_use_a_folder_of_this_machine():
+    assert shared_folder(_session("yarn", "hdfs://cluster/shared/")) == "hdfs://cluster/shared"
+    assert shared_folder(_session("local[8]", None)).startswith(tempfile.gettempdir())
+    with pytest.raises(RuntimeError):
+        shared_folder(_session("yarn", None))

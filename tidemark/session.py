@@ -39,9 +39,7 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    folder = os.path.join(tempfile.gettempdir(), "tidemark-shared")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return os.path.join(tempfile.gettempdir(), "tidemark-shared")
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
