@@ -9,9 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.exact_dedup import mark_copies
+from tidemark.llm.mixing import mix, word_count
+from tidemark.llm.mixing_sql import mixing_sql
 from tidemark.llm.packing import pack
 from tidemark.llm.token_files import read_token_files, write_token_files
-from tidemark.session import fresh_path
+from tidemark.llm.toxicity import Classifier, held_out, score, train
+from tidemark.session import BROADCAST_ROWS, fresh_path, has_at_most
 
 _SPACE = r"[\x20\x09-\x0D]+"
 
@@ -62,9 +65,39 @@ def digest_pieces(placed: DataFrame) -> DataFrame:
     return placed.select("doc_id", "start", "length", crc, "doc_tokens", "sequence_id", "offset")
 
 
+def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity, by a classifier fitted on the labelled rows that are not held out."""
+    docs = _documents(spark, sf_dir)
+    rows = score(docs.select("doc_id", "text", held_out("doc_id").alias("held_out")), classifier(spark, docs, sf_dir))
+    return rows.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Classifier:
+    """The toxicity classifier of the labelled documents that are not held out."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(~held_out("doc_id"))
+    labels = labels.select("doc_id", F.col("toxic").alias("label"))
+    labels = F.broadcast(labels) if has_at_most(labels, BROADCAST_ROWS) else labels
+    return train(docs.select("doc_id", "text").join(labels, "doc_id"), "text", "label", "doc_id")
+
+
+#: The mix of sources that the query and the pipeline make.
+MIX = {"max_repeats": 2.0, "block_tokens": 1 << 14, "seed": 9}
+
+
+def mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents as often as a mix reads them in which no source is repeated more than twice."""
+    mixed = mix(_documents(spark, sf_dir), **MIX)
+    return mixed.select("doc_id", "source", word_count(F.col("text")).alias("n_tokens"), "epoch", "block", "position")
+
+
+MIXING_SQL = mixing_sql("documents", **MIX)
+
+
 #: Name: the query, and its SQL if SQL can express it.
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op3_exact_dedup": (exact_dedup, EXACT_DEDUP_SQL),
     "op4_token_files": (token_files, None),
+    "op6_toxicity": (toxicity, None),
     "op7_packing": (packing, None),
+    "op9_mixing": (mixing, MIXING_SQL),
 }
