@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.exact_dedup import mark_copies
+from tidemark.llm.minhash import near_duplicates
 from tidemark.llm.mixing import mix, word_count
 from tidemark.llm.mixing_sql import mixing_sql
 from tidemark.llm.packing import pack
@@ -93,11 +94,17 @@ def mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 MIXING_SQL = mixing_sql("documents", **MIX)
 
 
+def near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which document of each group of near duplicates stays."""
+    return near_duplicates(_documents(spark, sf_dir))
+
+
 #: Name: the query, and its SQL if SQL can express it.
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op3_exact_dedup": (exact_dedup, EXACT_DEDUP_SQL),
     "op4_token_files": (token_files, None),
     "op6_toxicity": (toxicity, None),
     "op7_packing": (packing, None),
+    "op8_near_dedup": (near_dedup, None),
     "op9_mixing": (mixing, MIXING_SQL),
 }
