@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.chunk_dedup import drop_chunks
 from tidemark.llm.exact_dedup import mark_copies
 from tidemark.llm.minhash import near_duplicates
 from tidemark.llm.mixing import mix, word_count
@@ -15,6 +16,7 @@ from tidemark.llm.mixing_sql import mixing_sql
 from tidemark.llm.packing import pack
 from tidemark.llm.token_files import read_token_files, write_token_files
 from tidemark.llm.toxicity import Classifier, held_out, score, train
+from tidemark.llm.unigram import count_tokens
 from tidemark.session import BROADCAST_ROWS, fresh_path, has_at_most
 
 _SPACE = r"[\x20\x09-\x0D]+"
@@ -99,10 +101,23 @@ def near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_documents(spark, sf_dir))
 
 
+def chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each document loses and keeps when repeated content-defined chunks are dropped."""
+    found = drop_chunks(_documents(spark, sf_dir))
+    return found.withColumn("kept_sha256", F.sha2("text", 256)).drop("text")
+
+
+def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document under the pieces and scores of a public vocabulary."""
+    return count_tokens(_documents(spark, sf_dir), tokenizer_file("piece_bpe_32k.model"))
+
+
 #: Name: the query, and its SQL if SQL can express it.
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
+    "op1_chunk_dedup": (chunk_dedup, None),
     "op3_exact_dedup": (exact_dedup, EXACT_DEDUP_SQL),
     "op4_token_files": (token_files, None),
+    "op5_token_counts": (token_counts, None),
     "op6_toxicity": (toxicity, None),
     "op7_packing": (packing, None),
     "op8_near_dedup": (near_dedup, None),
