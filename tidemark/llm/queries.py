@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.chunk_dedup import drop_chunks
+from tidemark.llm.cover_tree import top_k
 from tidemark.llm.exact_dedup import mark_copies
 from tidemark.llm.minhash import near_duplicates
 from tidemark.llm.mixing import mix, word_count
@@ -112,9 +113,30 @@ def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(_documents(spark, sf_dir), tokenizer_file("piece_bpe_32k.model"))
 
 
+def top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten highest inner products of every hundredth vector with all others."""
+    return top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 100 == 0, k=10)
+
+
+TOP_K_SQL = """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)::bigint) as e
+  from embeddings
+  where embedding is not null and vec_id is not null
+    and coalesce(list_bool_and(list_transform(embedding, lambda x: coalesce(isfinite(x), false))), true)),
+scores as (
+  select q.vec_id as query_id, d.vec_id, list_sum(list_transform(list_zip(q.e, d.e), lambda p: p[1] * p[2]))::bigint as score
+  from v q join v d on q.vec_id <> d.vec_id and len(q.e) = len(d.e)
+  where q.vec_id % 100 = 0)
+select query_id, (row_number() over (partition by query_id order by score desc, vec_id))::int as rank, vec_id, score
+from scores qualify rank <= 10
+"""
+
+
 #: Name: the query, and its SQL if SQL can express it.
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_chunk_dedup": (chunk_dedup, None),
+    "op2_top_k": (top_k_search, TOP_K_SQL),
     "op3_exact_dedup": (exact_dedup, EXACT_DEDUP_SQL),
     "op4_token_files": (token_files, None),
     "op5_token_counts": (token_counts, None),
