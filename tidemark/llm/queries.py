@@ -15,6 +15,7 @@ from tidemark.llm.minhash import near_duplicates
 from tidemark.llm.mixing import mix, word_count
 from tidemark.llm.mixing_sql import mixing_sql
 from tidemark.llm.packing import pack
+from tidemark.llm.substring_dedup import drop_repeats
 from tidemark.llm.token_files import read_token_files, write_token_files
 from tidemark.llm.toxicity import Classifier, held_out, score, train
 from tidemark.llm.unigram import count_tokens
@@ -133,6 +134,14 @@ from scores qualify rank <= 10
 """
 
 
+def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each document loses and keeps when 50-byte strings of earlier documents are removed."""
+    found = drop_repeats(_documents(spark, sf_dir))
+    return found.select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 #: Name: the query, and its SQL if SQL can express it.
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_chunk_dedup": (chunk_dedup, None),
@@ -144,4 +153,5 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op7_packing": (packing, None),
     "op8_near_dedup": (near_dedup, None),
     "op9_mixing": (mixing, MIXING_SQL),
+    "op10_substring_dedup": (substring_dedup, None),
 }
