@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
 from tidemark.llm.shared import keep, ship
+from tidemark.session import BROADCAST_ROWS, has_at_most
 
 #: Bins of a signature; bands of so many bins. At a similarity of 0.85 a pair shares no
 #: bucket with a chance of about (1 - 0.85 ** 4) ** 32, 1 in 10 ** 10.
@@ -207,7 +208,7 @@ def _rest(members: DataFrame, labels: DataFrame, texts: DataFrame, size: int, pe
 
 
 def near_duplicates(
-    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 85
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80
 ) -> DataFrame:
     """Every row's group of near duplicates: ``id_col, n_shingles, component_id, kept``.
 
@@ -255,10 +256,13 @@ def near_duplicates(
 
 
 def drop_near_duplicates(
-    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 85
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80
 ) -> DataFrame:
     """The rows of ``df`` that ``near_duplicates`` keeps, with all their columns."""
     found = near_duplicates(df, id_col, text_col, size, percent)
     dropped = found.where("not kept").select(F.col(id_col).cast("long").alias("dropped_id")).distinct()
     rows = df.select(F.struct("*").alias("row"), F.col(f"`{id_col}`").cast("long").alias("dropped_id"))
+    # Identifiers only, broadcast if measured to be few.
+    dropped = keep(dropped, "minhash-dropped")
+    dropped = F.broadcast(dropped) if has_at_most(dropped, BROADCAST_ROWS) else dropped
     return rows.join(dropped, "dropped_id", "left_anti").select("row.*")

@@ -141,28 +141,32 @@ def mix(
     max_repeats: float | None = None,
     block_tokens: int = 1 << 14,
     seed: int = 0,
+    prefix: str = "",
 ) -> DataFrame:
     """The rows of ``df`` as often as the mix reads them, with ``epoch, block, position``.
 
     Tokens are counted as words. Every source is read once at least, within half a block;
-    ``position`` numbers the blocks in reading order. A null source is a source of its
+    ``position`` numbers the blocks in reading order; ``prefix`` goes before the three names. A null source is a source of its
     own; one without words is read once; a null or empty text counts no words and goes
     with its block. Rows repeated are read repeatedly. Columns of ``df`` named as the
     three new ones are replaced. An empty table gives an empty result.
     """
     sources, blocks = plan_mix(df, source_col, text_col, id_col, target_entropy, max_repeats, block_tokens, seed)
-    new = ("epoch", "block", "position")
+    new = {name: prefix + name for name in ("epoch", "block", "position")}
     rows = df.select(
-        F.struct(*[F.col(f"`{c}`") for c in df.columns if c not in new]).alias("row"),
+        F.struct(*[F.col(f"`{c}`") for c in df.columns if c not in new.values()]).alias("row"),
         _source_key(F.col(source_col)).alias("key"),
         _row_hash(id_col, text_col, seed).alias("hash"),
     )
     rows = rows.join(_small(sources.select("key", "n_blocks")), "key").withColumn("block", _block())
-    return rows.join(_small(keep(blocks, "mix-blocks")), ["key", "block"]).select("row.*", *new)
+    return rows.join(_small(keep(blocks, "mix-blocks")), ["key", "block"]).select("row.*", *[F.col(a).alias(b) for a, b in new.items()])
 
 
-def in_reading_order(mixed: DataFrame, columns: list[str], id_col: str = "doc_id", seed: int = 0) -> DataFrame:
+def in_reading_order(
+    mixed: DataFrame, columns: list[str], id_col: str = "doc_id", seed: int = 0, prefix: str = ""
+) -> DataFrame:
     """The given columns of mixed rows, block after block and shuffled within each."""
-    drawn = F.md5(F.concat_ws("|", F.lit(str(seed)), "epoch", F.col(id_col).cast("string")))
-    rows = mixed.withColumn("drawn", drawn).repartitionByRange("position", "drawn")
-    return rows.sortWithinPartitions("position", "drawn").select(*columns)
+    position = f"{prefix}position"
+    drawn = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(f"{prefix}epoch"), F.col(id_col).cast("string")))
+    # The drawn order is computed anew for the sort, so that it takes no column's name.
+    return mixed.repartitionByRange(position, drawn).sortWithinPartitions(position, drawn).select(*columns)

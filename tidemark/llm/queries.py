@@ -100,7 +100,7 @@ MIXING_SQL = mixing_sql("documents", **MIX)
 
 def near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which document of each group of near duplicates stays."""
-    return near_duplicates(_documents(spark, sf_dir))
+    return near_duplicates(_documents(spark, sf_dir), size=5, percent=85)
 
 
 def chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
