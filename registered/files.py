@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -113,10 +114,25 @@ CSV_APPEND = "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o
 
 
 def csv_folder(spark, sf):
-    """All CSV files of a folder but the excluded ones (here: a name that none has)."""
+    """All CSV files of a folder but the excluded ones: those of a second copy of the rows."""
     suppliers = table(spark, sf, "supplier")
     path = write_csv(suppliers, fresh_path(spark, "csv"))
-    return read_csv(spark, folder=path, schema=suppliers.schema, exclude=["old.csv"])
+    first = _file_names(spark, path)
+    write_csv(suppliers, path, mode="append")
+    return read_csv(spark, folder=path, schema=suppliers.schema, exclude=sorted(_file_names(spark, path) - first))
+
+
+def _make_old(folder, names):
+    """Set the files' times back by ten days, where the folder is a local or mounted one."""
+    local = folder.removeprefix("file://")
+    for name in names if os.path.isdir(local) else ():
+        then = os.path.getmtime(os.path.join(local, name)) - 10 * 86400
+        os.utime(os.path.join(local, name), (then, then))
+
+
+def _file_names(spark, path):
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path).select("path")
+    return {row["path"].rpartition("/")[2] for row in files.collect()}
 
 
 CSV_FOLDER = "SELECT * FROM supplier"
@@ -158,7 +174,7 @@ PARQUET_FOLDER = "SELECT o_orderkey, o_custkey FROM orders"
 
 
 def incremental_ingest(spark, sf):
-    """Two arrivals of files with a rerun in between; every row comes in once."""
+    """Three arrivals of files, the last one of old files, with a rerun in between; every row comes in once."""
     events = table(spark, sf, "events").selectExpr(
         "event_id", "CAST(user_id AS STRING) AS user", "CASE WHEN value > 100 THEN 't' ELSE 'f' END AS high", "event_type"
     )
@@ -179,7 +195,10 @@ def incremental_ingest(spark, sf):
     write_csv(events.filter("event_type IN ('view', 'click')"), folder)
     ingest()
     ingest()
-    write_csv(events.filter("event_type NOT IN ('view', 'click')"), folder, mode="append")
+    before = _file_names(spark, folder)
+    write_csv(events.filter("event_type = 'error'"), folder, mode="append")
+    _make_old(folder, _file_names(spark, folder) - before)
+    write_csv(events.filter("event_type NOT IN ('view', 'click', 'error')"), folder, mode="append")
     ingest()
     return read_parquet(spark, target)
 

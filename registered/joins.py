@@ -16,13 +16,18 @@ def _orders(spark, sf):
     )
 
 
+# Most customers get a key that no order has.
+_BUILDER_KEY = "CASE WHEN c_mktsegment = 'BUILDING' THEN c_custkey ELSE c_custkey + 10000000 END"
+_SPENDER_KEY = "CASE WHEN o_orderstatus = 'P' THEN o_custkey ELSE o_custkey + 40000000 END"
+
+
 def _builders(spark, sf):
-    return table(spark, sf, "customer").filter("c_mktsegment = 'BUILDING'").select("c_custkey", "c_name", "c_acctbal")
+    return table(spark, sf, "customer").selectExpr(f"{_BUILDER_KEY} AS c_custkey", "c_name", "c_acctbal")
 
 
 _SQL_ORDERS = """(SELECT o_orderkey, CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE o_custkey END AS o_custkey,
         o_totalprice FROM orders) o"""
-_SQL_BUILDERS = "(SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_mktsegment = 'BUILDING') c"
+_SQL_BUILDERS = f"(SELECT {_BUILDER_KEY} AS c_custkey, c_name, c_acctbal FROM customer) c"
 
 
 def _joined(how, unique=None):
@@ -64,7 +69,7 @@ FROM supplier JOIN nation ON s_nationkey = n_nationkey"""
 
 def merge_full_same_key(spark, sf):
     """A full join on one key name keeps both keys."""
-    spent = table(spark, sf, "orders").filter("o_orderstatus = 'P'").groupBy(F.col("o_custkey").alias("id")).agg(
+    spent = table(spark, sf, "orders").groupBy(F.expr(_SPENDER_KEY).alias("id")).agg(
         F.count(F.lit(1)).alias("orders")
     )
     customers = _builders(spark, sf).select(F.col("c_custkey").alias("id"), "c_name")
@@ -73,7 +78,7 @@ def merge_full_same_key(spark, sf):
 
 MERGE_FULL_SAME_KEY = f"""
 SELECT o.id, o.orders, c.c_custkey AS id_right, c.c_name
-FROM (SELECT o_custkey AS id, count(*) AS orders FROM orders WHERE o_orderstatus = 'P' GROUP BY o_custkey) o
+FROM (SELECT {_SPENDER_KEY} AS id, count(*) AS orders FROM orders GROUP BY 1) o
 FULL JOIN {_SQL_BUILDERS} ON o.id = c.c_custkey"""
 
 

@@ -38,7 +38,7 @@ def sql_fixed(column: str, rule: str, failed: bool, detail: str) -> tuple[str, s
 
 
 def sql_null_share(column: str) -> tuple[str, str, str, str]:
-    share = f"100.0 * count(*) FILTER ({column} IS NULL) / count(*)"
+    share = f"count(*) FILTER ({column} IS NULL)::DOUBLE / count(*) * 100"
     return column, "nulos_mayor_95", f"{share} > 95", f"printf('%.2f%% de nulos en la columna', {share})"
 
 
@@ -93,6 +93,7 @@ def _customers(spark, sf):
         """CASE c_mktsegment WHEN 'BUILDING' THEN '2024-05-06 07:08:09' WHEN 'MACHINERY' THEN '2024-05-06'
            WHEN 'HOUSEHOLD' THEN NULL WHEN 'FURNITURE' THEN '2024-13-01' ELSE '6 May' END AS since""",
         "CASE WHEN c_nationkey < 9 THEN c_nationkey END AS nation",
+        "CASE WHEN c_nationkey <> 4 THEN 1704067200 + c_nationkey * 40000 - 400000 END AS seen",
     )
 
 
@@ -109,6 +110,8 @@ _CUSTOMER_RULES = [
     ("since", "formato_fecha"),
     ("since", "fecha_no_futura"),
     ("active", "formato_fecha"),
+    ("seen", "formato_fecha"),
+    ("seen", "fecha_no_futura"),
 ]
 
 
@@ -163,17 +166,24 @@ def _customer_report(date_rule: tuple[str, str, str, str]) -> str:
             sql_counter(
                 "since",
                 "fecha_no_futura",
-                "count(*) FILTER (c_mktsegment IN ('BUILDING', 'MACHINERY'))",
+                "count(*) FILTER (c_mktsegment = 'BUILDING')",
                 "registros con fecha futura",
             ),
             sql_fixed("active", "formato_fecha", True, "Tipo no compatible para fecha: boolean"),
+            sql_fixed("seen", "formato_fecha", False, "Columna 'seen' convertida desde timestamp numérico"),
+            sql_counter(
+                "seen",
+                "fecha_no_futura",
+                "count(*) FILTER (c_nationkey <> 4 AND 1704067200 + c_nationkey * 40000 - 400000 >= 1704153600)",
+                "registros con fecha futura",
+            ),
         ],
     )
 
 
 QUALITY_REPORT_NULLS = _customer_report(
     sql_counter(
-        "since", "formato_fecha", "count(*) FILTER (c_mktsegment IN ('FURNITURE', 'AUTOMOBILE'))", "fechas no reconocidas"
+        "since", "formato_fecha", "count(*) FILTER (c_mktsegment NOT IN ('BUILDING', 'HOUSEHOLD'))", "fechas no reconocidas"
     )
 )
 QUALITY_REPORT_COMPAT = _customer_report(
@@ -181,6 +191,23 @@ QUALITY_REPORT_COMPAT = _customer_report(
 )
 
 
+# Bounds that leave null shares halfway between two decimals where the table has 60,000 rows.
+_BOUNDS = [0, 3, 7, 11, 15, 39, 46, 70, 96, 135]
+
+
+def null_share_ties(spark, sf):
+    """Null shares whose second decimal hangs on the exact value of the share."""
+    missing = [f"CASE WHEN l_orderkey > {b} THEN l_partkey END AS over_{b}" for b in _BOUNDS]
+    report = quality_report(table(spark, sf, "lineitem").selectExpr(*missing), [(f"over_{b}", "nulos_mayor_95") for b in _BOUNDS])
+    return longs(report, "orden")
+
+
+NULL_SHARE_TIES = sql_report(
+    "(SELECT " + ", ".join(f"CASE WHEN l_orderkey > {b} THEN l_partkey END AS over_{b}" for b in _BOUNDS) + " FROM lineitem)",
+    [sql_null_share(f"over_{b}") for b in _BOUNDS],
+)
+
+
 def validate_clients(spark, sf):
     """The rules of the enriched clients, on the table itself."""
     clients = plans.enriched_clients(
@@ -212,5 +239,6 @@ QUERIES = {
     "quality_report": (quality_report_query, QUALITY_REPORT),
     "quality_report_nulls": (quality_report_nulls, QUALITY_REPORT_NULLS),
     "quality_report_compat": (quality_report_compat, QUALITY_REPORT_COMPAT),
+    "null_share_ties": (null_share_ties, NULL_SHARE_TIES),
     "validate_clients": (validate_clients, VALIDATE_CLIENTS),
 }

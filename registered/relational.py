@@ -275,7 +275,7 @@ def slice_rows_far(spark, sf):
     """The same slice cut out of the numbered table, as far slices are."""
     orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
     return slice_rows(
-        orders, [F.col("o_totalprice").desc(), F.col("o_orderkey")], offset=500, length=1000, top_rows=0
+        orders, [F.col("o_totalprice").desc(), F.col("o_orderkey")], offset=500, length=1000
     )
 
 

@@ -1,5 +1,6 @@
 import datetime
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -126,7 +127,7 @@ def test_quality_rules(spark):
         ("id", "validacion_boolean", "FALLA", "Valores no corresponden a booleanos"),
         ("day", "formato_fecha", "OK", "Columna 'day' ya es tipo date"),
         ("id", "formato_fecha", "OK", "Columna 'id' convertida desde timestamp numérico"),
-        ("at", "formato_fecha", "FALLA", "1 fechas no reconocidas"),
+        ("at", "formato_fecha", "FALLA", "2 fechas no reconocidas"),
         ("flag", "formato_fecha", "FALLA", "Tipo no compatible para fecha: boolean"),
         ("day", "fecha_no_futura", "FALLA", "1 registros con fecha futura"),
         ("at", "fecha_no_futura", "OK", "0 registros con fecha futura"),
@@ -136,9 +137,23 @@ def test_quality_rules(spark):
         ("zz", "no_nulos", "FALLA", "Columna no encontrada"),
         ("Total Registros", "", "", "4 de registros"),
     ]
+    # Any kind of date, instead of the one fixed format.
+    assert _report(df, [("at", "formato_fecha")], date_formats=None)[0][3] == "1 fechas no reconocidas"
     assert _report(df, [("at", "formato_fecha")], compat_dates=True)[0][2:] == ("OK", "Columna 'at' convertida desde string")
 
 
+def test_quality_details(spark):
+    """Line breaks after an address, shares that lie halfway, numbers as dates."""
+    df = spark.createDataFrame([("a@b.co\n", 86400 * 3), ("a@b.co", 86400 * 2 + 86399), (None, None)], "email string, at long")
+    rules = [("email", "formato_email"), ("at", "fecha_no_futura"), ("at", "formato_fecha")]
+    found = _report(df, rules, as_of=datetime.date(1970, 1, 3))
+    assert [r[3] for r in found[:2]] == ["1 correos inválidos", "1 registros con fecha futura"]
+    wide = spark.range(4000).selectExpr(*[f"IF(id < {n}, NULL, id) AS c{n}" for n in (1, 3, 11, 13)])
+    shares = _report(wide, [(f"c{n}", "nulos_mayor_95") for n in (1, 3, 11, 13)])
+    assert [r[3][:4] for r in shares[:4]] == ["0.03", "0.07", "0.27", "0.33"]
+    assert [r[3][:4] for r in shares[:4]] == [f"{n / 4000 * 100:.2f}" for n in (1, 3, 11, 13)]
+
+
 def test_quality_of_an_empty_table(spark):
     df = spark.createDataFrame([], "a long")
     assert _report(df, [("a", "nulos_mayor_95"), ("a", "no_duplicados"), ("a", "no_nulos")]) == [
@@ -204,12 +219,42 @@ def test_describe(spark):
     assert found["min"].s == "n10" and found["50%"].s is None and found["mean"].b == pytest.approx(51 / 101)
 
 
+def test_describe_moments(spark):
+    df = spark.range(0, 101).selectExpr(
+        "timestamp_ntz'1969-12-31 23:59:00' + make_dt_interval(0, 0, 0, id + 0.25) AS t",
+        "IF(id < 3, date_add(DATE'2024-02-28', CAST(id AS INT)), NULL) AS d",
+    )
+    found = {r.statistic: r for r in describe(df).collect()}
+    assert found["25%"].t == "1969-12-31 23:59:25.25" and found["mean"].t == "1969-12-31 23:59:50.25"
+    assert found["50%"].d == "2024-02-29 00:00:00" and found["max"].d == "2024-03-01" and found["std"].t is None
+    assert found["75%"].t == {r.statistic: r for r in describe(df, exact=False).collect()}["75%"].t
+
+
+def test_quantiles_of_odd_numbers(spark):
+    values = [float("-inf"), -1e308, -5e-324, 0.0, 5e-324, 1e308, float("inf"), float("inf"), float("nan"), None]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    found = exact_quantiles(df, {"x": F.col("x")}, [i / 8 for i in range(9)], 64)["x"]
+    assert found[:8] == values[:8] and math.isnan(found[8])
+
+
+def test_correlations_with_nulls(spark):
+    rng = random.Random(5)
+    data = [tuple(rng.choice([None, rng.gauss(100, 1) + k * 0.3]) for _ in range(4)) + (7.5,) for k in range(400)]
+    df = spark.createDataFrame(data, "a double, b double, c double, d double, e double").repartition(5)
+    found = {r["column"]: r for r in correlation_matrix(df).collect()}
+    pairs = [(x, y) for x in "abcd" for y in "abcd" if x < y]
+    expected = correlation(df, pairs).first()
+    for x, y in pairs:
+        assert found[x][y] == found[y][x] == pytest.approx(expected[f"{x}_{y}"], abs=1e-9)
+    assert found["e"]["a"] is None and found["a"]["a"] == 1.0
+
+
 def _nearest(values, share):
     known = sorted(v for v in values if v is not None)
     return known[math.floor((len(known) - 1) * share + 0.5)] if known else None
 
 
-@pytest.mark.parametrize("accuracy", [4, 20, 100, 10_000])
+@pytest.mark.parametrize("stretches", [64, 4096])
 @pytest.mark.parametrize(
     "expression",
     [
@@ -223,9 +268,9 @@ def _nearest(values, share):
         "CAST(NULL AS INT)",
     ],
 )
-def test_quantiles_are_exact_even_from_coarse_sketches(spark, expression, accuracy):
+def test_quantiles_are_exact_however_coarse_the_stretches(spark, expression, stretches):
     df = spark.range(0, 3000, 1, 5).selectExpr(f"CAST({expression} AS DOUBLE) AS x")
     shares = [0.0, 0.01, 0.25, 0.5, 0.75, 0.999, 1.0]
     values = [r.x for r in df.collect()]
-    found = exact_quantiles(df, {"x": F.col("x")}, shares, accuracy)
+    found = exact_quantiles(df, {"x": F.col("x")}, shares, stretches)
     assert found == {"x": [_nearest(values, s) for s in shares]}

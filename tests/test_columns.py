@@ -1,5 +1,6 @@
 import datetime
 import math
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -221,12 +222,14 @@ def test_union_needs_equal_schemas(spark, rows):
             union_rows(one, spark.createDataFrame([], other))
 
 
-def test_slices(spark):
+def test_slices(spark, tmp_path):
+    path = str(tmp_path / "numbered")
     df = spark.range(0, 1000, 1, 7).selectExpr("(id * 37) % 1000 AS k")
     near = [r.k for r in slice_rows(df, ["k"], 100, 50).collect()]
-    far = sorted(r.k for r in slice_rows(df, ["k"], 100, 50, top_rows=0).collect())
+    far = sorted(r.k for r in slice_rows(df, ["k"], 100, 50, path=path).collect())
     assert near == far == list(range(100, 150))
-    assert slice_rows(df, ["k"], 990, 50, top_rows=0).count() == slice_rows(df, ["k"], 990, 50).count() == 10
+    assert os.path.exists(path)
+    assert slice_rows(df, ["k"], 990, 50).count() == 10
     assert first_rows(df).count() == 5
     with pytest.raises(ValueError):
         slice_rows(df, ["k"], -1, 5)

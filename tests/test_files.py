@@ -151,11 +151,51 @@ def test_partitions_have_few_files(spark, tmp_path):
         assert read_parquet(spark, path).count() == 4000
 
 
+@pytest.mark.parametrize("columns", [None, ["t"], ["k"]])
+def test_line_breaks_in_csv_cells(spark, tmp_path, columns):
+    """They fail the job line by line, whatever is selected, and are read with multiline."""
+    df = spark.createDataFrame([("1", "a\nb", "x"), ("2", "c", "y")], "k string, t string, u string")
+    path = write_csv(df, str(tmp_path / "c"))
+    broken = read_csv(spark, path, columns=columns)
+    for act in (broken.collect, broken.count):
+        with pytest.raises(Exception, match="MALFORMED|FAILED_READ_FILE"):
+            act()
+    whole = read_csv(spark, path, columns=columns, multiline=True)
+    assert whole.count() == 2 and sorted(whole.collect()) == sorted(df.select(whole.columns).collect())
+
+
+def test_line_breaks_in_the_only_csv_column(spark, tmp_path):
+    df = spark.createDataFrame([("a\nb",), ('say "c"',)], "t string")
+    path = write_csv(df, str(tmp_path / "c"))
+    with pytest.raises(ValueError, match="multiline"):
+        read_csv(spark, path)
+    assert sorted(read_csv(spark, path, multiline=True).collect()) == sorted(df.collect())
+
+
+def test_late_files_are_ingested(spark, tmp_path):
+    folder, target, progress = (str(tmp_path / n) for n in ("in", "out", "progress"))
+    schema = spark.createDataFrame([], "k long").schema
+
+    def arrive(name, value, days):
+        os.makedirs(folder, exist_ok=True)
+        path = _file(tmp_path / "in", name, f"k\n{value}\n")
+        then = 1_700_000_000 - days * 86400
+        os.utime(os.path.join(folder, name), (then, then))
+        ingest_files(spark, folder, schema, target, progress)
+        return path
+
+    arrive("a.csv", 1, 0)
+    arrive("b.csv", 2, 10)
+    arrive("c.csv", 3, 0)
+    assert sorted(r.k for r in spark.read.parquet(target).collect()) == [1, 2, 3]
+
+
 def test_parquet_positions_and_chunks(spark, tmp_path):
     path = str(tmp_path / "p")
     spark.range(0, 1000, 1, 4).write.parquet(path)
     numbered = read_parquet(spark, path, position="place").orderBy("place").collect()
-    assert [r.place for r in numbered] == list(range(1000))
+    plan = read_parquet(spark, path, position="place")._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan
     files = sorted(f for f in os.listdir(path) if f.endswith(".parquet"))
     in_files = [r.id for f in files for r in spark.read.parquet(f"{path}/{f}").collect()]
     assert [r.id for r in numbered] == in_files
@@ -165,6 +205,19 @@ def test_parquet_positions_and_chunks(spark, tmp_path):
     assert read_parquet(spark, path, chunk=(0, 3)).columns == ["id"]
 
 
+def test_a_chunk_opens_only_its_files(spark, tmp_path):
+    path = str(tmp_path / "p")
+    spark.range(0, 1000, 1, 10).write.parquet(path)
+    df = read_parquet(spark, path, chunk=(3, 50))
+    assert df.count() == 50
+    plan = df._jdf.queryExecution().executedPlan()
+    assert "Join" not in plan.toString()
+    df.collect()
+    files = [r.f for r in df.selectExpr("input_file_name() f").distinct().collect()]
+    scanned = df.rdd.getNumPartitions()
+    assert len(files) == 1 and scanned <= 2
+
+
 def test_first_row_as_written(spark, tmp_path):
     data = [("b", 2), ("a", 9), ("b", 1), ("a", 3)]
     spark.createDataFrame(data, "k string, v long").coalesce(1).write.parquet(str(tmp_path / "p"))

@@ -16,6 +16,7 @@ REPORT_FAILED = "FALLA"
 REPORT_TOTAL = "Total Registros"
 NULL_SHARE_LIMIT = 95.0
 MINIMUM_AGE = 18
+DATE_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 # --- Fixed values: detail texts of the quality report ---
 TEXT_NULLS = "valores nulos"

@@ -1,7 +1,7 @@
 """Column expressions; all of them stay inside whole-stage code generation."""
 
 from .calendar import weekday_name
-from .rates import rate, round_half_even
+from .rates import rate, round_half_even, two_decimals
 from .statistics import pearson
 from .values import parse_boolean, parse_timestamp, to_double, to_long, to_text
 
@@ -14,5 +14,6 @@ __all__ = [
     "to_double",
     "to_long",
     "to_text",
+    "two_decimals",
     "weekday_name",
 ]

@@ -42,13 +42,15 @@ def merge(
     not of the other side, and neither side of a full join. Outer joins are
     therefore written as the inner join, which splits on both sides, plus the rows
     without a partner, found against the collapsed keys of the other side. It splits
-    only where both inputs are shuffled for the join: write or rebalance a table that
-    was just grouped by the join's key before joining it to a skewed one.
+    only where both inputs are shuffled for the join: a side said to be unique is
+    rebalanced first; write or rebalance any other table that was just grouped by the
+    join's key before joining it to a skewed one.
     ``unique`` (``"left"``, ``"right"`` or ``"both"``) says which side is known to
     hold each key once; where that makes the plain outer join safe it is used, and
     the preserved side is read once instead of twice. Semi and anti joins then skip
     collapsing the copies of a key on the right. A wrong statement only costs time,
-    not rows. The inputs must give the same rows each time they are read.
+    not rows. Keys are of equal types or both whole numbers. The inputs must give the
+    same rows each time they are read: write rows of ``read_api`` or ``first_rows`` first.
     """
     if how not in _HOW:
         raise ValueError(f"how={how!r} is not one of {sorted(_HOW)}")
@@ -88,6 +90,12 @@ def merge(
         or (kind == "right" and unique == "left")
     )
     if plain:
+        # A side that was grouped by the join's key keeps that partitioning, and then adaptive
+        # execution does not split a hot key of the other side: deal it out anew.
+        if unique in ("right", "both"):
+            renamed = renamed.hint("rebalance")
+        if unique in ("left", "both"):
+            left = left.hint("rebalance")
         return left.join(renamed, condition, kind).select(result)
 
     parts = left.join(renamed, condition, "inner").select(result)
@@ -116,8 +124,9 @@ def _keys(left, right, on, left_on, right_on) -> tuple[list[str], list[str]]:
     require_columns(right, right_keys)
     for lk, rk in zip(left_keys, right_keys):
         lt, rt = type_of(left, lk), type_of(right, rk)
-        both_numbers = isinstance(lt, T.NumericType) and isinstance(rt, T.NumericType)
-        if lt != rt and not both_numbers:
+        # A whole number beyond 2**53 would match its rounded neighbours as a double.
+        both_whole = isinstance(lt, T.IntegralType) and isinstance(rt, T.IntegralType)
+        if lt != rt and not both_whole:
             raise TypeError(f"keys {lk!r} ({lt.simpleString()}) and {rk!r} ({rt.simpleString()}) do not compare")
     return left_keys, right_keys
 

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
 from functools import reduce
-from itertools import combinations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,6 +18,7 @@ from .columns import columns_of_kind
 from .quantiles import exact_quantiles
 
 _PAIRS_PER_SCAN = 8
+_ROUNDING = 1e-12
 _COLUMNS_PER_SCAN = 10
 
 
@@ -48,7 +52,7 @@ def numeric_stats(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 def null_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """One row with the number of nulls of each column, under the column's name."""
     columns = require_columns(df, columns or df.columns)
-    return df.agg(*[F.count_if(ref(c).isNull()).alias(c) for c in columns])
+    return _in_parts(df, {c: F.count_if(ref(c).isNull()) for c in columns}, 4 * _COLUMNS_PER_SCAN)
 
 
 def count_duplicates(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
@@ -74,19 +78,61 @@ def correlation_matrix(df: DataFrame, columns: list[str] | None = None) -> DataF
     """Pearson correlations of all numeric columns, one row per ``column``.
 
     Each pair ignores rows where one of the two is null; a constant column has no
-    correlation with anything, itself included.
+    correlation with anything, itself included. Two scans, whatever the number of
+    columns, run when this is called: one for each column's mean and range, one for the
+    products of the columns less their means, in blocks of rows. A task sends one row for
+    each pair of columns.
     """
     columns = require_columns(df, columns or columns_of_kind(df, "numeric"))
-    places = range(len(columns))
-    measures = {f"{i} {j}": pearson(ref(columns[i]), ref(columns[j])) for i, j in combinations(places, 2)}
-    measures |= {f"{i} {i}": F.when(F.min(ref(c)) < F.max(ref(c)), 1.0) for i, c in enumerate(columns)}
-    measured = _in_parts(df, measures, _PAIRS_PER_SCAN)
-
-    def cell(i: int, j: int) -> Column:
-        return ref(f"{min(i, j)} {max(i, j)}").alias(columns[j])
-
-    rows = [F.struct(F.lit(columns[i]).alias("column"), *[cell(i, j) for j in places]) for i in places]
-    return measured.select(F.explode(F.array(*rows)).alias("row")).select("row.*")
+    spark, width = df.sparkSession, len(columns)
+    values = [ref(c).cast("double") for c in columns]
+    cells = df.select(F.posexplode(F.array(*values)).alias("i", "value")).where("value is not null")
+    ranges = cells.groupBy("i").agg(F.mean("value").alias("mean"), F.min("value").alias("low"), F.max("value").alias("high"))
+    found = {r["i"]: r for r in ranges.collect()}
+    means = np.array([found[i]["mean"] if i in found else 0.0 for i in range(width)])
+    varies = [i in found and found[i]["low"] < found[i]["high"] for i in range(width)]
+
+    def products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((4, width, width))
+        for batch in batches:
+            known = np.stack([c.is_valid().to_numpy(zero_copy_only=False) for c in batch.columns], axis=1).astype(float)
+            x = np.stack([c.fill_null(0.0).to_numpy(zero_copy_only=False) for c in batch.columns], axis=1)
+            x = np.where(known > 0, x - means, 0.0)
+            sums += np.stack([known.T @ known, x.T @ known, (x * x).T @ known, x.T @ x])
+        i, j = np.triu_indices(width, 1)
+        named = {"n": sums[0][i, j], "x": sums[1][i, j], "y": sums[1][j, i]}
+        named |= {"xx": sums[2][i, j], "yy": sums[2][j, i], "xy": sums[3][i, j]}
+        yield pa.RecordBatch.from_pydict({"i": pa.array(i, pa.int32()), "j": pa.array(j, pa.int32())} | named)
+
+    schema = "i int, j int, n double, x double, y double, xx double, yy double, xy double"
+    blocks = df.select([v.alias(f"c{i}") for i, v in enumerate(values)]).mapInArrow(products, schema)
+    sums = blocks.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "x", "y", "xx", "yy", "xy")])
+    results: dict[tuple[int, int], float | None] = {(i, i): 1.0 if varies[i] else None for i in range(width)}
+    for r in sums.collect():
+        xx, yy = r["n"] * r["xx"] - r["x"] ** 2, r["n"] * r["yy"] - r["y"] ** 2
+        # What is left of a constant's square after subtracting it is rounding.
+        constant = xx <= _ROUNDING * r["n"] * r["xx"] or yy <= _ROUNDING * r["n"] * r["yy"]
+        value = None if constant else (r["n"] * r["xy"] - r["x"] * r["y"]) / math.sqrt(xx * yy)
+        results[r["i"], r["j"]] = results[r["j"], r["i"]] = value
+    rows = [(c, *[results.get((i, j)) for j in range(width)]) for i, c in enumerate(columns)]
+    schema = T.StructType([T.StructField("column", T.StringType())] + [T.StructField(c, T.DoubleType()) for c in columns])
+    return spark.createDataFrame(rows, schema)
+
+
+def _day_micros(c: Column) -> Column:
+    """Microseconds since 1970 of a date or timestamp as its clock shows it, as a double."""
+    ntz = c.cast("timestamp_ntz")
+    days = F.datediff(ntz.cast("date"), F.lit("1970-01-01").cast("date")).cast("double")
+    seconds = F.hour(ntz) * 3600 + F.minute(ntz) * 60 + F.extract(F.lit("SECOND"), ntz)
+    return days * 86_400e6 + F.rint(seconds.cast("double") * 1e6)
+
+
+def _clock_text(micros: Column) -> Column:
+    start = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    days = F.floor(micros / 86_400e6).cast("int")
+    rest = ((micros - days * F.lit(86_400e6)) / 1e6).cast("decimal(18,6)")
+    moment = start + F.make_dt_interval(days, F.lit(0), F.lit(0), rest)
+    return moment.cast("string")
 
 
 def describe(
@@ -94,41 +140,50 @@ def describe(
 ) -> DataFrame:
     """Rows ``count, null_count, mean, std, min, 25%, 50%, 75%, max`` per column.
 
-    Numeric and boolean columns are described as doubles, others as text with count,
-    nulls, minimum and maximum. A percentile is the value nearest to that share of the
-    way from the first to the last. The exact ones take some aggregations of their own,
-    run when this is called (see ``exact_quantiles``); otherwise they come with the
-    rest from a sketch of bounded size, with ranks off by up to ``rows / accuracy``.
+    Numeric and boolean columns are described as doubles; dates and timestamps as text,
+    with a mean and percentiles but no deviation; others as text with count, nulls,
+    minimum and maximum. A percentile is the value nearest to that share of the way
+    from the first to the last. The exact ones take some scans of their own, run when
+    this is called (see ``exact_quantiles``); otherwise they come with the rest from a
+    sketch of bounded size, with ranks off by up to ``rows / accuracy``.
     """
     columns = require_columns(df, columns or df.columns)
     numbers: dict[str, Column] = {}
+    moments: dict[str, Column] = {}
     for c in columns:
         kind = type_of(df, c)
         if isinstance(kind, T.BooleanType):
             numbers[c] = ref(c).cast("int").cast("double")
         elif isinstance(kind, T.NumericType):
             numbers[c] = ref(c).cast("double")
+        elif isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+            moments[c] = _day_micros(ref(c))
     shares = {"25%": 0.25, "50%": 0.5, "75%": 0.75}
-    found = exact_quantiles(df, numbers, list(shares.values()), accuracy) if exact and numbers else {}
+    found = exact_quantiles(df, numbers | moments, list(shares.values())) if exact else {}
 
     measures: dict[str, Column] = {}
     for c in columns:
         value = numbers.get(c, ref(c))
         measures |= {f"count {c}": F.count(value), f"null_count {c}": F.count_if(value.isNull())}
         measures |= {f"min {c}": F.min(value), f"max {c}": F.max(value)}
-        if c in numbers:
-            measures |= {f"mean {c}": F.mean(value), f"std {c}": F.stddev_samp(value)}
+        if c in numbers or c in moments:
+            scale = numbers.get(c, moments.get(c))
+            measures[f"mean {c}"] = F.mean(scale)
+            if c in numbers:
+                measures[f"std {c}"] = F.stddev_samp(scale)
             if not exact:
-                measures[f"percentiles {c}"] = F.percentile_approx(value, list(shares.values()), accuracy)
-    measured = df.agg(*[m.alias(n) for n, m in measures.items()])
+                measures[f"percentiles {c}"] = F.percentile_approx(scale, list(shares.values()), accuracy)
+    measured = _in_parts(df, measures, 6 * _COLUMNS_PER_SCAN)
 
     def cell(statistic: str, c: str) -> Column:
-        if statistic in shares and c in numbers:
+        name = f"{statistic} {c}"
+        if statistic in shares and (c in numbers or c in moments):
             i = list(shares).index(statistic)
-            shown = F.lit(found[c][i]) if exact else ref(f"percentiles {c}")[i]
+            shown = F.lit(found[c][i]).cast("double") if exact else ref(f"percentiles {c}")[i]
         else:
-            name = f"{statistic} {c}"
             shown = ref(name) if name in measures else F.lit(None)
+        if c in moments and (statistic in shares or statistic == "mean"):
+            shown = _clock_text(shown)
         return shown.cast("double" if c in numbers else "string").alias(c)
 
     statistics = ["count", "null_count", "mean", "std", "min", *shares, "max"]

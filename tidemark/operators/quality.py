@@ -12,11 +12,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import fixed_values as fixed
-from ..functions import parse_timestamp, rate, round_half_even
+from ..functions import parse_timestamp, rate, two_decimals
 from ..naming import ref, type_of
 
 _TEMPORAL = (T.DateType, T.TimestampType, T.TimestampNTZType)
 _EPOCH = (T.LongType, T.IntegerType, T.DoubleType)
+# In Java ``$`` also matches before a last line break, and word characters need a flag.
+_EMAIL = "(?U)" + fixed.EMAIL_PATTERN.removesuffix("$") + r"\z"
 
 
 @dataclass(frozen=True)
@@ -53,7 +55,7 @@ def _not_negative(df, name, options):
 
 
 def _email(df, name, options):
-    return _counter(fixed.TEXT_EMAIL, ~ref(name).cast("string").rlike(f"(?U){fixed.EMAIL_PATTERN}"))
+    return _counter(fixed.TEXT_EMAIL, ~ref(name).cast("string").rlike(_EMAIL))
 
 
 def _no_repeats(df, name, options):
@@ -77,16 +79,18 @@ def _date_format(df, name, options):
     if isinstance(kind, T.StringType):
         if options["compat_dates"]:
             return _verdict(True, fixed.TEXT_DATE_FROM_TEXT.format(name))
-        return _counter("fechas no reconocidas", ref(name).isNotNull() & parse_timestamp(ref(name)).isNull())
+        parsed = parse_timestamp(ref(name), options["date_formats"])
+        return _counter("fechas no reconocidas", ref(name).isNotNull() & parsed.isNull())
     return _verdict(False, fixed.TEXT_NO_DATE_TYPE.format(kind.simpleString()))
 
 
 def _not_future(df, name, options):
     kind = type_of(df, name)
     if isinstance(kind, T.StringType):
-        date = parse_timestamp(ref(name)).cast("date")
+        date = parse_timestamp(ref(name), options["date_formats"]).cast("date")
     elif isinstance(kind, _EPOCH):
-        date = F.timestamp_seconds(ref(name)).cast("date")
+        # Days since 1970, whatever the session's time zone.
+        date = F.date_add(F.lit(datetime.date(1970, 1, 1)), F.floor(ref(name) / 86400).cast("int"))
     else:
         _require(df, name, *_TEMPORAL)
         date = ref(name).cast("date")
@@ -100,11 +104,10 @@ def _minimum_age(df, name, options):
 
 def _mostly_null(df, name, options):
     def share(n, total):
-        return rate(n * 100.0, total, when_empty=0.0)
+        return rate(n, total, when_empty=0.0) * 100.0
 
     def text(n, total):
-        # Rounded half to even first: the formatter itself rounds half up.
-        return F.format_string("%.2f%s", round_half_even(share(n, total)), F.lit(fixed.TEXT_NULL_SHARE))
+        return F.concat(two_decimals(share(n, total)), F.lit(fixed.TEXT_NULL_SHARE))
 
     return _Check(text, lambda n, total: share(n, total) > fixed.NULL_SHARE_LIMIT, counted=ref(name).isNull())
 
@@ -134,13 +137,15 @@ def quality_report(
     as_of: datetime.date | None = None,
     minimum_age: int = fixed.MINIMUM_AGE,
     compat_dates: bool = False,
+    date_formats: tuple[str, ...] | None = (fixed.DATE_FORMAT,),
 ) -> DataFrame:
     """One row per ``(column, rule)`` and a last row with the number of rows.
 
     Columns: ``orden`` (position of the rule), ``columna``, ``regla``, ``estado``
     and ``detalle``. Every rule reads the table as given. ``as_of`` is the day that
-    ``fecha_no_futura`` compares with (today by default); ``compat_dates`` accepts
-    any text as a date.
+    ``fecha_no_futura`` compares with (today by default). Text is a date if one of the
+    Java patterns ``date_formats`` reads it (with None, as in ``parse_timestamp``);
+    ``compat_dates`` accepts any text as a date in ``formato_fecha``.
 
     All counters come from one aggregation that shuffles one row per task. Only
     ``no_duplicados`` needs a shuffle of values; each such column is counted on its
@@ -151,6 +156,7 @@ def quality_report(
         "as_of": F.current_date() if as_of is None else F.lit(as_of),
         "minimum_age": minimum_age,
         "compat_dates": compat_dates,
+        "date_formats": list(date_formats) if date_formats else None,
     }
     checks = [_check(df, column, rule, options) for column, rule in rules]
 

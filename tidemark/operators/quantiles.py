@@ -1,57 +1,27 @@
-"""Exact quantiles of large columns from a few bounded aggregations."""
+"""Exact quantiles of large columns by counting values between known bounds."""
 
 from __future__ import annotations
 
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..naming import ref
+# Stretches that the values between two bounds are counted in.
+STRETCHES = 4096
 
 
 @dataclass
 class _Search:
-    """One quantile: its rank among the known values, and what is left to look at.
+    """A quantile's rank among the values of a column, and the bounds that it lies within,
+    ``below`` values being smaller than ``low``."""
 
-    The value wanted lies strictly between ``low`` and ``high`` (open ends are None),
-    ``below`` values being at or under ``low`` and ``size`` values in between.
-    """
-
-    values: Column
+    column: int
     rank: int
-    size: int
-    below: int = 0
-    low: float | None = None
-    high: float | None = None
-    found: float | None = None
-
-    def inside(self) -> Column:
-        kept = self.values.isNotNull()
-        if self.low is not None:
-            kept = kept & (self.values > F.lit(self.low))
-        if self.high is not None:
-            kept = kept & (self.values < F.lit(self.high))
-        return F.when(kept, self.values)
-
-    def guess(self, accuracy: int) -> Column:
-        """The wanted rank by a sketch, and values a little to both sides of it."""
-        share = (self.rank - self.below - 0.5) / self.size
-        margin = 2 / accuracy
-        around = [max(share - margin, 0.0), share, min(share + margin, 1.0)]
-        return F.percentile_approx(self.inside(), around, accuracy)
-
-    def settle(self, candidate: float, under: int, up_to: int) -> None:
-        """Take in a counted candidate: the value itself, or a new bound."""
-        if under < self.rank <= up_to:
-            self.found = candidate
-        elif up_to < self.rank:
-            if up_to >= self.below:
-                self.size -= up_to - self.below
-                self.low, self.below = candidate, up_to
-        elif under < self.below + self.size:
-            self.high, self.size = candidate, under - self.below
+    below: int
+    low: float
+    high: float
 
 
 def nearest_rank(count: int, share: float) -> int:
@@ -60,41 +30,65 @@ def nearest_rank(count: int, share: float) -> int:
 
 
 def exact_quantiles(
-    df: DataFrame, columns: dict[str, Column], shares: list[float], accuracy: int = 10_000
+    df: DataFrame, columns: dict[str, Column], shares: list[float], stretches: int = STRETCHES
 ) -> dict[str, list[float | None]]:
     """Per named double column, the values nearest to the given shares; null is left out.
 
-    A mergeable sketch proposes values, counting the smaller and the equal ones proves
-    them or narrows the search. Each round is two aggregations over the table; the
-    first is enough below ``accuracy / 2`` values, and a further one looks at about
-    ``4 / accuracy`` of the values that the last one did.
+    One scan finds each column's number of values, minimum and maximum. Every further scan
+    counts, for all columns and shares at once, the values in equal stretches between
+    the bounds of a search, and takes over the bounds of the stretch that holds the rank,
+    until they are one value. Counts are reduced in the map tasks and by stretch, never
+    in one task, and what comes to the driver is one row per search.
     """
-    counts = df.agg(*[F.count(c).alias(n) for n, c in columns.items()]).first()
-    searches = {
-        (name, i): _Search(values, nearest_rank(counts[name], share), counts[name])
-        for name, values in columns.items()
-        if counts[name]
-        for i, share in enumerate(shares)
-    }
-    open_ones = dict(searches)
+    spark, names = df.sparkSession, list(columns)
+    if not names:
+        return {}
+    cells = df.select(F.posexplode(F.array(*columns.values())).alias("column", "value")).where("value is not null")
+    finite = F.when(F.abs("value") < float("inf"), F.col("value"))
+    measured = cells.groupBy("column").agg(
+        F.count_if(F.col("value") == float("-inf")).alias("lowest"),
+        F.count(finite).alias("finite"),
+        F.count_if(F.col("value") == float("inf")).alias("highest"),
+        F.count(F.lit(1)).alias("all"),
+        F.min(finite).alias("low"),
+        F.max(finite).alias("high"),
+    )
+    found: dict[tuple[int, int], float] = {}
+    open_ones: dict[tuple[int, int], _Search] = {}
+    for row in measured.collect():
+        for i, share in enumerate(shares):
+            key, rank = (row["column"], i), nearest_rank(row["all"], share)
+            if rank <= row["lowest"]:
+                found[key] = float("-inf")
+            elif rank <= row["lowest"] + row["finite"]:
+                open_ones[key] = _Search(row["column"], rank, row["lowest"], row["low"], row["high"])
+            else:
+                # Not-a-number comes after all numbers.
+                found[key] = float("inf") if rank <= row["lowest"] + row["finite"] + row["highest"] else float("nan")
     while open_ones:
-        guesses = df.agg(*[s.guess(accuracy).alias(f"{i} {n}") for (n, i), s in open_ones.items()]).first()
-        candidates = [
-            (key, value) for key in open_ones for value in dict.fromkeys(guesses[f"{key[1]} {key[0]}"])
+        for key in [k for k, s in open_ones.items() if s.low == s.high]:
+            found[key] = open_ones.pop(key).low
+        if not open_ones:
+            break
+        numbered = list(open_ones.items())
+        fields = ("search", "column", "rank", "low", "high", "width")
+        literals = [
+            (n, s.column, s.rank - s.below, s.low, s.high, s.high / stretches - s.low / stretches) for n, (_, s) in enumerate(numbered)
         ]
-        counters = []
-        for j, (key, value) in enumerate(candidates):
-            values = open_ones[key].values
-            counters += [
-                F.count_if(values < F.lit(value)).alias(f"under {j}"),
-                F.count_if(values <= F.lit(value)).alias(f"up to {j}"),
-            ]
-        counted = df.agg(*counters).first()
-        for j, (key, value) in enumerate(candidates):
-            if open_ones[key].found is None:
-                open_ones[key].settle(value, counted[f"under {j}"], counted[f"up to {j}"])
-        open_ones = {key: s for key, s in open_ones.items() if s.found is None}
-    return {
-        name: [searches[name, i].found if (name, i) in searches else None for i in range(len(shares))]
-        for name in columns
-    }
+        structs = [F.struct(*[F.lit(v).alias(f) for f, v in zip(fields, row)]) for row in literals]
+        bounds = spark.range(1).select(F.inline(F.array(*structs)))
+        # One row for each column and share.
+        inside = cells.join(F.broadcast(bounds), "column").where("value between low and high")
+        # Half the values first, so that no difference overflows.
+        place = F.try_divide(F.col("value") / 2 - F.col("low") / 2, F.col("width") / 2)
+        stretch = F.least(F.floor(F.coalesce(place, F.lit(0.0))), F.lit(stretches - 1)).cast("int")
+        counted = inside.groupBy("search", stretch.alias("stretch")).agg(
+            F.count(F.lit(1)).alias("n"), F.min("value").alias("least"), F.max("value").alias("most"), F.first("rank").alias("rank")
+        )
+        up_to = F.sum("n").over(Window.partitionBy("search").orderBy("stretch"))
+        hit = counted.withColumn("up_to", up_to).where("rank <= up_to and rank > up_to - n")
+        for row in hit.collect():
+            search = open_ones[numbered[row["search"]][0]]
+            search.below += row["up_to"] - row["n"]
+            search.low, search.high = row["least"], row["most"]
+    return {name: [found.get((k, i)) for i in range(len(shares))] for k, name in enumerate(names)}

@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 from ..naming import ref
 from ..session import fresh_path
 
-# Up to this many rows a sorted slice is taken as a bounded top-k.
-TOP_ROWS = 1_000_000
 _PART, _POSITION, _START = "__part", "__position", "__start"
 
 
@@ -60,18 +58,16 @@ def number_rows(
 
 
 def slice_rows(
-    df: DataFrame, order_by: list[str | Column], offset: int, length: int, top_rows: int = TOP_ROWS
+    df: DataFrame, order_by: list[str | Column], offset: int, length: int, path: str | None = None
 ) -> DataFrame:
     """Rows ``offset`` to ``offset + length`` of a total order.
 
-    A slice near the start is a bounded top-k; a far or long one is cut out of
-    ``number_rows``, so that no task has to hold all rows before it.
+    Cut out of ``number_rows``, so that no task has to hold the rows before it. The
+    numbered table is written to ``path``, or to a fresh place in the shared folder,
+    and stays there.
     """
     if offset < 0 or length < 0:
         raise ValueError("offset and length must not be negative")
-    order = [ref(c) if isinstance(c, str) else c for c in order_by]
-    if offset + length <= top_rows:
-        return df.orderBy(*order).offset(offset).limit(length)
-    numbered = number_rows(df, order_by, name="__row")
+    numbered = number_rows(df, order_by, name="__row", path=path)
     inside = (ref("__row") >= offset) & (ref("__row") < offset + length)
     return numbered.filter(inside).select([ref(c) for c in df.columns])

@@ -101,7 +101,7 @@ def clean_messages(raw: DataFrame) -> DataFrame:
 
 
 def known_messages(messages: DataFrame, campaigns: DataFrame, clients: DataFrame) -> DataFrame:
-    """Messages whose campaign and client are both known."""
+    """Messages whose campaign and client are both known; either key is primary in its table."""
     return keep_referenced(
-        messages, [("campaign_id", campaigns, "id"), ("client_id", clients, "client_id")]
+        messages, [("campaign_id", campaigns, "id"), ("client_id", clients, "client_id")], unique_keys=True
     )

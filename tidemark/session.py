@@ -30,11 +30,12 @@ def local_session(cpus: int | str = 8, app: str = "tidemark") -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors see, as named by ``spark.checkpoint.dir``.
+    """The folder all executors see: ``spark.checkpoint.dir``, or what
+    ``SparkContext.setCheckpointDir`` was given.
 
-    Only a local session may fall back to a temporary folder of this machine.
+    Only a local session that names neither falls back to a temporary folder of this machine.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):

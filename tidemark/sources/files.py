@@ -2,20 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..naming import ref, require_columns
-from ..session import has_at_most
 
 # No CSV cell holds this text: an unquoted empty cell is read as null while a
 # quoted one stays the empty text.
 _NEVER = "\u0000"
 
-# A list of this many paths stays in the tens of megabytes.
-_BROADCAST_FILES = 100_000
-
 
 def _locations(paths: str | list[str] | None, folder: str | None) -> list[str]:
     paths = [paths] if isinstance(paths, str) else list(paths or [])
@@ -57,6 +53,9 @@ def csv_reader_options(sep: str, header: bool, multiline: bool, mode: str) -> di
         "escape": '"',
         "nullValue": _NEVER,
         "emptyValue": "",
+        # Line by line, a wrong number of cells is the one sign of a line break in a
+        # cell; with pruned columns the parser would not count them.
+        "columnPruning": str(multiline).lower(),
     }
 
 
@@ -80,7 +79,9 @@ def read_csv(
     (see ``infer_schema``). Dates are best read as text and converted afterwards.
     An empty cell is null, a quoted empty cell is empty text. A cell that does not
     fit its type fails the job unless ``mode`` is ``PERMISSIVE`` or ``DROPMALFORMED``.
-    ``multiline`` allows line breaks inside quoted cells but reads each file in one task.
+    ``multiline`` allows line breaks inside quoted cells but reads each file in one task;
+    without it they fail the job. That takes parsing every cell of a line, whatever columns
+    are selected, and for files of a single column a scan of their own, run when this is called.
     ``position`` names a column that sorts the rows as the files hold them, in the order
     of their paths, for keeping the first of duplicate rows as written.
     """
@@ -101,6 +102,8 @@ def read_csv(
         schema = T.StructType([T.StructField(n, kinds.get(n, T.StringType())) for n in names])
     # Fail on a file whose header differs, rather than shift its columns.
     reader = reader.schema(schema).option("enforceSchema", "false")
+    if len(schema.fields) == 1 and not multiline:
+        _require_whole_lines(spark, locations, "*.csv" if folder else None, exclude)
     df = _without(reader.csv(locations), exclude)
     kept = [ref(c) for c in (require_columns(df, columns) if columns else df.columns)]
     if position:
@@ -110,6 +113,15 @@ def read_csv(
     return df.select(kept)
 
 
+def _require_whole_lines(spark: SparkSession, locations: list[str], pattern: str | None, excluded: list[str] | None) -> None:
+    """Fail if a line of a one-column file opens a quote that it does not close."""
+    reader = spark.read.option("pathGlobFilter", pattern) if pattern else spark.read
+    lines = _without(reader.text(locations), excluded)
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    if not lines.where(quotes % 2 == 1).isEmpty():
+        raise ValueError("a cell holds a line break: read these files with multiline=True")
+
+
 _WHOLE, _DECIMAL, _FLAG, _TEXT = 1, 2, 4, 8
 
 
@@ -148,10 +160,11 @@ def read_parquet(
 ) -> DataFrame:
     """Scan Parquet files: the listed ones, or all ``*.parquet`` of a folder except some.
 
-    ``position`` names a column for the 0-based place of each row in the files, taken
-    in the order of their paths: the table's own order, for keeping the first of
-    duplicate rows as written. ``chunk=(part, size)`` reads the rows from
-    ``part * size`` up to the next part in that order.
+    ``position`` names a column that sorts the rows as the files hold them, in the order
+    of their paths (the path and the row's index in the file), for keeping the first
+    of duplicate rows as written. ``chunk=(part, size)`` reads the rows from ``part * size``
+    up to the next part in that order, and opens only the files that hold them. Their
+    numbers of rows are taken from the footers when the plan is built.
     """
     locations = _locations(paths, folder)
     reader = spark.read.option("pathGlobFilter", "*.parquet") if folder else spark.read
@@ -160,29 +173,30 @@ def read_parquet(
         reader = reader.schema(spark.read.parquet(*sample).schema)
     df = _without(reader.parquet(*locations), exclude)
     kept = require_columns(df, columns) if columns else df.columns
-    if position is None and chunk is None:
-        return df.select([ref(c) for c in kept])
-
-    numbered = _positioned(df, position or "__row")
     if chunk is not None:
-        part, size = chunk
-        place = ref(position or "__row")
-        numbered = numbered.filter((place >= part * size) & (place < (part + 1) * size))
-    return numbered.select([ref(c) for c in kept] + ([ref(position)] if position else []))
-
-
-def _positioned(df: DataFrame, name: str) -> DataFrame:
-    """Add the place of each row: rows of the files before its own, plus its row index.
-
-    Counting the rows per file reads Parquet footers only, and nothing is sorted or
-    shuffled but the list of files, which is broadcast up to a measured size.
-    """
-    path = F.col("_metadata.file_path")
-    sizes = df.select(path.alias("__file")).groupBy("__file").agg(F.count(F.lit(1)).alias("n"))
-    before = Window.orderBy("__file").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("__file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__start"))
-    if has_at_most(sizes, _BROADCAST_FILES):
-        starts = F.broadcast(starts)
-    tagged = df.withColumns({"__file": path, "__index": F.col("_metadata.row_index")})
-    place = (ref("__start") + ref("__index")).alias(name)
-    return tagged.join(starts, "__file").select([ref(c) for c in df.columns] + [place])
+        df = df.filter(_inside_chunk(df, *chunk))
+    rows = [ref(c) for c in kept]
+    if position:
+        rows.append(F.struct("_metadata.file_path", "_metadata.row_index").alias(position))
+    return df.select(rows)
+
+
+def _inside_chunk(df: DataFrame, part: int, size: int) -> Column:
+    """Whether a row is one of ``part * size`` up to the next part, by its file's path and
+    its index there; Spark skips the files that the condition on the path leaves out."""
+    path, index = F.col("_metadata.file_path"), F.col("_metadata.row_index")
+    sizes = df.select(path.alias("file")).groupBy("file").agg(F.count(F.lit(1)).alias("n"))
+    # One row for each file that is not empty.
+    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    begins = sizes.select("file", "n", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("begin"))
+    low, high = part * size, (part + 1) * size
+    held = begins.filter((F.col("begin") < high) & (F.col("begin") + F.col("n") > low))
+    ends = held.agg(F.min(F.struct("file", "begin")).alias("first"), F.max(F.struct("file", "begin")).alias("last")).first()
+    if ends["first"] is None:
+        return F.lit(False)
+    (first, first_begin), (last, last_begin) = ends["first"], ends["last"]
+    return (
+        path.between(first, last)
+        & ((path != first) | (index >= low - first_begin))
+        & ((path != last) | (index < high - last_begin))
+    )

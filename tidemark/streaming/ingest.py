@@ -9,6 +9,10 @@ from pyspark.sql import types as T
 
 from ..sources.files import csv_reader_options
 
+# The stream ignores files this much older than the newest one it has seen, and forgets
+# their names: longer than any file's age, so that late files are read.
+_NO_AGE_LIMIT = "36500d"
+
 
 def ingest_files(
     spark: SparkSession,
@@ -27,10 +31,13 @@ def ingest_files(
 
     The checkpoint remembers which files were read and the target's own log which
     batches were committed, so a rerun after a failure neither loses nor repeats
-    rows. Both must be on storage that outlives the run. CSV columns are taken by position, as in ``schema``; the header is checked.
+    rows. A file counts as new by its name, however old it is; for that the checkpoint
+    keeps the name of every file ever read, and its log grows with them. Both must be
+    on storage that outlives the run. CSV columns are taken by position, as in ``schema``; the header is checked.
     ``transform`` must work row by row (cast, fill, filter, drop).
     """
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
+    reader = reader.option("maxFileAge", _NO_AGE_LIMIT)
     reader = reader.option("pathGlobFilter", pattern or f"*.{fmt}")
     if fmt == "csv":
         reader = reader.options(**csv_reader_options(sep, True, False, "FAILFAST"))
