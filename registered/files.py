@@ -235,6 +235,32 @@ def jobs_validation(spark, sf):
     return reduce(DataFrame.unionAll, named)
 
 
+def _exported(spark, sf) -> plans.Layout:
+    at = _bronze(spark, sf)
+    plans.build_silver(spark, at)
+    plans.build_gold(spark, at)
+    plans.export_csv(spark, at)
+    return at
+
+
+def jobs_export_performance(spark, sf):
+    """The performance table as read back from its CSV export."""
+    at = _exported(spark, sf)
+    return read_csv(spark, at.export("performance"), read_parquet(spark, at.gold("performance")).schema)
+
+
+def jobs_export_holidays(spark, sf):
+    """The enriched holidays as read back from their CSV export."""
+    exported = read_csv(spark, _exported(spark, sf).export("holidays"), "day BIGINT, month BIGINT, year BIGINT")
+    return exported.withColumn("date", F.substring("date", 1, 10))
+
+
+JOBS_EXPORT_HOLIDAYS = f"""
+SELECT strftime("date", '%Y-%m-%d') AS "date", holiday, day("date") AS day, month("date") AS month, year("date") AS year,
+       (['Lunes', 'Martes', 'Miercoles', 'Jueves', 'Viernes', 'Sabado', 'Domingo'])[isodow("date")] AS weekday
+FROM {raw.SQL_HOLIDAYS}"""
+
+
 def _jobs_validation_sql() -> str:
     def flags(names):
         return [sql_fixed(n, "validacion_boolean", False, f"Columna '{n}' es tipo booleano.") for n in names]
@@ -297,5 +323,10 @@ QUERIES = {
         jobs_performance,
         sql_rates("campaign_id", "message_id", SQL_KNOWN, SQL_TOTALS),
     ),
+    "jobs_export_performance": (
+        jobs_export_performance,
+        sql_rates("campaign_id", "message_id", SQL_KNOWN, SQL_TOTALS),
+    ),
+    "jobs_export_holidays": (jobs_export_holidays, JOBS_EXPORT_HOLIDAYS),
     "jobs_validation": (jobs_validation, _jobs_validation_sql()),
 }

@@ -2,6 +2,7 @@ import datetime
 import itertools
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.operators import count_referenced, flag_membership, keep_referenced, merge
 
@@ -205,3 +206,54 @@ def test_hot_days_are_split(spark, eager_splitting):
     plan = _executed(flagged)
     assert "skew=true" in plan and "BroadcastHashJoin" not in plan
     assert flagged.filter("d_holiday").count() == 40000 and flagged.count() == 60000
+
+
+def test_whole_numbers_do_not_join_with_fractions(spark):
+    big = spark.createDataFrame([(2**53 + 1,)], "k long")
+    near = spark.createDataFrame([(float(2**53),)], "k double")
+    with pytest.raises(TypeError):
+        merge(big, near, on="k")
+    assert merge(big, spark.createDataFrame([(5,)], "k int"), on="k").count() == 0
+    assert merge(big.selectExpr("CAST(5 AS INT) k"), spark.createDataFrame([(5,)], "k long"), on="k").count() == 1
+
+
+def test_a_unique_side_that_was_grouped_is_dealt_anew(spark):
+    """So that a hot key of the other side can be split under default settings."""
+    forced = "spark.sql.adaptive.forceOptimizeSkewedJoin"
+    settings = {
+        forced: "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        rows = spark.range(0, 60_000, 1, 8).selectExpr("IF(id % 3 = 0, 7, id % 500) AS k", "id")
+        most = rows.groupBy("k").agg(F.max("id").alias("most"))
+        joined = merge(rows, most, on="k", how="left", unique="right")
+        assert joined.count() == 60_000
+        joined.collect()
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in plan
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
+def test_known_messages_shuffle_once_for_each_reference(spark):
+    from tidemark.plans import known_messages
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        messages = spark.range(0, 100, 1, 4).selectExpr("id AS campaign_id", "id + 1 AS client_id")
+        campaigns, clients = spark.range(0, 50, 1, 4).toDF("id"), spark.range(0, 70, 1, 4).toDF("client_id")
+        known = known_messages(messages, campaigns, clients)
+        plan = known._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 4 and "Aggregate" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

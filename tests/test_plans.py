@@ -1,6 +1,7 @@
 """The whole chain of jobs on a few literal files."""
 
 import json
+import os
 
 import pytest
 
@@ -99,3 +100,21 @@ def test_a_rerun_changes_nothing_and_new_messages_come_in_once(spark, rows, at,
     _write(tmp_path / "bronze/messages/2.csv", RAW_MESSAGES.names, [_message(5, 2, 11)])
     plans.build_silver(spark, at)
     assert rows(read_parquet(spark, at.silver("messages_known")), "id") == [(1,), (2,), (5,)]
+
+
+def test_the_shared_folder(spark):
+    """Named by the session's setting, else by the context, else only a local session has one."""
+    from types import SimpleNamespace
+
+    from tidemark import session
+
+    def named(setting, of_context, master):
+        context = SimpleNamespace(getCheckpointDir=lambda: of_context, master=master)
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: setting), sparkContext=context)
+
+    assert session.shared_folder(named("hdfs://a/b/", "hdfs://c", "yarn")) == "hdfs://a/b"
+    assert session.shared_folder(named(None, "hdfs://c", "yarn")) == "hdfs://c"
+    assert session.fresh_path(named(None, "hdfs://c", "yarn"), "x").startswith("hdfs://c/tidemark/x-")
+    assert os.path.isabs(session.shared_folder(named(None, None, "local[2]")))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_folder(named(None, None, "yarn"))
