@@ -258,7 +258,7 @@ def jobs_export_holidays(spark, sf):
 JOBS_EXPORT_HOLIDAYS = f"""
 SELECT strftime("date", '%Y-%m-%d') AS "date", holiday, day("date") AS day, month("date") AS month, year("date") AS year,
        (['Lunes', 'Martes', 'Miercoles', 'Jueves', 'Viernes', 'Sabado', 'Domingo'])[isodow("date")] AS weekday
-FROM {raw.SQL_HOLIDAYS}"""
+FROM {raw.SQL_FIRST_HOLIDAYS}"""
 
 
 def _jobs_validation_sql() -> str:

@@ -139,6 +139,9 @@ def raw_holidays(spark, sf) -> DataFrame:
 
 SQL_HOLIDAYS = f"""(SELECT CAST({_HOLIDAY_DAY} AS TIMESTAMP) AS "date", min(concat('Fiesta ', user_id)) AS holiday
     FROM events GROUP BY 1)"""
+# The job keeps the first row of a date as the file holds them.
+SQL_FIRST_HOLIDAYS = f"""(SELECT CAST({_HOLIDAY_DAY} AS TIMESTAMP) AS "date", arg_min(concat('Fiesta ', user_id), event_id) AS holiday
+    FROM events GROUP BY 1)"""
 SQL_HOLIDAY_DAYS = f"(SELECT {_HOLIDAY_DAY} FROM events)"
 
 
