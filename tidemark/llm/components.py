@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import keep
+from tidemark.llm.shared import dealt_anew, keep
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -22,9 +22,9 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("least")).select("a", F.least("a", "least").alias("least"))
-        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b")).distinct()
+        large = both.where("b > a").join(dealt_anew(least), "a").select(F.col("b").alias("a"), F.col("least").alias("b")).distinct()
         least = large.groupBy("a").agg(F.min("b").alias("least"))
-        small = large.join(least, "a")
+        small = large.join(dealt_anew(least), "a")
         small = small.select(F.col("b").alias("a"), F.col("least").alias("b")).where("a > b")
         edges = keep(small.unionByName(least.withColumnRenamed("least", "b")).distinct(), "edges")
         state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()

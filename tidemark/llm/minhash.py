@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
-from tidemark.llm.shared import keep, ship
+from tidemark.llm.shared import dealt_anew, keep, ship
 from tidemark.session import BROADCAST_ROWS, has_at_most
 
 #: Bins of a signature; bands of so many bins. At a similarity of 0.85 a pair shares no
@@ -223,17 +223,18 @@ def near_duplicates(
     ship(df.sparkSession)
     rows = _described(df, id_col, text_col, size, percent)
     named = rows.where("digest is not null and id is not null")
-    classes = named.groupBy("digest").agg(F.min("id").alias("node"))
-    reps = named.join(classes, (named.digest == classes.digest) & (named.id == classes.node)).select("node", "bands")
+    # The first document of each class, taken before rows are shuffled.
+    first = named.groupBy("digest").agg(F.min(F.struct("id", "bands")).alias("first"))
+    reps = keep(first.select("digest", F.col("first.id").alias("node"), F.col("first.bands").alias("bands")), "minhash-classes")
 
     buckets = reps.select(F.col("node").alias("id"), F.explode("bands").alias("bucket")).distinct()
     sizes = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = keep(buckets.join(sizes, "bucket"), "minhash-buckets")
+    members = keep(buckets.join(dealt_anew(sizes), "bucket"), "minhash-buckets")
     degrees = members.groupBy("id").agg(F.sum(F.col("n") - 1).alias("degree"))
     ranked = members.join(degrees, "id").select("bucket", "id", F.struct("degree", -F.col("id")).alias("rank"))
     hubs = ranked.groupBy("bucket").agg(F.max("rank").alias("rank"))
     hubs = hubs.select("bucket", (-F.col("rank.col2")).alias("hub"))
-    edges = members.join(hubs, "bucket").where("id != hub").select(F.col("id").alias("a"), "hub").distinct()
+    edges = members.join(dealt_anew(hubs), "bucket").where("id != hub").select(F.col("id").alias("a"), "hub").distinct()
     edges = keep(edges, "minhash-candidates")
 
     wanted = edges.select("a").unionByName(edges.select(F.col("hub").alias("a"))).unionByName(
@@ -247,7 +248,7 @@ def near_duplicates(
     if not more.isEmpty():
         labels = keep(components(links.unionByName(more)), "minhash-components")
 
-    found = classes.join(labels, "node", "left").select("digest", F.coalesce("component", "node").alias("component"))
+    found = reps.join(labels, "node", "left").select("digest", F.coalesce("component", "node").alias("component"))
     result = rows.join(found, "digest", "left").withColumn(
         "component_id", F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
     )

@@ -5,7 +5,10 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
+from collections.abc import Iterator
 
+import pyarrow as pa
+import zstandard
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,6 +48,24 @@ def keep(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def dealt_anew(grouped: DataFrame) -> DataFrame:
+    """``grouped``, not as its grouping dealt it: a join on the same key then shuffles both
+    sides itself, and adaptive execution can split a key that is hot on the other side."""
+    return grouped.hint("rebalance")
+
+
+def packed_texts(rows: DataFrame) -> DataFrame:
+    """``id, text`` as ``id, packed``: texts compressed with zstd for a shuffle."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compressor = zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            packed = [compressor.compress(t.encode()) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_pydict({"id": batch.column(0), "packed": pa.array(packed, pa.binary())})
+
+    return rows.mapInArrow(run, "id long, packed binary")
+
+
 def filesystem(uri: str) -> tuple[fs.FileSystem, str]:
     """The file system of a path or URI, and the path there."""
     if "://" in uri or uri.startswith("file:"):

@@ -27,7 +27,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import keep, ship
+from tidemark.llm.shared import dealt_anew, keep, packed_texts, ship
 from tidemark.llm.suffix_array import PART_END, common_prefixes, suffix_array
 
 #: Bytes of a repeat, and of a gram.
@@ -206,18 +206,6 @@ def _settled(frame: pd.DataFrame) -> pd.DataFrame:
     return found
 
 
-def _packed_texts(rows: DataFrame) -> DataFrame:
-    """Texts compressed for the shuffle."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        compressor = zstandard.ZstdCompressor(level=3)
-        for batch in batches:
-            packed = [compressor.compress(t.encode()) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_pydict({"id": batch.column(0), "packed": pa.array(packed, pa.binary())})
-
-    return rows.mapInArrow(run, "id long, packed binary")
-
-
 def _contexts(rows: DataFrame, places: DataFrame, length: int, gram: int) -> DataFrame:
     """``key, id, begin, context`` of the places left open."""
 
@@ -240,7 +228,7 @@ def _contexts(rows: DataFrame, places: DataFrame, length: int, gram: int) -> Dat
 
     by_doc = places.groupBy("id").agg(F.collect_list(F.struct("at", "key")).alias("p"))
     by_doc = by_doc.select("id", F.col("p.at").alias("at"), F.col("p.key").alias("key"))
-    joined = _packed_texts(rows).join(by_doc, "id").select("id", "packed", "at", "key")
+    joined = packed_texts(rows).join(by_doc, "id").select("id", "packed", "at", "key")
     return joined.mapInArrow(run, "key long, id long, begin int, context binary")
 
 
@@ -293,7 +281,7 @@ def _crowded(contexts: DataFrame, length: int) -> DataFrame:
 
     strings = keep(contexts.mapInArrow(run, "id long, at int, digest binary"), "repeats-crowded")
     least = strings.groupBy("digest").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most")
-    found = strings.join(least, "digest").where("id > least")
+    found = strings.join(dealt_anew(least), "digest").where("id > least")
     return found.select("id", F.col("at").alias("begin"), (F.col("at") + length).alias("end"))
 
 
@@ -381,6 +369,6 @@ def drop_repeats(
             kinds["spans"] = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
             yield pa.RecordBatch.from_pydict({id_col: batch.column("id")} | {n: pa.array(v, kinds[n]) for n, v in out.items()})
 
-    joined = _packed_texts(rows).join(by_doc, "id", "left").select("id", "packed", "begin", "end")
+    joined = packed_texts(rows).join(by_doc, "id", "left").select("id", "packed", "begin", "end")
     schema = f"`{id_col}` long, n_bytes long, n_removed long, spans array<struct<begin: long, end: long>>, kept binary"
     return joined.mapInArrow(cut, schema)
