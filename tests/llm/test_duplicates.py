@@ -175,7 +175,7 @@ def test_dropped_chunks(spark, odd_docs, no_docs, rows):
     assert sum(r[3] for r in found) > 15_000
     odd = {r.doc_id: r for r in drop_chunks(odd_docs).collect()}
     assert odd[9].n_chunks == odd[7].n_chunks == 0 and odd[9].text == "" and odd[None].n_removed == 0
-    assert odd[21].n_removed == odd[21].n_bytes > 0
+    assert odd[21].n_removed == odd[21].n_bytes > 0 and odd[21].first_docs == [20] and odd[9].first_docs == []
     assert drop_chunks(no_docs).count() == 0
 
 

@@ -14,10 +14,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import keep, ship
+from tidemark.llm.shared import dealt_anew, keep, packed_texts, ship
 
 #: Bytes that the 32-bit gear hash looks back on.
 WINDOW = 32
@@ -30,7 +31,7 @@ class Cuts:
 
     least: int = 32
     most: int = 512
-    bits: int = 6
+    bits: int = 5
 
     def __post_init__(self):
         if not WINDOW <= self.least <= self.most - 4:
@@ -115,18 +116,22 @@ def chunks(df: DataFrame, cuts: Cuts = Cuts(), id_col: str = "doc_id", text_col:
 
 
 def _removed(table: DataFrame) -> DataFrame:
-    """``id, spans`` of documents that lose chunks; a span is (at, size)."""
+    """``id, spans, first_docs`` of documents that lose chunks; a span is (at, size)."""
     # The minima are taken before rows are shuffled; the join can be split where a chunk is common.
     first = table.groupBy("digest").agg(F.min(F.struct("id", "at")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    later = table.join(first.select("digest", "first"), "digest").where(F.struct("id", "at") != F.col("first"))
-    return later.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("at", "size"))).alias("spans"))
+    later = table.join(dealt_anew(first.select("digest", "first")), "digest").where(F.struct("id", "at") != F.col("first"))
+    others = F.when(F.col("first.id") != F.col("id"), F.col("first.id"))
+    return later.groupBy("id").agg(
+        F.collect_list(F.struct("at", "size")).alias("spans"), F.sort_array(F.collect_set(others)).alias("first_docs")
+    )
 
 
 def drop_chunks(
     df: DataFrame, cuts: Cuts = Cuts(), id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """Every row without the chunks that stand in an earlier place too:
-    ``id_col, n_chunks, n_dropped, n_bytes, n_removed, text`` (what is left).
+    ``id_col, n_chunks, n_dropped, n_bytes, n_removed, first_docs`` (the other documents in
+    which its dropped chunks stand first), ``text`` (what is left).
 
     Places are ordered by identifier, then position, so repeats within a document go
     too. Chunks are equal if their 128-bit digests are. Null and empty texts have no
@@ -139,11 +144,12 @@ def drop_chunks(
     removed = keep(_removed(table), "chunks-removed")
     rows = df.selectExpr(f"cast(`{id_col}` as long) id", f"coalesce(`{text_col}`, '') text")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor()
         for batch in batches:
             out = {"n_chunks": [], "n_dropped": [], "n_bytes": [], "n_removed": [], "text": []}
-            for text, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                data, begin, parts, dropped = text.encode(), 0, [], 0
+            for packed, spans in zip(batch.column("packed").to_pylist(), batch.column("spans").to_pylist(), strict=True):
+                data, begin, parts, dropped = unpack.decompress(packed), 0, [], 0
                 gone = {(s["at"], s["size"]) for s in spans or ()}
                 ends = cut_points(data, cuts)
                 for end in ends:
@@ -162,9 +168,11 @@ def drop_chunks(
                 ):
                     out[name].append(value)
             yield pa.RecordBatch.from_pydict(
-                {id_col: batch.column(0)}
+                {id_col: batch.column("id"), "first_docs": batch.column("first_docs")}
                 | {n: pa.array(v, pa.string() if n == "text" else pa.int64()) for n, v in out.items()}
             )
 
-    schema = f"`{id_col}` long, n_chunks long, n_dropped long, n_bytes long, n_removed long, text string"
-    return rows.join(removed, "id", "left").select("id", "text", "spans").mapInArrow(run, schema)
+    joined = packed_texts(rows).join(removed, "id", "left")
+    joined = joined.select("id", "packed", "spans", F.coalesce("first_docs", F.array().cast("array<long>")).alias("first_docs"))
+    schema = f"`{id_col}` long, first_docs array<long>, n_chunks long, n_dropped long, n_bytes long, n_removed long, text string"
+    return joined.mapInArrow(cut, schema)
