@@ -13,6 +13,9 @@ from . import raw
 from .tables import longs, table
 
 
+# --- Fixed values: rule names and detail texts of the reports, here and in the SQL below ---
+
+
 def sql_report(source: str, rules: list[tuple[str, str, str, str]]) -> str:
     """``rules``: column, rule, failed condition, detail; over one pass of ``source``."""
     rows = []

@@ -19,8 +19,18 @@ _FLAGS = {
     "is_complained": "event_type = 'error' AND value > 400",
     "is_purchased": "event_type = 'purchase'",
 }
-_NO_CELLS = """category clicked_first_time_at clicked_last_time_at unsubscribed_at hard_bounced_at
-soft_bounced_at complained_at blocked_at purchased_at""".split()
+# --- Fixed values: columns of the raw messages that are empty ---
+_NO_CELLS = [
+    "category",
+    "clicked_first_time_at",
+    "clicked_last_time_at",
+    "unsubscribed_at",
+    "hard_bounced_at",
+    "soft_bounced_at",
+    "complained_at",
+    "blocked_at",
+    "purchased_at",
+]
 _LABELS = """event_id AS id, concat('m', event_id) AS message_id, user_id AS campaign_id,
     CASE WHEN value < 200 THEN 'bulk' ELSE 'trigger' END AS message_type,
     CAST(floor(value * 3) AS BIGINT) AS client_id,

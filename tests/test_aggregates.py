@@ -154,6 +154,12 @@ def test_quality_details(spark):
     assert [r[3][:4] for r in shares[:4]] == [f"{n / 4000 * 100:.2f}" for n in (1, 3, 11, 13)]
 
 
+def test_quality_of_a_wide_table(spark):
+    df = spark.range(30).selectExpr(*[f"IF(id < {i}, NULL, id) AS c{i}" for i in range(90)])
+    found = _report(df, [(f"c{i}", "no_nulos") for i in range(90)])
+    assert [r[3] for r in found] == [f"{min(i, 30)} valores nulos" for i in range(90)] + ["30 de registros"]
+
+
 def test_quality_of_an_empty_table(spark):
     df = spark.createDataFrame([], "a long")
     assert _report(df, [("a", "nulos_mayor_95"), ("a", "no_duplicados"), ("a", "no_nulos")]) == [

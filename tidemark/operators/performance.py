@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import rate, round_half_even
 from ..naming import ref, require_columns
 
-# Flag columns read by default, by the total they feed.
+# --- Fixed values: flag columns read by default, by the total they feed ---
 MESSAGE_FLAGS = {
     "opened": ["is_opened"],
     "clicked": ["is_clicked"],

@@ -22,7 +22,7 @@ _ROUNDING = 1e-12
 _COLUMNS_PER_SCAN = 10
 
 
-def _in_parts(df: DataFrame, measures: dict[str, Column], size: int) -> DataFrame:
+def in_parts(df: DataFrame, measures: dict[str, Column], size: int) -> DataFrame:
     """One row of aggregates, ``size`` of them per aggregation over their own columns.
 
     With too many in one aggregation the generated code outgrows what the JVM compiles
@@ -46,13 +46,13 @@ def numeric_stats(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     stats = {"mean": F.mean, "min": F.min, "max": F.max, "std": F.stddev_samp}
     measures = {f"{c}_{name}": f(ref(c)) for c in columns for name, f in stats.items()}
     ordered = [ref(f"{c}_{name}") for name in stats for c in columns]
-    return _in_parts(df, measures, _COLUMNS_PER_SCAN * len(stats)).select(ordered)
+    return in_parts(df, measures, _COLUMNS_PER_SCAN * len(stats)).select(ordered)
 
 
 def null_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """One row with the number of nulls of each column, under the column's name."""
     columns = require_columns(df, columns or df.columns)
-    return _in_parts(df, {c: F.count_if(ref(c).isNull()) for c in columns}, 4 * _COLUMNS_PER_SCAN)
+    return in_parts(df, {c: F.count_if(ref(c).isNull()) for c in columns}, 4 * _COLUMNS_PER_SCAN)
 
 
 def count_duplicates(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
@@ -71,7 +71,7 @@ def correlation(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
     measures = {f"{a}_{b}": pearson(ref(a), ref(b)) for a, b in pairs}
     if not pairs or len(measures) < len(pairs):
         raise ValueError(f"no pairs, or pairs with the same name: {pairs}")
-    return _in_parts(df, measures, _PAIRS_PER_SCAN)
+    return in_parts(df, measures, _PAIRS_PER_SCAN)
 
 
 def correlation_matrix(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -173,7 +173,7 @@ def describe(
                 measures[f"std {c}"] = F.stddev_samp(scale)
             if not exact:
                 measures[f"percentiles {c}"] = F.percentile_approx(scale, list(shares.values()), accuracy)
-    measured = _in_parts(df, measures, 6 * _COLUMNS_PER_SCAN)
+    measured = in_parts(df, measures, 6 * _COLUMNS_PER_SCAN)
 
     def cell(statistic: str, c: str) -> Column:
         name = f"{statistic} {c}"

@@ -14,8 +14,10 @@ from pyspark.sql import types as T
 from .. import fixed_values as fixed
 from ..functions import parse_timestamp, rate, two_decimals
 from ..naming import ref, type_of
+from .profile import in_parts
 
 _TEMPORAL = (T.DateType, T.TimestampType, T.TimestampNTZType)
+_COUNTERS_PER_SCAN = 40
 _EPOCH = (T.LongType, T.IntegerType, T.DoubleType)
 # In Java ``$`` also matches before a last line break, and word characters need a flag.
 _EMAIL = "(?U)" + fixed.EMAIL_PATTERN.removesuffix("$") + r"\z"
@@ -147,7 +149,8 @@ def quality_report(
     Java patterns ``date_formats`` reads it (with None, as in ``parse_timestamp``);
     ``compat_dates`` accepts any text as a date in ``formato_fecha``.
 
-    All counters come from one aggregation that shuffles one row per task. Only
+    All counters come from one aggregation that shuffles one row per task; beyond forty,
+    from several, so that each stays small enough to be compiled. Only
     ``no_duplicados`` needs a shuffle of values; each such column is counted on its
     own, reading that column alone, so that its values do not drag the other
     counters through the shuffle as a multi-distinct aggregation would.
@@ -160,10 +163,8 @@ def quality_report(
     }
     checks = [_check(df, column, rule, options) for column, rule in rules]
 
-    counters = [
-        F.count_if(c.counted).alias(f"n{i}") for i, c in enumerate(checks) if c.counted is not None
-    ]
-    counted = df.agg(F.count(F.lit(1)).alias("total"), *counters)
+    counters = {f"n{i}": F.count_if(c.counted) for i, c in enumerate(checks) if c.counted is not None}
+    counted = in_parts(df, {"total": F.count(F.lit(1))} | counters, _COUNTERS_PER_SCAN)
     rows = []
     for i, check in enumerate(checks):
         if not check.repeats:

@@ -14,6 +14,7 @@ def _struct(columns: str) -> T.StructType:
     return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
+# --- Fixed values: columns of the raw and the enriched tables ---
 RAW_CAMPAIGNS = _struct(
     """id BIGINT, campaign_type STRING, channel STRING, topic STRING, started_at STRING,
     finished_at STRING, total_count DOUBLE, ab_test STRING, warmup_mode STRING, hour_limit DOUBLE,
