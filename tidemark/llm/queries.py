@@ -103,6 +103,28 @@ def near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_documents(spark, sf_dir), size=5, percent=85)
 
 
+NEAR_DEDUP_SQL = r"""
+with recursive w as (
+  select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                   '[\x20\x09-\x0D]+'), lambda x: x <> '') as words
+  from documents),
+s as (
+  select distinct doc_id, unnest(case when len(words) = 0 then [] when len(words) < 5 then [array_to_string(words, ' ')]
+    else list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')) end) as shingle
+  from w),
+n as (select doc_id, count(*) as n from s group by doc_id),
+common as (
+  select a.doc_id as a, b.doc_id as b, count(*) as c
+  from s a join s b on a.shingle = b.shingle and a.doc_id <> b.doc_id group by all),
+links as (
+  select a, b from common join n x on x.doc_id = a join n y on y.doc_id = b where 100 * c >= 85 * (x.n + y.n - c)),
+reached as (
+  select doc_id, doc_id as node from documents union select r.doc_id, l.b from reached r join links l on l.a = r.node)
+select d.doc_id, coalesce(any_value(n.n), 0) as n_shingles, min(r.node) as component_id, d.doc_id = min(r.node) as kept
+from documents d left join n on n.doc_id = d.doc_id join reached r on r.doc_id = d.doc_id group by d.doc_id
+"""
+
+
 def chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What each document loses and keeps when repeated content-defined chunks are dropped."""
     found = drop_chunks(_documents(spark, sf_dir))
@@ -142,6 +164,29 @@ def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+SUBSTRING_DEDUP_SQL = r"""
+with d as (select doc_id, encode(coalesce(text, '')) as bytes from documents),
+strings as (
+  select doc_id, unnest(range(1, octet_length(bytes) - 48)) as place,
+         unnest(list_transform(range(1, octet_length(bytes) - 48), lambda i: md5(array_slice(bytes, i, i + 49)))) as string
+  from d where octet_length(bytes) >= 50),
+first as (select string, min(doc_id) as first from strings group by string),
+later as (select doc_id, place from strings join first using (string) where first < doc_id),
+byte as (
+  select doc_id, unnest(range(1, octet_length(bytes) + 1)) as place,
+         unnest(list_transform(range(1, octet_length(bytes) + 1), lambda i: hex(array_slice(bytes, i, i)))) as code
+  from d),
+covered as (
+  select b.doc_id, b.place, b.code,
+         coalesce(max(l.place) over (partition by b.doc_id order by b.place rows between 49 preceding and current row), 0) > 0 as gone
+  from byte b left join later l on l.doc_id = b.doc_id and l.place = b.place),
+runs as (select *, gone and not coalesce(lag(gone) over (partition by doc_id order by place), false) as begins from covered)
+select d.doc_id, octet_length(any_value(d.bytes)) as n_bytes, count(*) filter (gone) as n_removed, count(*) filter (begins) as n_spans,
+       sha256(unhex(coalesce(string_agg(code, '' order by place) filter (not gone), ''))) as kept_sha256
+from d left join runs r on r.doc_id = d.doc_id group by d.doc_id
+"""
+
+
 #: Name: the query, and its SQL if SQL can express it.
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_chunk_dedup": (chunk_dedup, None),
@@ -151,7 +196,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op5_token_counts": (token_counts, None),
     "op6_toxicity": (toxicity, None),
     "op7_packing": (packing, None),
-    "op8_near_dedup": (near_dedup, None),
+    "op8_near_dedup": (near_dedup, NEAR_DEDUP_SQL),
     "op9_mixing": (mixing, MIXING_SQL),
-    "op10_substring_dedup": (substring_dedup, None),
+    "op10_substring_dedup": (substring_dedup, SUBSTRING_DEDUP_SQL),
 }
