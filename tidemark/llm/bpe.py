@@ -20,7 +20,7 @@ _UNITS = re.compile(
 _LOOSE_SPACE = re.compile(f" (?:[{WHITE_SPACE}]|\\Z)")
 _WORD = re.compile(f" [{_LETTERS}]+")
 #: Words that a Python worker remembers, and units of them, about 200 bytes each; then it starts afresh.
-REMEMBERED = 800_000
+REMEMBERED = 650_000
 #: Words encoded in one call.
 _TOGETHER = 2_000
 
