@@ -183,7 +183,8 @@ def test_session_folder(spark):
 
 def _session(master, folder):
     return SimpleNamespace(
-        conf=SimpleNamespace(get=lambda name, default: folder or default), sparkContext=SimpleNamespace(master=master)
+        conf=SimpleNamespace(get=lambda name, default: folder or default),
+        sparkContext=SimpleNamespace(master=master, getCheckpointDir=lambda: None),
     )
 
 
