@@ -34,7 +34,7 @@ from tidemark.llm.suffix_array import PART_END, common_prefixes, suffix_array
 LENGTH, GRAM = 50, 20
 #: Text that a task works on at a time, selected grams of a range, contexts of a shard, and
 #: contexts of one gram beyond which its strings are compared by digest instead.
-_TEXT, _RANGE, _SHARD, _CROWDED = 1 << 24, 1_500_000, 30_000, 65_536
+_TEXT, _RANGE, _SHARD, _CROWDED = 1 << 23, 400_000, 20_000, 65_536
 _DIGEST_BITS = 48
 
 
