@@ -5,7 +5,7 @@ import re
 import pytest
 import xxhash
 from tidemark.llm import suffix_array, substring_dedup
-from tidemark.llm.chunk_dedup import Cuts, cut_points, drop_chunks
+from tidemark.llm.chunk_dedup import Cuts, cut_points, drop_chunks, runs
 from tidemark.llm.components import components
 from tidemark.llm.exact_dedup import drop_copies, mark_copies
 from tidemark.llm.minhash import drop_near_duplicates, near_duplicates
@@ -242,3 +242,33 @@ def test_repeats_of_odd_rows(spark, odd_docs, no_docs):
 def test_digests_are_those_of_the_library():
     """Digests go into stored tables, so their definition may not drift."""
     assert xxhash.xxh3_128_hexdigest(b"") == "99aa06d3014798d86001c324468d497f"
+
+
+def test_short_passages_are_found(spark):
+    """Passages of 51 to 69 words that two documents share; a phrase that all of them share stays."""
+    rng = random.Random(51)
+
+    def words(n):
+        return " ".join("".join(rng.choice("aeioulnrst") for _ in range(rng.randrange(2, 8))) for _ in range(n))
+
+    phrase, shared, given = "all rights reserved by the", {}, []
+    for k in range(300):
+        passage = words(rng.randrange(51, 70))
+        shared[2 * k + 1] = len(passage)
+        for doc in (2 * k, 2 * k + 1):
+            given.append((doc, f"{words(rng.randrange(5, 90))} {phrase} {words(30)} {passage} {words(rng.randrange(5, 90))}"))
+    given += [(1000 + k, f"{words(40)} {phrase} {words(40)}") for k in range(100)]
+    df = spark.createDataFrame(given, "doc_id long, text string").repartition(4)
+    found = {r.doc_id: r for r in drop_chunks(df, least_run=48).collect()}
+    caught = [d for d in shared if found[d].n_removed and found[d].first_docs == [d - 1]]
+    assert len(caught) >= 299
+    assert sum(min(found[d].n_removed, n) for d, n in shared.items()) >= 0.75 * sum(shared.values())
+    assert all(phrase in r.text and (d in shared or not r.n_removed) for d, r in found.items())
+
+
+def test_runs_of_repeated_chunks():
+    ends = [20, 40, 60, 80, 100]
+    assert runs(ends, {(0, 20), (40, 20), (60, 20)}, 48) == []
+    assert runs(ends, {(0, 20), (40, 20), (60, 20), (80, 20)}, 48) == [(2, 5)]
+    assert runs(ends, {(0, 20), (20, 20), (80, 20)}, 40) == [(0, 2)]
+    assert runs([5], {(0, 5)}, 48) == [(0, 1)] and runs([], {}, 48) == []

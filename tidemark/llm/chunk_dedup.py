@@ -3,7 +3,8 @@
 A gear rolling hash over the bytes of a text marks where chunks end, so a passage is cut
 alike wherever it stands: an insertion moves the cuts near it only. Chunks are compared
 by digest over all documents; the first of equal chunks, in the order of identifiers and
-positions, stays.
+positions, stays. Chunks are far smaller than the passages to be found, so that several fall
+into each; ``least_run`` lets only longer runs of them go, so that phrases which just recur stay.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.shared import dealt_anew, keep, packed_texts, ship
 
 #: Bytes that the 32-bit gear hash looks back on.
-WINDOW = 32
+WINDOW = 16
 
 
 @dataclass(frozen=True)
@@ -29,13 +30,13 @@ class Cuts:
     """Sizes of chunks in bytes: at least ``least`` (not below the hash's window), at most
     ``most``; between them a chunk ends with a chance of 1 in ``2 ** bits`` per character."""
 
-    least: int = 32
+    least: int = 16
     most: int = 512
-    bits: int = 5
+    bits: int = 4
 
     def __post_init__(self):
         if not WINDOW <= self.least <= self.most - 4:
-            raise ValueError("chunk sizes need 32 <= least <= most - 4")
+            raise ValueError(f"chunk sizes need {WINDOW} <= least <= most - 4")
 
 
 def _gear() -> np.ndarray:
@@ -56,7 +57,7 @@ def cut_points(data: bytes, cuts: Cuts) -> list[int]:
     if not size:
         return []
     raw = np.frombuffer(data, np.uint8)
-    # rolled[i] = sum of gear[byte i - j] << j over the last 32 bytes, by doubling.
+    # rolled[i] = sum of gear[byte i - j] << j over the last WINDOW bytes, by doubling.
     rolled, step = _GEAR[raw], 1
     while step < min(WINDOW, size):
         longer = rolled.copy()
@@ -116,48 +117,60 @@ def chunks(df: DataFrame, cuts: Cuts = Cuts(), id_col: str = "doc_id", text_col:
 
 
 def _removed(table: DataFrame) -> DataFrame:
-    """``id, spans, first_docs`` of documents that lose chunks; a span is (at, size)."""
+    """``id, spans`` of documents with repeated chunks; a span is (at, size, document that has it first)."""
     # The minima are taken before rows are shuffled; the join can be split where a chunk is common.
     first = table.groupBy("digest").agg(F.min(F.struct("id", "at")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
     later = table.join(dealt_anew(first.select("digest", "first")), "digest").where(F.struct("id", "at") != F.col("first"))
-    others = F.when(F.col("first.id") != F.col("id"), F.col("first.id"))
-    return later.groupBy("id").agg(
-        F.collect_list(F.struct("at", "size")).alias("spans"), F.sort_array(F.collect_set(others)).alias("first_docs")
-    )
+    return later.groupBy("id").agg(F.collect_list(F.struct("at", "size", F.col("first.id").alias("first"))).alias("spans"))
+
+
+def runs(ends: list[int], repeated: set[tuple[int, int]], least: int) -> list[tuple[int, int]]:
+    """First chunk and chunk after the last, counted from 0, of the runs to drop: adjacent repeated
+    chunks of ``least`` bytes together, or all there are."""
+    found, first, begin, start = [], 0, 0, 0
+    for k, end in enumerate([*ends, None]):
+        if end is None or (begin, end - begin) not in repeated:
+            if k > first and (begin - start >= least or k - first == len(ends)):
+                found.append((first, k))
+            first, start = k + 1, end
+        begin = end
+    return found
 
 
 def drop_chunks(
-    df: DataFrame, cuts: Cuts = Cuts(), id_col: str = "doc_id", text_col: str = "text"
+    df: DataFrame, cuts: Cuts = Cuts(), id_col: str = "doc_id", text_col: str = "text", least_run: int = 0
 ) -> DataFrame:
-    """Every row without the chunks that stand in an earlier place too:
+    """Every row without the runs of chunks that stand in an earlier place too:
     ``id_col, n_chunks, n_dropped, n_bytes, n_removed, first_docs`` (the other documents in
     which its dropped chunks stand first), ``text`` (what is left).
 
     Places are ordered by identifier, then position, so repeats within a document go
-    too. Chunks are equal if their 128-bit digests are. Null and empty texts have no
+    too. Adjacent repeated chunks are dropped if they have ``least_run`` bytes together or are the
+    whole text, wherever each of them stands first. Chunks are equal if their 128-bit digests are. Null and empty texts have no
     chunks and stay empty. A row without identifier is left as it is and takes no part. Rows
     of one identifier count as one document whose chunks are all dropped or kept by
     position. A document's spans are gathered in one row, no more than its text. Further
     columns play no part; an empty table gives an empty result.
     """
-    table = keep(chunks(df, cuts, id_col, text_col), "chunks")
-    removed = keep(_removed(table), "chunks-removed")
+    # Cut twice rather than written between: the digests would be the largest of all files.
+    removed = keep(_removed(chunks(df, cuts, id_col, text_col)), "chunks-removed")
     rows = df.selectExpr(f"cast(`{id_col}` as long) id", f"coalesce(`{text_col}`, '') text")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
         for batch in batches:
-            out = {"n_chunks": [], "n_dropped": [], "n_bytes": [], "n_removed": [], "text": []}
-            for packed, spans in zip(batch.column("packed").to_pylist(), batch.column("spans").to_pylist(), strict=True):
+            out = {"first_docs": [], "n_chunks": [], "n_dropped": [], "n_bytes": [], "n_removed": [], "text": []}
+            columns = [batch.column(n).to_pylist() for n in ("id", "packed", "spans")]
+            for one, packed, spans in zip(*columns, strict=True):
                 data, begin, parts, dropped = unpack.decompress(packed), 0, [], 0
-                gone = {(s["at"], s["size"]) for s in spans or ()}
-                ends = cut_points(data, cuts)
-                for end in ends:
-                    if (begin, end - begin) in gone:
-                        dropped += 1
-                    else:
-                        parts.append(data[begin:end])
-                    begin = end
+                gone = {(s["at"], s["size"]): s["first"] for s in spans or ()}
+                ends, firsts = cut_points(data, cuts), set()
+                bounds = [0, *ends]
+                for first, after in runs(ends, gone.keys(), least_run):
+                    parts.append(data[begin : bounds[first]])
+                    begin, dropped = bounds[after], dropped + after - first
+                    firsts |= {gone[a, b - a] for a, b in zip(bounds[first:after], bounds[first + 1 : after + 1], strict=True)}
+                parts.append(data[begin:])
                 left = b"".join(parts)
                 for name, value in (
                     ("n_chunks", len(ends)),
@@ -165,14 +178,14 @@ def drop_chunks(
                     ("n_bytes", len(data)),
                     ("n_removed", len(data) - len(left)),
                     ("text", left.decode()),
+                    ("first_docs", sorted(firsts - {one})),
                 ):
                     out[name].append(value)
+            kinds = {"text": pa.string(), "first_docs": pa.list_(pa.int64())}
             yield pa.RecordBatch.from_pydict(
-                {id_col: batch.column("id"), "first_docs": batch.column("first_docs")}
-                | {n: pa.array(v, pa.string() if n == "text" else pa.int64()) for n, v in out.items()}
+                {id_col: batch.column("id")} | {n: pa.array(v, kinds.get(n, pa.int64())) for n, v in out.items()}
             )
 
-    joined = packed_texts(rows).join(removed, "id", "left")
-    joined = joined.select("id", "packed", "spans", F.coalesce("first_docs", F.array().cast("array<long>")).alias("first_docs"))
+    joined = packed_texts(rows).join(removed, "id", "left").select("id", "packed", "spans")
     schema = f"`{id_col}` long, first_docs array<long>, n_chunks long, n_dropped long, n_bytes long, n_removed long, text string"
     return joined.mapInArrow(cut, schema)

@@ -126,8 +126,8 @@ from documents d left join n on n.doc_id = d.doc_id join reached r on r.doc_id =
 
 
 def chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What each document loses and keeps when repeated content-defined chunks are dropped."""
-    found = drop_chunks(_documents(spark, sf_dir))
+    """What each document loses and keeps when runs of repeated content-defined chunks are dropped."""
+    found = drop_chunks(_documents(spark, sf_dir), least_run=48)
     return found.withColumn("kept_sha256", F.sha2("text", 256)).drop("text")
 
 
