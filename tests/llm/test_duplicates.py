@@ -272,3 +272,31 @@ def test_runs_of_repeated_chunks():
     assert runs(ends, {(0, 20), (40, 20), (60, 20), (80, 20)}, 48) == [(2, 5)]
     assert runs(ends, {(0, 20), (20, 20), (80, 20)}, 40) == [(0, 2)]
     assert runs([5], {(0, 5)}, 48) == [(0, 1)] and runs([], {}, 48) == []
+
+
+def test_hot_grams_stay_out_of_ranges(spark, monkeypatch):
+    """A passage in every document and a gram with as many contexts: no range holds all their places."""
+    monkeypatch.setattr(substring_dedup, "_HOT", 40)
+    monkeypatch.setattr(substring_dedup, "_SAMPLE", 1)
+    rng = random.Random(10)
+
+    def own(n):
+        return "".join(rng.choice("abcdefgh é") for _ in range(n))
+
+    passage, word = own(90), "a phrase of some bytes that all have"
+    given = [(doc, f"{own(40)}{passage}{own(60)}{word}{own(rng.randrange(80))}") for doc in range(200)]
+    df = spark.createDataFrame(given, "doc_id long, text string").repartition(20)
+    found = {r.doc_id: r for r in substring_dedup.drop_repeats(df).collect()}
+    for doc, size, removed, runs_, left in _repeats(given):
+        r = found[doc]
+        assert (r.n_bytes, r.n_removed, len(r.spans), bytes(r.kept)) == (size, removed, runs_, left), doc
+
+    rows = df.selectExpr("doc_id id", "text")
+    hot = substring_dedup._hot(rows, 1, 40, 50, 20)
+    assert len(hot) > 1
+    blobs = substring_dedup._selected(rows, 4, 40, 50, 20, hot).collect()
+    opened = [substring_dedup._unpack(b.blob)[0] for b in blobs if b.range < 4]
+    keys, n = np.unique(np.concatenate(opened), return_counts=True)
+    assert n.max() < 40 and not set(keys.tolist()) & set(hot.tolist())
+    assert all(not len(substring_dedup._unpack(b.blob)[4]) for b in blobs if b.range < 4)
+    assert sum(len(substring_dedup._unpack(b.blob)[4]) for b in blobs if b.range >= 4) > 200

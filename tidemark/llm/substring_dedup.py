@@ -6,9 +6,12 @@ and all that a repeat can be found in are the contexts of grams that several doc
 select: the up to 80 bytes of the 50-byte strings around a gram.
 
 1. Tasks select grams and send, packed by ranges of the gram's hash, the hash, the
-   context's digest and the place. Contexts that repeat within a task are settled there.
+   context's digest and the place. Contexts that repeat within a task are settled there, and
+   their places sent beside the ranges.
 2. Per range, a context that stands in an earlier document too is covered whole. Only the
-   first places of contexts whose gram has other contexts as well are left.
+   first places of contexts whose gram has other contexts as well are left. Grams too frequent
+   for a range, known from a sample of documents, go as rows: minima taken before the shuffle and
+   a join that can be split find the first places of their contexts.
 3. These contexts are dealt by gram into shards; each shard gets a suffix array, and the
    lengths of common prefixes tell which 50-byte strings are equal.
 4. The covered bytes are cut out of the texts.
@@ -24,6 +27,7 @@ import pandas as pd
 import pyarrow as pa
 import xxhash
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,6 +40,8 @@ LENGTH, GRAM = 50, 20
 #: contexts of one gram beyond which its strings are compared by digest instead.
 _TEXT, _RANGE, _SHARD, _CROWDED = 1 << 23, 400_000, 20_000, 65_536
 _DIGEST_BITS = 48
+#: Places from which on a gram stays out of the ranges, as counted in one document of so many.
+_HOT, _SAMPLE = 65_536, 16
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -150,10 +156,37 @@ def _settle(key: np.ndarray, digest: np.ndarray, doc: np.ndarray) -> tuple[np.nd
     return order, first, doc > least
 
 
-def _selected(rows: DataFrame, ranges: int, key_bits: int, length: int, gram: int) -> DataFrame:
+def _hot(rows: DataFrame, grams: int, key_bits: int, length: int, gram: int) -> np.ndarray:
+    """Keys of frequent grams, sorted; about 4 million at most. Any choice gives the same result."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                key = select(text.encode(), length, gram)[1] >> np.uint64(64 - key_bits)
+                yield pa.RecordBatch.from_pydict({"key": pa.array(key.view(np.int64), pa.int64())})
+
+    sample = rows.where(F.pmod(F.xxhash64("id"), F.lit(_SAMPLE)) == 0).select("text")
+    counts = sample.mapInArrow(run, "key long").groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    found = counts.where(F.col("n") >= max(1, max(_HOT, grams >> 22) // _SAMPLE)).select("key").collect()
+    return np.sort(np.array([r["key"] for r in found], np.int64).view(np.uint64))
+
+
+def _among(key: np.ndarray, hot: np.ndarray) -> np.ndarray:
+    if not len(hot):
+        return np.zeros(len(key), bool)
+    return hot[np.minimum(np.searchsorted(hot, key), len(hot) - 1)] == key
+
+
+def _selected(
+    rows: DataFrame, ranges: int, key_bits: int, length: int, gram: int, hot: np.ndarray, only_hot: bool = False
+) -> DataFrame:
+    """``range, blob`` of all but open places of hot grams, or with ``only_hot`` the rows of just
+    these: ``key, digest, id, at``. Settled places are in ranges beyond the last, spread by task."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[tuple[int, tuple[np.ndarray, ...]]] = []
-        size = 0
+        size = flushed = 0
+        task = TaskContext.get().partitionId()
 
         def flush() -> Iterator[pa.RecordBatch]:
             waiting.sort(key=lambda x: x[0])
@@ -163,6 +196,25 @@ def _selected(rows: DataFrame, ranges: int, key_bits: int, length: int, gram: in
             key = hashes >> np.uint64(64 - key_bits)
             order, _, settled = _settle(key, digest, docs[doc])
             key, digest, doc, at = key[order], digest[order], doc[order], at[order]
+            apart = _among(key, hot)
+            if only_hot:
+                part = apart & ~settled
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "key": pa.array(key[part].view(np.int64), pa.int64()),
+                        "digest": pa.array(digest[part].view(np.int64), pa.int64()),
+                        "id": pa.array(docs[doc[part]], pa.int64()),
+                        "at": pa.array(at[part], pa.int32()),
+                    }
+                )
+                return
+            if settled.any():
+                blob = _pack(docs, key[settled], digest[settled], doc[settled], at[settled], settled[settled])
+                beyond = ranges + int(_mixed(np.array([task << 32 | flushed], np.uint64))[0] % np.uint64(ranges))
+                yield pa.RecordBatch.from_pydict({"range": pa.array([beyond], pa.int32()), "blob": pa.array([blob], pa.binary())})
+            in_range = ~settled & ~apart
+            key, digest, doc, at = key[in_range], digest[in_range], doc[in_range], at[in_range]
+            settled = np.zeros(len(key), bool)
             # Equal ranges of the key, which is sorted.
             bounds = np.searchsorted(key, np.array([-(-(k << key_bits) // ranges) for k in range(ranges)], np.uint64))
             cuts = np.append(bounds, len(key)).tolist()
@@ -181,11 +233,20 @@ def _selected(rows: DataFrame, ranges: int, key_bits: int, length: int, gram: in
                     waiting.append((one, found))
                 if size >= _TEXT and waiting:
                     yield from flush()
-                    waiting, size = [], 0
+                    waiting, size, flushed = [], 0, flushed + 1
         if waiting:
             yield from flush()
 
-    return rows.mapInArrow(run, "range int, blob binary")
+    return rows.mapInArrow(run, "key long, digest long, id long, at int" if only_hot else "range int, blob binary")
+
+
+def _settled_hot(table: DataFrame) -> DataFrame:
+    """As ``_settled``, of the rows of hot grams; all of their first places are left open."""
+    table = keep(table, "repeats-hot")
+    # The minima are taken before rows are shuffled; the join can be split where a context is common.
+    least = table.groupBy("key", "digest").agg(F.min("id").alias("least"))
+    found = table.join(dealt_anew(least), ["key", "digest"])
+    return found.select("id", "at", F.when(F.col("id") == F.col("least"), F.col("key")).alias("key"))
 
 
 def _settled(frame: pd.DataFrame) -> pd.DataFrame:
@@ -331,8 +392,11 @@ def drop_repeats(
     grams = max(1, size // 15)
     key_bits = min(64, max(40, grams.bit_length() + 14))
     ranges = -(-grams // _RANGE)
-    selected = _selected(named, ranges, key_bits, length, gram)
+    hot = _hot(named, grams, key_bits, length, gram)
+    selected = _selected(named, ranges, key_bits, length, gram, hot)
     places = selected.groupBy("range").applyInPandas(_settled, "id long, at int, key long")
+    if len(hot):
+        places = places.unionByName(_settled_hot(_selected(named, ranges, key_bits, length, gram, hot, only_hot=True)))
     places = keep(places, "repeats-places")
     contexts = keep(_contexts(named, places.where("key is not null"), length, gram), "repeats-contexts")
     spans = keep(_spans(contexts, length), "repeats-spans")
