@@ -111,6 +111,22 @@ def test_mixing_plan_is_native(spark, odd_docs):
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
 
 
+def test_blocks_of_many_sources_are_numbered_by_ranges(spark, rows):
+    """More blocks than one task should sort: no window over all of them, and the positions of the SQL."""
+    given = [(i, " ".join(["w"] * (1 + i % 7)), f"s{i % 2500}") for i in range(5000)]
+    df = spark.createDataFrame(given, "doc_id long, text string, source string")
+    options = {"max_repeats": 2.0, "block_tokens": 8, "seed": 5}
+    _, blocks = plan_mix(df, **options)
+    plan = blocks._jdf.queryExecution().optimizedPlan().toString()
+    assert "row_number" not in plan and plan.count("windowspecdefinition(") == plan.count("windowspecdefinition(__part") > 0
+    assert sorted(r.position for r in blocks.select("position").collect()) == list(range(blocks.count()))
+    con = duckdb.connect()
+    con.execute("create table documents (doc_id bigint, text varchar, source varchar)")
+    con.executemany("insert into documents values (?, ?, ?)", given)
+    found = mix(df, **options).select("doc_id", "source", word_count(F.col("text")).alias("n_tokens"), "epoch", "block", "position")
+    assert rows(found) == sorted(con.execute(mixing_sql("documents", **options)).fetchall(), key=repr)
+
+
 def test_features():
     assert features(None).tolist() == features("").tolist()
     assert features("ABC abc").tolist() == features("abc ABC").tolist()

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.shared import keep
+from tidemark.operators.rows import number_rows
 from tidemark.session import BROADCAST_ROWS, has_at_most
 
 #: Exponents are multiples of one part in so many, found four binary digits at a time.
@@ -114,8 +115,9 @@ def plan_mix(
     middle = F.col("epoch") * F.col("tokens") + F.coalesce(F.sum("block_tokens").over(before), F.lit(0)) + F.col("block_tokens") / 2
     taken = blocks.join(epochs, "key").withColumn("middle", middle).where("middle <= budget + 0.5")
     place = F.floor(F.lit(1e9) * F.col("middle") / F.greatest("budget", F.lit(1.0)))
-    position = F.row_number().over(Window.orderBy(place, "key", "epoch", "block")).cast("long") - 1
-    return sources, taken.select("key", "block", "epoch", position.alias("position"))
+    placed = taken.select("key", "block", "epoch", place.alias("place"))
+    numbered = number_rows(placed, ["place", "key", "epoch", "block"], "position")
+    return sources, numbered.select("key", "block", "epoch", "position")
 
 
 def _row_hash(id_col: str, text_col: str, seed: int) -> Column:
@@ -159,7 +161,7 @@ def mix(
         _row_hash(id_col, text_col, seed).alias("hash"),
     )
     rows = rows.join(_small(sources.select("key", "n_blocks")), "key").withColumn("block", _block())
-    return rows.join(_small(keep(blocks, "mix-blocks")), ["key", "block"]).select("row.*", *[F.col(a).alias(b) for a, b in new.items()])
+    return rows.join(_small(blocks), ["key", "block"]).select("row.*", *[F.col(a).alias(b) for a, b in new.items()])
 
 
 def in_reading_order(
