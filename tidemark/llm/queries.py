@@ -15,6 +15,7 @@ from tidemark.llm.minhash import near_duplicates
 from tidemark.llm.mixing import mix, word_count
 from tidemark.llm.mixing_sql import mixing_sql
 from tidemark.llm.packing import pack
+from tidemark.llm.prefix_trie import prefix_trie, rebuilt, turn_keys
 from tidemark.llm.substring_dedup import drop_repeats
 from tidemark.llm.token_files import read_token_files, write_token_files
 from tidemark.llm.toxicity import Classifier, held_out, score, train
@@ -187,6 +188,59 @@ from d left join runs r on r.doc_id = d.doc_id group by d.doc_id
 """
 
 
+def conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prefix trie of the conversations, each begun with turns of the first of its hundred."""
+    keys = turn_keys(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    conv = F.col("conv_id")
+    return prefix_trie(rebuilt(keys, F.crc32(conv.cast("string").cast("binary")) % 6, 5, conv - conv % 100))
+
+
+#: The table and the loop of the 32-bit cyclic redundancy check, over the hexadecimal bytes of a text.
+_CRC_TABLE = """(select list(list_reduce(list_prepend(i, range(8)), lambda c, k:
+    case when c % 2 = 1 then xor(c // 2, 3988292384) else c // 2 end) order by i) as crc_table from range(256) r(i))"""
+
+
+def _crc32(text: str) -> str:
+    codes = f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda x: ('0x' || x)::bigint)"
+    step = "lambda c, b: xor(c // 256, crc_table[(xor(c, b) % 256) + 1])"
+    return f"xor(list_reduce(list_prepend(4294967295, {codes}), {step}), 4294967295)"
+
+
+CONVERSATION_TRIE_SQL = f"""
+with t as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations where conv_id is not null),
+numbered as (
+  select *, row_number() over (partition by conv_id order by turn nulls first, md5(length(role) || ':' || role || text)) as number from t),
+convs as (
+  select conv_id, conv_id - conv_id % 100 as base, {_crc32("conv_id::varchar")} % 6 as head
+  from (select distinct conv_id from t), {_CRC_TABLE}),
+turns as (
+  select c.conv_id, 0 as part, number, role, text from convs c join numbered n on n.conv_id = c.base and number <= head
+  union all
+  select c.conv_id, 1, number, role, text from convs c join numbered n on n.conv_id = c.conv_id and number > head),
+member as (
+  select conv_id, row_number() over w as depth, list((role, text)) over w as turns, length(text) as points
+  from turns window w as (partition by conv_id order by part, number rows unbounded preceding)
+  union all select conv_id, 0, [], 0 from convs),
+node as (
+  select depth, turns, min(conv_id) as conv_id, count(*) as n_convs, any_value(points) as points from member group by depth, turns),
+child as (select depth - 1 as depth, turns[:-2] as turns, count(*) as n_children from node where depth > 0 group by all),
+above as (
+  select m.depth, m.turns, sum((n.n_convs - 1) * n.points)::bigint as saved_tokens, count(*) filter (c.n_children is null) as n_leaves
+  from node n join member m on m.conv_id = n.conv_id and m.depth <= n.depth
+  left join child c on c.depth = n.depth and c.turns = n.turns group by all),
+last as (select conv_id, max(depth) as depth from member group by conv_id),
+ends as (
+  select depth, turns, string_agg(conv_id::varchar, ',' order by conv_id) as ids from member join last using (conv_id, depth) group by all)
+select n.conv_id, n.depth, p.conv_id as parent_conv_id, n.n_convs, coalesce(c.n_children, 0) as n_children, a.n_leaves, a.saved_tokens,
+       sha256(coalesce(e.ids, '')) as ends_sha256
+from node n join above a on a.depth = n.depth and a.turns = n.turns
+left join child c on c.depth = n.depth and c.turns = n.turns
+left join ends e on e.depth = n.depth and e.turns = n.turns
+left join node p on p.depth = n.depth - 1 and p.turns = n.turns[:-2] and n.depth > 0
+"""
+
+
 #: Name: the query, and its SQL if SQL can express it.
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_chunk_dedup": (chunk_dedup, None),
@@ -199,4 +253,5 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op8_near_dedup": (near_dedup, NEAR_DEDUP_SQL),
     "op9_mixing": (mixing, MIXING_SQL),
     "op10_substring_dedup": (substring_dedup, SUBSTRING_DEDUP_SQL),
+    "op11_conversation_trie": (conversation_trie, CONVERSATION_TRIE_SQL),
 }
