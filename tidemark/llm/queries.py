@@ -16,6 +16,8 @@ from tidemark.llm.mixing import mix, word_count
 from tidemark.llm.mixing_sql import mixing_sql
 from tidemark.llm.packing import pack
 from tidemark.llm.prefix_trie import prefix_trie, rebuilt, turn_keys
+from tidemark.llm.signature_tree import similar_classes
+from tidemark.llm.spelling import variants
 from tidemark.llm.substring_dedup import drop_repeats
 from tidemark.llm.token_files import read_token_files, write_token_files
 from tidemark.llm.toxicity import Classifier, held_out, score, train
@@ -241,6 +243,55 @@ left join node p on p.depth = n.depth - 1 and p.turns = n.turns[:-2] and n.depth
 """
 
 
+def jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's class under links of similarity 0.8 and more."""
+    return similar_classes(_documents(spark, sf_dir), size=5, percent=80)
+
+
+JACCARD_JOIN_SQL = NEAR_DEDUP_SQL.replace(">= 85 *", ">= 80 *").replace(", d.doc_id = min(r.node) as kept", "")
+
+
+def spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The frequent words of all documents with the forms they are variants of."""
+    return variants(_documents(spark, sf_dir), slip_every=97)
+
+
+SPELLING_VARIANTS_SQL = f"""
+with recursive runs as (
+  select doc_id, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) as run
+  from documents),
+counted as (select doc_id, run, count(*) as n from runs group by all),
+hashed as (select run, n, {_crc32("coalesce(doc_id::varchar, '') || ':' || run")} as h from counted, {_CRC_TABLE}),
+words as (
+  select case when h % 97 = 0 then left(run, (h % length(run))::bigint) || substr(run, (h % length(run) + 2)::bigint) else run end as word,
+         sum(n)::bigint as n
+  from hashed group by word having length(word) >= 5 and sum(n) >= 3),
+places as (select word, n, unnest(range(1, length(word) + 1)) as at from words),
+pairs as (
+  select a.word, b.word as near, b.n as near_n
+  from places a join places b on length(a.word) = length(b.word) and a.at = b.at and a.word <> b.word
+    and left(a.word, a.at - 1) || '*' || substr(a.word, a.at + 1) = left(b.word, b.at - 1) || '*' || substr(b.word, b.at + 1)),
+shorter as (
+  select distinct p.word as long, p.n as long_n, w.word as short, w.n as short_n
+  from places p join words w on left(p.word, p.at - 1) || substr(p.word, p.at + 1) = w.word),
+near as (
+  select * from pairs union all select long, short, short_n from shorter union all select short, long, long_n from shorter),
+best as (
+  select word, count(*) as n_near, max(near_n) as best_n,
+         arg_min(near, (-near_n, encode(near))) as best from near group by word),
+forms as (
+  select w.word, w.n, coalesce(n_near, 0) as n_near, case when best_n >= 2 * w.n then best end as form,
+         case when best_n >= 2 * w.n then best_n end as form_n
+  from words w left join best using (word)),
+chain as (
+  select word, word as here, 0 as steps from forms
+  union all select c.word, f.form, steps + 1 from chain c join forms f on f.word = c.here where f.form is not null)
+select f.word, f.form, r.root, f.n, f.n_near, f.form_n
+from forms f join (select word, arg_max(here, steps) as root from chain group by word) r using (word)
+"""
+
+
 #: Name: the query, and its SQL if SQL can express it.
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_chunk_dedup": (chunk_dedup, None),
@@ -254,4 +305,6 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op9_mixing": (mixing, MIXING_SQL),
     "op10_substring_dedup": (substring_dedup, SUBSTRING_DEDUP_SQL),
     "op11_conversation_trie": (conversation_trie, CONVERSATION_TRIE_SQL),
+    "op12_jaccard_join": (jaccard_join, JACCARD_JOIN_SQL),
+    "op13_spelling_variants": (spelling_variants, SPELLING_VARIANTS_SQL),
 }
