@@ -51,20 +51,18 @@ def families(seed: int, n: int, of: int, words: int):
 
 
 @pytest.mark.parametrize(("seed", "block", "percent"), [(1, 1024, 80), (2, 3, 80), (3, 2, 90), (4, 1024, 100), (5, 4, 50)])
-def test_families(spark, monkeypatch, seed, block, percent):
-    monkeypatch.setattr(signature_tree, "BLOCK", block)
+def test_families(spark, seed, block, percent):
     docs = families(seed, 25, 9, 150)
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(6)
-    assert found_rows(similar_classes(df, percent=percent)) == brute_force(docs, percent=percent)
+    assert found_rows(similar_classes(df, percent=percent, block=block)) == brute_force(docs, percent=percent)
 
 
-def test_chain_over_blocks(spark, monkeypatch):
+def test_chain_over_blocks(spark):
     """Each document is linked with the next one only, so components need every link."""
-    monkeypatch.setattr(signature_tree, "BLOCK", 2)
     words = [f"w{k}" for k in range(400)]
     docs = [(100 - k, " ".join(words[8 * k : 8 * k + 100])) for k in range(30)]
     df = spark.createDataFrame(docs, "doc_id long, text string")
-    assert found_rows(similar_classes(df)) == brute_force(docs)
+    assert found_rows(similar_classes(df, block=2)) == brute_force(docs)
 
 
 def test_passage_of_many(spark):
@@ -116,6 +114,32 @@ def test_tree_keeps_every_link():
                 assert (i, j) in found
 
 
+def test_copies_in_many_batches_and_repeated_identifiers(spark):
+    """One text under many identifiers is one node; an identifier of two texts has the links of both."""
+    base = [f"w{k}" for k in range(60)]
+    near, far = [*base[:-1], "x"], [f"v{k}" for k in range(60)]
+    docs = [(k, " ".join(base)) for k in range(300)] + [(900, " ".join(near)), (901, " ".join(far)), (901, " ".join(near))]
+    docs += [(902, " ".join([*far[:-1], "y"]))]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(9)
+    assert {c for _, _, c in found_rows(similar_classes(df))} == {0}
+
+
+def test_frequent_shingles_are_joined_by_rows(spark):
+    """Families so large that their shingles are found frequent."""
+    draw = random.Random(8)
+    docs = []
+    for f in range(4):
+        base = [f"f{f}w{k}" for k in range(80)]
+        for _ in range(120):
+            copy = list(base)
+            for _ in range(draw.randint(0, 3)):
+                copy[draw.randrange(80)] = f"x{draw.randrange(10**6)}"
+            docs.append((len(docs), " ".join(copy)))
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    assert len(signature_tree._frequent(df.selectExpr("doc_id id", "text"), 5)[0]) > 0
+    assert found_rows(similar_classes(df, block=16)) == brute_force(docs)
+
+
 def test_bitmaps_fold():
     hashes = shingles(" ".join(f"w{k}" for k in range(300)))
     full = bitmap(hashes)

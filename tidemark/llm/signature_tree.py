@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
-from tidemark.llm.minhash import shingles
+from tidemark.llm.minhash import _mixed, shingles
 from tidemark.llm.shared import dealt_anew, keep, packed_texts, ship
 
 #: Documents of a subtree that one task builds.
@@ -38,6 +38,9 @@ _FAN = 8
 _SAMPLE, FREQUENT = 16, 1 << 20
 #: Pairs of nodes looked at together; texts of a batch.
 _PAIRS, _TEXTS = 4096, 256
+#: Shingles of prefixes that a task holds before it deals them to buckets, and those of a bucket.
+_POSTINGS = 1 << 20
+_DESCRIBED = """id long, n_shingles long, digest binary, node long, bits binary, often long, bucket long, shingles binary, nodes binary"""
 
 
 def prefix(hashes: np.ndarray, frequent: np.ndarray, percent: int) -> np.ndarray:
@@ -169,11 +172,11 @@ _BLOCKS = """g long, block long, a array<long>, b array<long>, spare array<long>
 bits binary, least long, most long, taken array<long>, component long, any_bits binary"""
 
 
-def _blocks(rows: DataFrame, percent: int, best_only: bool) -> DataFrame:
+def _blocks(rows: DataFrame, percent: int, best_only: bool, block: int) -> DataFrame:
     """Subtrees of sorted rows ``g, id, size, component, bits``, and the open pairs ``a, b, spare`` inside each.
 
     A list's documents lie in the order of their sizes, and no link leads over a gap between sizes
-    that is too wide. A block is at most ``BLOCK`` documents between two gaps. Its documents go
+    that is too wide. A block is at most ``block`` documents between two gaps. Its documents go
     along only if others of the same list may lie in another block.
     """
 
@@ -221,7 +224,7 @@ def _blocks(rows: DataFrame, percent: int, best_only: bool) -> DataFrame:
                 if held:
                     if g != last or 100 * held[-1][1] < percent * row[1]:
                         close(last, False)
-                    elif len(held) == BLOCK:
+                    elif len(held) == block:
                         close(last, True)
                 last = g
                 held.append(row)
@@ -285,7 +288,7 @@ def _across(blocks: DataFrame, percent: int, best_only: bool) -> DataFrame:
     return rows.mapInArrow(cross, "a long, b long, spare long")
 
 
-def _candidates(members: DataFrame, labels: DataFrame | None, documents: DataFrame, percent: int, best_only: bool) -> DataFrame:
+def _candidates(members: DataFrame, labels: DataFrame | None, documents: DataFrame, percent: int, best_only: bool, block: int) -> DataFrame:
     """Pairs ``a, b`` of documents that share a list, may be linked, and are not known to be connected."""
     component = F.col("id")
     if labels is not None:
@@ -298,7 +301,7 @@ def _candidates(members: DataFrame, labels: DataFrame | None, documents: DataFra
         named = named.join(dealt_anew(still.select("g")), "g")
     rows = named.join(documents, "id").select("g", "id", "size", "component", "bits")
     order = ["g", "size", "component", "id"]
-    blocks = _blocks(rows.repartitionByRange(*order).sortWithinPartitions(*order), percent, best_only)
+    blocks = _blocks(rows.repartitionByRange(*order).sortWithinPartitions(*order), percent, best_only, block)
     pair = F.inline(F.arrays_zip("a", "b", "spare"))
     found = blocks.where("size(a) > 0").select(pair).unionByName(_across(blocks, percent, best_only))
     if best_only:
@@ -330,10 +333,11 @@ def _confirmed(pairs: DataFrame, packed: DataFrame, size: int, percent: int) ->
     return keep(rows.select("a", "b", "one", "other").mapInArrow(run, "a long, b long"), "signature-links")
 
 
-def _frequent(df: DataFrame, size: int) -> np.ndarray:
-    """Shingles found often in one document of some: sorted, at most ``FREQUENT`` of them.
+def _frequent(df: DataFrame, size: int) -> tuple[np.ndarray, int]:
+    """Shingles found often in one document of some: sorted, at most ``FREQUENT`` of them; and how many
+    shingles those documents have.
 
-    They only say which shingles of a prefix come last, which may be any.
+    They say which shingles come last, which may be any, and which are joined row by row.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -346,47 +350,136 @@ def _frequent(df: DataFrame, size: int) -> np.ndarray:
     total = counts.agg(F.sum("n")).first()[0] or 0
     # Of all occurrences this share, so there are no more than its inverse.
     often = counts.where(F.col("n") >= max(3, -(-total // FREQUENT))).select("shingle").toPandas()["shingle"]
-    return np.sort(often.to_numpy(np.int64).view(np.uint64))
+    return np.sort(often.to_numpy(np.int64).view(np.uint64)), total
 
 
-def _described(df: DataFrame, frequent: np.ndarray, size: int, percent: int) -> DataFrame:
-    """``id, n_shingles, digest, prefix, bits`` of every row."""
+def _described(df: DataFrame, frequent: np.ndarray, buckets: int, size: int, percent: int) -> DataFrame:
+    """Rows of documents, ``id, n_shingles, digest, node, bits``, and besides of the shingles of their prefixes.
+
+    ``node`` is a hash of the digest; documents of equal sets have one. A shingle that is not
+    frequent goes to a ``bucket`` by its first bits, with others of the same batch: ``shingles`` and ``nodes``
+    hold 32 bits of each and the nodes, one after the other. Of a frequent one comes the row ``often, node``.
+    """
     shared = df.sparkSession.sparkContext.broadcast(frequent)
+    names = [c.split()[0] for c in _DESCRIBED.split(", ")]
+
+    def table(**columns: pa.Array) -> pa.RecordBatch:
+        n = len(next(iter(columns.values())))
+        types = {"id": pa.int64(), "n_shingles": pa.int64(), "node": pa.int64(), "often": pa.int64(), "bucket": pa.int64()}
+        return pa.RecordBatch.from_pydict({c: columns.get(c, pa.nulls(n, types.get(c, pa.binary()))) for c in names})
+
+    def postings(held: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        """The prefixes of some nodes, each node once."""
+        if not held:
+            return
+        nodes = np.repeat(np.fromiter(held, np.int64, len(held)), [len(x) for x in held.values()])
+        tokens = np.concatenate(list(held.values()))
+        held.clear()
+        often = np.zeros(len(tokens), bool)
+        if len(shared.value):
+            often = shared.value[np.minimum(np.searchsorted(shared.value, tokens), len(shared.value) - 1)] == tokens
+        yield table(often=pa.array(tokens[often].view(np.int64)), node=pa.array(nodes[often]))
+        tokens, nodes = tokens[~often], nodes[~often]
+        order = np.argsort(tokens)
+        tokens, nodes = tokens[order], nodes[order]
+        bucket = ((tokens >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+        cuts = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(tokens)] if len(tokens) else [0]
+        parts = list(zip(cuts, cuts[1:]))
+        yield table(
+            bucket=pa.array([int(bucket[i]) for i, _ in parts], pa.int64()),
+            shingles=pa.array([tokens[i:j].astype(np.uint32).tobytes() for i, j in parts], pa.binary()),
+            nodes=pa.array([nodes[i:j].tobytes() for i, j in parts], pa.binary()),
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        n = 0
         for whole in batches:
             for at in range(0, whole.num_rows, _TEXTS):
                 batch = whole.slice(at, _TEXTS)
                 sets = [shingles(text, size) for text in batch.column(1).to_pylist()]
-                first = [prefix(x, shared.value, percent).view(np.int64) if len(x) else [] for x in sets]
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "id": batch.column(0),
-                        "n_shingles": pa.array([len(x) for x in sets], pa.int64()),
-                        "digest": pa.array([xxhash.xxh3_128_digest(x.tobytes()) if len(x) else None for x in sets], pa.binary()),
-                        "prefix": pa.array(first, pa.list_(pa.int64())),
-                        "bits": pa.array([bitmap(x).tobytes() if len(x) else None for x in sets], pa.binary()),
-                    }
+                digests = [xxhash.xxh3_128_digest(x.tobytes()) if len(x) else None for x in sets]
+                nodes = [xxhash.xxh3_64_intdigest(d) - (1 << 63) if d else None for d in digests]
+                yield table(
+                    id=batch.column(0),
+                    n_shingles=pa.array([len(x) for x in sets], pa.int64()),
+                    digest=pa.array(digests, pa.binary()),
+                    node=pa.array(nodes, pa.int64()),
+                    bits=pa.array([bitmap(x).tobytes() if len(x) else None for x in sets], pa.binary()),
                 )
+                for node, hashes, doc in zip(nodes, sets, batch.column(0).is_valid().to_pylist()):
+                    if node is not None and doc and node not in held:
+                        held[node] = prefix(hashes, shared.value, percent)
+                        n += len(held[node])
+                if n >= _POSTINGS:
+                    yield from postings(held)
+                    n = 0
+        yield from postings(held)
 
-    schema = "id long, n_shingles long, digest binary, prefix array<long>, bits binary"
-    return keep(df.select("id", "text").mapInArrow(run, schema), "signature-sets")
+    return keep(df.select("id", "text").mapInArrow(run, _DESCRIBED), "signature-sets")
 
 
-def _lists(sets: DataFrame) -> DataFrame:
-    """``g, id, n``: the documents that share a shingle of their prefixes; each set of documents once."""
-    postings = sets.select("id", F.explode("prefix").alias("g")).distinct()
-    lists = postings.groupBy("g").agg(
+def _rare_lists(described: DataFrame) -> DataFrame:
+    """``n, mark, other, part, nodes``: the nodes that share a shingle, for each shingle of a bucket that two have.
+
+    Lists of the same nodes have the same marks. A list goes in parts, each with ``BLOCK`` nodes at most.
+    """
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        tokens = np.concatenate([np.frombuffer(x, np.uint32) for x in frame["shingles"]])
+        nodes = np.concatenate([np.frombuffer(x, np.int64) for x in frame["nodes"]])
+        order = np.lexsort((nodes, tokens))
+        tokens, nodes = tokens[order], nodes[order]
+        # A node comes from every batch that has one of its documents.
+        first = np.concatenate([[True], (tokens[1:] != tokens[:-1]) | (nodes[1:] != nodes[:-1])])
+        tokens, nodes = tokens[first], nodes[first]
+        begins = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
+        n = np.diff(np.append(begins, len(tokens)))
+        mixed = _mixed(nodes.view(np.uint64))
+        mark, other = np.add.reduceat(mixed, begins), np.add.reduceat(_mixed(mixed), begins)
+        several = np.flatnonzero(n > 1)
+        _, once = np.unique(np.stack([mark[several], other[several]]), axis=1, return_index=True)
+        rows = [
+            (int(n[k]), int(mark.view(np.int64)[k]), int(other.view(np.int64)[k]), part, nodes[at : min(at + BLOCK, begins[k] + n[k])].tobytes())
+            for k in several[once].tolist()
+            for part, at in enumerate(range(begins[k], begins[k] + n[k], BLOCK))
+        ]
+        return pd.DataFrame(rows, columns=["n", "mark", "other", "part", "nodes"])
+
+    rows = described.where("bucket is not null").select("bucket", "shingles", "nodes")
+    lists = rows.groupBy("bucket").applyInPandas(run, "n long, mark long, other long, part long, nodes binary")
+    return lists.dropDuplicates(["n", "mark", "other", "part"])
+
+
+def _lists(described: DataFrame, reps: DataFrame) -> DataFrame:
+    """``g, id, n``: the documents that share a shingle of their prefixes; each set of documents once.
+
+    Frequent shingles are joined row by row, so that those of one that many documents share can be split.
+    """
+
+    def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nodes = [np.frombuffer(x, np.int64) for x in batch.column(2).to_pylist()]
+            for g, n, some in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), nodes):
+                yield pa.RecordBatch.from_pydict(
+                    {"g": pa.array(np.full(len(some), g)), "n": pa.array(np.full(len(some), n)), "node": pa.array(some)}
+                )
+
+    rare = _rare_lists(described).select(F.xxhash64("n", "mark", "other").alias("g"), "n", "nodes")
+    rare = rare.mapInArrow(unpacked, "g long, n long, node long")
+    often = described.where("often is not null").select(F.col("often").alias("g"), "node").distinct()
+    half = F.lit(0xFFFFFFFF)
+    lists = often.groupBy("g").agg(
         F.count(F.lit(1)).alias("n"),
-        F.bit_xor(F.xxhash64("id")).alias("mark"),
-        F.bit_xor(F.xxhash64("id", F.lit(1))).alias("other_mark"),
+        *[F.sum(F.xxhash64("node", F.lit(k)).bitwiseAND(half)).alias(f"mark{k}") for k in range(3)],
     )
-    lists = lists.where("n > 1").groupBy("n", "mark", "other_mark").agg(F.min("g").alias("g")).select("g", "n")
-    return keep(postings.join(dealt_anew(lists), "g"), "signature-lists")
+    lists = lists.where("n > 1").groupBy("n", "mark0", "mark1", "mark2").agg(F.min("g").alias("g")).select("g", "n")
+    often = often.join(dealt_anew(lists), "g").select("g", "n", "node")
+    return keep(rare.unionByName(often).join(reps.select("node", "id"), "node").select("g", "id", "n"), "signature-lists")
 
 
 def similar_classes(
-    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80, block: int = BLOCK
 ) -> DataFrame:
     """Every row's class under links between similar texts: ``id_col, n_shingles, component_id``.
 
@@ -394,32 +487,44 @@ def similar_classes(
     (1 to 100) times those of either; fewer words than ``size`` are one shingle. ``component_id`` is the
     smallest identifier that links lead to, the row's own included. Null and empty texts, and those
     of white space, have no shingles and are linked with nothing; so is a row without identifier,
-    which has no component. Rows of one identifier count as one document. Identifiers are
-    integers; further columns play no part; an empty table gives an empty result.
+    which has no component. Rows of one identifier are one document, linked with what any of
+    them is linked with. Identifiers are integers; further columns play no part; an empty table
+    gives an empty result. A task takes ``block`` documents of a tree at a time.
     """
     ship(df.sparkSession)
     rows = df.selectExpr(f"cast(`{id_col}` as long) id", f"`{text_col}` text")
-    described = _described(rows, _frequent(rows, size), size, percent)
+    frequent, total = _frequent(rows, size)
+    # As many buckets as to hold about a million shingles of prefixes each.
+    buckets = 1 + total * (100 - percent) // 100 * _SAMPLE // _POSTINGS
+    everything = _described(rows, frequent, buckets, size, percent)
+    described = everything.where("n_shingles is not null").select("id", "n_shingles", "digest", "node", "bits")
     # Documents of equal sets are one class from the start, under its smallest identifier.
-    first = described.where("digest is not null and id is not null").groupBy("digest")
-    first = first.agg(F.min(F.struct("id", "n_shingles", "prefix", "bits")).alias("first"))
-    reps = keep(first.select("digest", "first.*"), "signature-classes")
-    members = _lists(reps)
-    documents = reps.select("id", F.col("n_shingles").alias("size"), "bits")
-    texts = rows.join(members.select("id").distinct(), "id", "left_semi").where("text is not null")
-    packed = keep(packed_texts(texts), "signature-texts")
+    first = described.where("digest is not null and id is not null").groupBy("digest", "node").agg(F.min("id").alias("id"))
+    reps = keep(first, "signature-classes")
+    members = _lists(everything, reps)
+    ids = members.select("id").distinct()
+    documents = described.join(ids, "id", "left_semi").dropDuplicates(["id", "node"])
+    documents = keep(documents.select("id", F.col("n_shingles").alias("size"), "bits"), "signature-bitmaps")
+    packed = keep(packed_texts(rows.where("id is not null and text is not null")).join(ids, "id", "left_semi"), "signature-texts")
 
     # The first round takes the largest list of every document only.
     largest = members.groupBy("id").agg(F.max(F.struct("n", "g")).alias("most")).select("most.g").distinct()
     members = members.select("g", "id")
-    links = _confirmed(_candidates(members.join(largest, "g", "left_semi"), None, documents, percent, True), packed, size, percent)
+    first_lists = members.join(largest, "g", "left_semi")
+    links = _confirmed(_candidates(first_lists, None, documents, percent, True, block), packed, size, percent)
+    # An identifier with several texts connects their classes.
+    texts_of = described.where("digest is not null").groupBy("id").agg(F.min("digest").alias("least"), F.max("digest").alias("most"))
+    several = described.join(texts_of.where("least < most").select("id"), "id", "left_semi").select(F.col("id").alias("a"), "digest")
+    same = several.join(reps.select("digest", F.col("id").alias("b")), "digest").select("a", "b")
+    links = keep(links.unionByName(same), "signature-links")
     for best_only in (True, False):
         labels = keep(components(links), "signature-components")
-        more = _confirmed(_candidates(members, labels, documents, percent, best_only), packed, size, percent)
+        more = _confirmed(_candidates(members, labels, documents, percent, best_only, block), packed, size, percent)
         links = links.unionByName(more)
     labels = keep(components(links), "signature-components")
 
-    found = reps.join(labels, reps["id"] == labels["node"], "left").select("digest", F.coalesce("component", "id").alias("component"))
-    result = described.join(found, "digest", "left")
+    labels = labels.select(F.col("node").alias("id"), "component")
+    found = reps.join(labels, "id", "left").select("digest", F.coalesce("component", "id").alias("component"))
+    result = described.drop("bits").join(found, "digest", "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
     return result.select(F.col("id").alias(id_col), "n_shingles", component.alias("component_id"))
