@@ -9,8 +9,12 @@ from tidemark.operators import (
     correlation_matrix,
     count_duplicates,
     describe,
+    distinct_counts,
+    distinct_estimates,
+    distinct_sketches,
     flag_rates,
     keep_referenced,
+    merge_sketches,
     null_counts,
     numeric_stats,
 )
@@ -185,6 +189,45 @@ SELECT count(*) AS rows, count(DISTINCT o_custkey) AS distinct_rows,
        count(*) - count(DISTINCT o_custkey) AS duplicates FROM orders"""
 
 
+def _distinct_source(spark, sf):
+    return table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_quantity", "l_returnflag", "l_shipdate",
+        F.expr("CASE WHEN l_linenumber < 4 THEN l_suppkey END AS supplier"),
+    )
+
+
+def profile_distinct(spark, sf):
+    """Values, nulls and distinct values of six columns of different types."""
+    return distinct_counts(_distinct_source(spark, sf))
+
+
+_DISTINCT_COLUMNS = {c: c for c in ("l_orderkey", "l_partkey", "l_quantity", "l_returnflag", "l_shipdate")}
+_DISTINCT_COLUMNS["supplier"] = "CASE WHEN l_linenumber < 4 THEN l_suppkey END"
+PROFILE_DISTINCT = " UNION ALL ".join(
+    f"""SELECT '{name}' AS "column", count(*) AS rows, count(*) - count({c}) AS nulls, count(DISTINCT {c}) AS "distinct",
+        count({c}) - count(DISTINCT {c}) AS repeated FROM lineitem"""
+    for name, c in _DISTINCT_COLUMNS.items()
+)
+
+
+def profile_distinct_sketches(spark, sf):
+    """Sketches of the parts of a table by flag, merged: whether the estimates are within 4 % of the numbers."""
+    source = _distinct_source(spark, sf)
+    columns = [c for c in source.columns if c != "l_returnflag"]
+    merged = merge_sketches(distinct_sketches(source, columns, by=["l_returnflag"]), columns)
+    estimates = distinct_estimates(merged).unpivot([], columns, "column", "estimate")
+    exact = distinct_counts(source, columns).select("column", "distinct")
+    near = F.abs(F.col("estimate") - F.col("distinct")) <= 0.04 * F.col("distinct")
+    return exact.join(estimates, "column").select("column", "distinct", near.alias("near"))
+
+
+PROFILE_DISTINCT_SKETCHES = " UNION ALL ".join(
+    f"""SELECT '{name}' AS "column", count(DISTINCT {c}) AS "distinct", true AS near FROM lineitem"""
+    for name, c in _DISTINCT_COLUMNS.items()
+    if name != "l_returnflag"
+)
+
+
 def profile_corr(spark, sf):
     pairs = [("l_quantity", "l_extendedprice"), ("l_extendedprice", "discounted")]
     lines = table(spark, sf, "lineitem").withColumn(
@@ -258,6 +301,8 @@ QUERIES = {
     "profile_nulls": (profile_nulls, PROFILE_NULLS),
     "profile_duplicates": (profile_duplicates, PROFILE_DUPLICATES),
     "profile_duplicate_keys": (profile_duplicate_keys, PROFILE_DUPLICATE_KEYS),
+    "profile_distinct": (profile_distinct, PROFILE_DISTINCT),
+    "profile_distinct_sketches": (profile_distinct_sketches, PROFILE_DISTINCT_SKETCHES),
     "profile_corr": (profile_corr, PROFILE_CORR),
     "profile_corr_matrix": (profile_corr_matrix, PROFILE_CORR_MATRIX),
     "profile_describe": (profile_describe, _describe_sql()),

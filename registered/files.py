@@ -9,12 +9,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import plans
-from tidemark.operators import cast_columns
+from tidemark.operators import cast_columns, number_rows
 from tidemark.schemas import RAW_MESSAGES
 from tidemark.session import fresh_path
-from tidemark.sinks import write_batches, write_csv, write_parquet
+from tidemark.sinks import write_batches, write_csv, write_feed, write_one_csv, write_parquet
 from tidemark.sources import infer_schema, read_csv, read_json_records, read_parquet
-from tidemark.streaming import ingest_files
+from tidemark.streaming import add_totals, compact_totals, ingest_batches, ingest_files, read_totals
 
 from . import raw
 from .aggregates import sql_rates
@@ -122,6 +122,39 @@ def csv_folder(spark, sf):
     return read_csv(spark, folder=path, schema=suppliers.schema, exclude=sorted(_file_names(spark, path) - first))
 
 
+def csv_line_breaks(spark, sf):
+    """Whole texts with line breaks, quotes and separators as CSV cells."""
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang", "source")
+    return read_csv(spark, write_csv(docs, fresh_path(spark, "csv")), docs.schema)
+
+
+CSV_LINE_BREAKS = "SELECT doc_id, text, lang, source FROM documents"
+
+
+def csv_chunk(spark, sf):
+    """The second chunk of 150 rows of the texts as CSV files hold them."""
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    path = write_csv(docs.orderBy("doc_id"), fresh_path(spark, "csv"))
+    return read_csv(spark, path, docs.schema, chunk=(1, 150))
+
+
+CSV_CHUNK = """
+SELECT doc_id, text, lang FROM (SELECT *, row_number() OVER (ORDER BY doc_id) AS place FROM documents)
+WHERE place BETWEEN 151 AND 300"""
+
+
+def csv_one_file(spark, sf):
+    """A sorted table as one file with one header: every row and its place in the file."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderpriority")
+    path = write_one_csv(orders.orderBy(F.col("o_totalprice").desc(), "o_orderkey"), fresh_path(spark, "one"))
+    return number_rows(read_csv(spark, path, orders.schema, position="at"), ["at"], "place").drop("at")
+
+
+CSV_ONE_FILE = """
+SELECT o_orderkey, o_totalprice, o_orderpriority, row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) - 1 AS place
+FROM orders"""
+
+
 def _make_old(folder, names):
     """Set the files' times back by ten days, where the folder is a local or mounted one."""
     local = folder.removeprefix("file://")
@@ -206,6 +239,66 @@ def incremental_ingest(spark, sf):
 INCREMENTAL_INGEST = 'SELECT event_id, user_id AS "user", value > 100 AS high, event_type FROM events'
 
 
+def ingest_to_csv(spark, sf):
+    """Arrivals of texts with line breaks, added as CSV batches; the second run starts from a lost checkpoint
+    and replaces the first one's batches."""
+    docs = table(spark, sf, "documents").select("doc_id", "text", "source")
+    folder, target = fresh_path(spark, "arrivals"), fresh_path(spark, "batches")
+    write_csv(docs.filter("doc_id % 3 < 2"), folder)
+    for _ in range(2):
+        checkpoint = fresh_path(spark, "progress")
+        ingest_batches(spark, folder, docs.schema, target, checkpoint, target_format="csv", files_per_batch=3)
+    write_csv(docs.filter("doc_id % 3 = 2"), folder, mode="append")
+    ingest_batches(spark, folder, docs.schema, target, checkpoint, target_format="csv", files_per_batch=3)
+    return read_csv(spark, target, docs.schema, nested=True)
+
+
+INGEST_TO_CSV = "SELECT doc_id, text, source FROM documents"
+
+
+def ingest_line_breaks(spark, sf):
+    """Texts with line breaks, added to a Parquet table in two runs."""
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    folder, target = fresh_path(spark, "arrivals"), fresh_path(spark, "ingested")
+    checkpoint = fresh_path(spark, "progress")
+    for part in ("lang = 'en'", "lang <> 'en'"):
+        write_csv(docs.filter(part), folder, mode="append")
+        ingest_files(spark, folder, docs.schema, target, checkpoint, multiline=True)
+    return read_parquet(spark, target, nested=True)
+
+
+INGEST_LINE_BREAKS = "SELECT doc_id, text, lang FROM documents"
+
+
+def feed_batches(spark, sf):
+    """A feed of four batches that is taken up again from its third one."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
+    path = fresh_path(spark, "feed")
+    feed = [orders.filter(F.col("o_orderkey") % 4 == k) for k in range(4)]
+    write_feed(spark, iter(feed[:3]), path)
+    write_feed(spark, iter(feed[2:]), path, first=2)
+    return read_parquet(spark, path, nested=True)
+
+
+FEED_BATCHES = "SELECT o_orderkey, o_orderpriority, o_totalprice FROM orders"
+
+
+def performance_kept(spark, sf):
+    """Totals and rates per campaign of three arrivals of messages, each counted once and folded in between."""
+    messages = plans.clean_messages(raw.raw_messages(spark, sf))
+    folder, target, checkpoint = (fresh_path(spark, name) for name in ("messages", "totals", "progress"))
+    campaigns, clients = plans.clean_campaigns(raw.raw_campaigns(spark, sf)), plans.clean_clients(raw.raw_clients(spark, sf))
+    for part in range(3):
+        arrived = messages.filter(F.pmod(F.xxhash64("message_id"), F.lit(3)) == part)
+        write_parquet(arrived, folder, mode="append")
+        add_totals(
+            spark, folder, messages.schema, target, checkpoint, transform=lambda m: plans.known_messages(m, campaigns, clients)
+        )
+        if part == 1:
+            compact_totals(spark, target)
+    return read_totals(spark, target)
+
+
 def _bronze(spark, sf) -> plans.Layout:
     at = plans.Layout(fresh_path(spark, "campaigns"))
     write_csv(raw.raw_campaigns(spark, sf), at.bronze("campaigns.csv"))
@@ -318,6 +411,13 @@ QUERIES = {
     "parquet_append": (parquet_append, PARQUET_APPEND),
     "parquet_partitioned": (parquet_partitioned, PARQUET_PARTITIONED),
     "parquet_folder": (parquet_folder, PARQUET_FOLDER),
+    "csv_line_breaks": (csv_line_breaks, CSV_LINE_BREAKS),
+    "csv_chunk": (csv_chunk, CSV_CHUNK),
+    "csv_one_file": (csv_one_file, CSV_ONE_FILE),
+    "ingest_to_csv": (ingest_to_csv, INGEST_TO_CSV),
+    "ingest_line_breaks": (ingest_line_breaks, INGEST_LINE_BREAKS),
+    "feed_batches": (feed_batches, FEED_BATCHES),
+    "performance_kept": (performance_kept, sql_rates("campaign_id", "message_id", SQL_KNOWN, SQL_TOTALS)),
     "incremental_ingest": (incremental_ingest, INCREMENTAL_INGEST),
     "jobs_performance": (
         jobs_performance,

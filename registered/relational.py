@@ -228,7 +228,8 @@ def dedup_first_in_file(spark, sf):
         spark, f"{sf}/events.parquet", columns=["event_id", "event_type", "user_id"], position="place"
     )
     kept = drop_duplicates(events, ["user_id", "event_type"], order_by=["place"])
-    return kept
+    # The table is one file, so the index of a row in its file is its place.
+    return kept.withColumn("place", F.col("place.row_index"))
 
 
 DEDUP_FIRST_IN_FILE = """

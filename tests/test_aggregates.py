@@ -6,13 +6,18 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions import rate, round_half_even
+from tidemark.operators import quantiles
 from tidemark.operators.quantiles import exact_quantiles
 from tidemark.operators import (
     correlation,
     correlation_matrix,
     count_duplicates,
     describe,
+    distinct_counts,
+    distinct_estimates,
+    distinct_sketches,
     flag_rates,
+    merge_sketches,
     null_counts,
     numeric_stats,
     quality_report,
@@ -280,3 +285,67 @@ def test_quantiles_are_exact_however_coarse_the_stretches(spark, expression, str
     values = [r.x for r in df.collect()]
     found = exact_quantiles(df, {"x": F.col("x")}, shares, stretches)
     assert found == {"x": [_nearest(values, s) for s in shares]}
+
+
+@pytest.mark.parametrize(
+    "values", [[0.0, 5e-324, 1e-323], [1.0, 1.0 + 2**-52, 1.0 + 2**-51], [-1e308, -5e-324, 1e308], [7.0] * 5]
+)
+def test_quantiles_end_in_six_scans(spark, monkeypatch, values):
+    """Whatever the values: neighbours in the last bit, denormal ones, far apart ones."""
+    scans, counted = [], quantiles._counted
+    monkeypatch.setattr(quantiles, "_counted", lambda *args: scans.append(args) or counted(*args))
+    df = spark.createDataFrame([(v,) for v in values], "x double").repartition(2)
+    found = exact_quantiles(df, {"x": F.col("x")}, [0.0, 0.5, 1.0])
+    assert found["x"] == [values[0], values[len(values) // 2], values[-1]]
+    assert 1 <= len(scans) <= 6
+    with pytest.raises(ValueError):
+        exact_quantiles(df, {"x": F.col("x")}, [0.5], 1000)
+
+
+def test_quantiles_of_columns_without_values(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, -0.0)], "x double, y double")
+    assert exact_quantiles(df, {"x": F.col("x"), "y": F.col("y")}, [0.0, 1.0]) == {"x": [None, None], "y": [0.0, 1.0]}
+    assert exact_quantiles(df.limit(0), {"y": F.col("y")}, [0.5]) == {"y": [None]}
+
+
+def test_correlations_with_not_a_number(spark):
+    nan = float("nan")
+    data = [(1.0, 2.0, 1.0, 5.0), (2.0, 1.0, nan, 5.0), (3.0, 5.0, 2.0, 5.0), (4.0, 4.0, 3.0, 5.0), (nan, None, None, None)]
+    df = spark.createDataFrame(data, "a double, b double, c double, d double").repartition(3)
+    found = {r["column"]: r for r in correlation_matrix(df).collect()}
+    expected = correlation(df, [("a", "b"), ("b", "c"), ("a", "c")]).first()
+    assert found["a"]["b"] == pytest.approx(expected["a_b"]) and expected["a_b"] == pytest.approx(0.7071, abs=1e-4)
+    assert math.isnan(expected["b_c"]) and math.isnan(found["b"]["c"]) and math.isnan(found["c"]["b"])
+    assert math.isnan(found["a"]["a"]) and math.isnan(found["c"]["c"]) and found["b"]["b"] == 1.0
+    assert found["d"]["d"] is None and found["d"]["b"] is None
+    infinite = spark.createDataFrame([(1.0, 1.0), (float("inf"), 2.0), (3.0, 5.0)], "a double, b double")
+    assert math.isnan(correlation_matrix(infinite).first()["b"])
+
+
+def test_distinct_counts(spark, rows):
+    nan = float("nan")
+    data = [(1, "a", 0.0, b"\xff", None), (1, "", -0.0, b"\xfe", None), (2, None, nan, b"\xff", None), (None, "a", nan, None, None)]
+    df = spark.createDataFrame(data, "i int, s string, x double, b binary, n date").repartition(3)
+    found = rows(distinct_counts(df))
+    assert found == [("b", 4, 1, 2, 1), ("i", 4, 1, 2, 1), ("n", 4, 4, 0, 0), ("s", 4, 1, 2, 1), ("x", 4, 0, 2, 2)]
+    assert rows(distinct_counts(df.limit(0), ["i", "n"])) == [("i", 0, 0, 0, 0), ("n", 0, 0, 0, 0)]
+    with pytest.raises(TypeError):
+        distinct_counts(spark.createDataFrame([([1],)], "a array<int>"))
+    plan = distinct_counts(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan ") <= 2 and plan.count("Exchange hashpartitioning") == 2
+
+
+def test_distinct_sketches(spark):
+    """Within four standard errors over numbers of very different size; parts merge to the whole's sketch."""
+    df = spark.range(0, 60_000, 1, 4).selectExpr("id", "id % 7 AS few", "id % 1000 AS some", "CAST(id % 20000 AS STRING) AS many", "id % 3 AS part")
+    columns, numbers = ["id", "few", "some", "many"], [60_000, 7, 1000, 20_000]
+    for bits in (10, 14):
+        whole = distinct_estimates(distinct_sketches(df, columns, bits)).first()
+        parts = distinct_sketches(df, columns, bits, by=["part"])
+        assert parts.count() == 3
+        merged = distinct_estimates(merge_sketches(parts, columns)).first()
+        for name, n in zip(columns, numbers):
+            bound = max(1, 4 * 1.04 / 2 ** (bits / 2) * n)
+            assert abs(whole[name] - n) <= bound and abs(merged[name] - n) <= bound
+    grouped = distinct_estimates(distinct_sketches(df, ["few"], by=["part"]), ["few"])
+    assert sorted(tuple(r) for r in grouped.collect()) == [(0, 7), (1, 7), (2, 7)]

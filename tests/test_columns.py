@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions import parse_boolean, parse_timestamp, weekday_name
+from tidemark.operators import slices
 from tidemark.operators import (
     add_columns,
     add_date_parts,
@@ -241,3 +242,29 @@ def test_row_numbers_follow_the_order(spark, tmp_path):
     found = numbered.orderBy("row_number").collect()
     assert [r.row_number for r in found] == list(range(5000))
     assert [(r.hot, -r.k, r.id) for r in found] == sorted((r.hot, -r.k, r.id) for r in found)
+
+
+@pytest.mark.parametrize(("offset", "length"), [(0, 10), (30_000, 25), (59_990, 100), (61_000, 5), (12_345, 0), (5, 59_000)])
+def test_slices_are_selected(spark, monkeypatch, offset, length):
+    """Over a composite key with nulls, ties in its first column and a descending part, in several rounds."""
+    monkeypatch.setattr(slices, "SORTED_ROWS", 500)
+    df = spark.range(0, 60_000, 1, 6).selectExpr(
+        "CASE WHEN id % 4 > 0 THEN id % 3 END AS hot", "CASE WHEN id % 9 > 0 THEN CAST(pmod(xxhash64(id), 5000) AS DOUBLE) END AS x", "id"
+    )
+    order = [F.col("hot").desc(), F.col("x"), "id"]
+    found = slice_rows(df, order, offset, length)
+    expected = df.orderBy(F.col("hot").desc(), F.col("x"), "id").collect()[offset : offset + length]
+    assert found.collect() == expected
+    assert "Write" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_slices_need_a_total_order(spark, monkeypatch):
+    monkeypatch.setattr(slices, "SORTED_ROWS", 500)
+    with pytest.raises(ValueError, match="total order"):
+        slice_rows(spark.range(5000).selectExpr("id % 2 AS k"), ["k"], 700, 5)
+
+
+def test_slices_by_other_expressions(spark, tmp_path):
+    df = spark.range(0, 100, 1, 3)
+    found = slice_rows(df, [F.col("id") % 10, "id"], 10, 3, path=str(tmp_path / "n"))
+    assert sorted(r.id for r in found.collect()) == [1, 11, 21]

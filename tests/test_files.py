@@ -76,9 +76,6 @@ def test_csv_nulls_and_quotes(spark, rows, tmp_path):
     df = spark.createDataFrame(data, "i long, s string, x double")
     path = write_csv(df, str(tmp_path / "out"))
     assert rows(read_csv(spark, path, df.schema)) == sorted(data, key=repr)
-    breaks = spark.createDataFrame([("one\ntwo",)], "s string")
-    path = write_csv(breaks, str(tmp_path / "breaks"))
-    assert rows(read_csv(spark, path, multiline=True)) == [("one\ntwo",)]
 
 
 def test_infer_schema(spark, tmp_path):
@@ -151,27 +148,6 @@ def test_partitions_have_few_files(spark, tmp_path):
         assert read_parquet(spark, path).count() == 4000
 
 
-@pytest.mark.parametrize("columns", [None, ["t"], ["k"]])
-def test_line_breaks_in_csv_cells(spark, tmp_path, columns):
-    """They fail the job line by line, whatever is selected, and are read with multiline."""
-    df = spark.createDataFrame([("1", "a\nb", "x"), ("2", "c", "y")], "k string, t string, u string")
-    path = write_csv(df, str(tmp_path / "c"))
-    broken = read_csv(spark, path, columns=columns)
-    for act in (broken.collect, broken.count):
-        with pytest.raises(Exception, match="MALFORMED|FAILED_READ_FILE"):
-            act()
-    whole = read_csv(spark, path, columns=columns, multiline=True)
-    assert whole.count() == 2 and sorted(whole.collect()) == sorted(df.select(whole.columns).collect())
-
-
-def test_line_breaks_in_the_only_csv_column(spark, tmp_path):
-    df = spark.createDataFrame([("a\nb",), ('say "c"',)], "t string")
-    path = write_csv(df, str(tmp_path / "c"))
-    with pytest.raises(ValueError, match="multiline"):
-        read_csv(spark, path)
-    assert sorted(read_csv(spark, path, multiline=True).collect()) == sorted(df.collect())
-
-
 def test_late_files_are_ingested(spark, tmp_path):
     folder, target, progress = (str(tmp_path / n) for n in ("in", "out", "progress"))
     schema = spark.createDataFrame([], "k long").schema

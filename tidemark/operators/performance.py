@@ -16,30 +16,27 @@ MESSAGE_FLAGS = {
     "unsubscribed": ["is_unsubscribed"],
     "bounced": ["is_hard_bounced", "is_soft_bounced"],
 }
+TOTALS = ["total_sent", *[f"total_{name}" for name in MESSAGE_FLAGS]]
 
 
-def flag_rates(
-    df: DataFrame,
-    key: str = "campaign_id",
-    id_column: str = "message_id",
-    flags: dict[str, list[str]] | None = None,
-    digits: int = 2,
-) -> DataFrame:
-    """Totals of sent, opened, clicked, purchased, unsubscribed and bounced rows
-    per key, and five rounded rates.
-
-    ``flags`` maps each total to the flag columns (boolean or 0/1) of which one
-    must be set. Null flags count as not set; a null key is a key of its own. A rate
-    of sent rows is null where none was sent; click and conversion rates are 0
-    where nothing was opened or clicked.
-
-    All totals are counters, combined in the map tasks: the shuffle carries one
-    row per key and map task, however the rows spread over the keys.
-    """
+def _checked(flags: dict[str, list[str]] | None) -> dict[str, list[str]]:
     flags = {**MESSAGE_FLAGS, **(flags or {})}
     unknown = set(flags) - set(MESSAGE_FLAGS)
     if unknown:
         raise ValueError(f"unknown totals {sorted(unknown)}")
+    return flags
+
+
+def flag_totals(
+    df: DataFrame, key: str = "campaign_id", id_column: str = "message_id", flags: dict[str, list[str]] | None = None
+) -> DataFrame:
+    """Totals of sent, opened, clicked, purchased, unsubscribed and bounced rows per key.
+
+    ``flags`` maps each total to the flag columns (boolean or 0/1) of which one
+    must be set. Null flags count as not set; a null key is a key of its own. Totals of parts
+    of a table add up to those of the whole (``fold_totals``).
+    """
+    flags = _checked(flags)
     require_columns(df, [key, id_column, *[c for columns in flags.values() for c in columns]])
 
     def is_set(columns: list[str]) -> Column:
@@ -48,10 +45,24 @@ def flag_rates(
             hit = hit | ref(c).cast("boolean")
         return hit
 
-    totals = df.groupBy(ref(key)).agg(
+    return df.groupBy(ref(key)).agg(
         F.count(ref(id_column)).alias("total_sent"),
         *[F.count_if(is_set(columns)).alias(f"total_{name}") for name, columns in flags.items()],
     )
+
+
+def fold_totals(totals: DataFrame, key: str = "campaign_id") -> DataFrame:
+    """Totals per key of parts of a table, as of ``flag_totals``, added up to one row per key."""
+    require_columns(totals, [key, *TOTALS])
+    return totals.groupBy(ref(key)).agg(*[F.sum(n).alias(n) for n in TOTALS])
+
+
+def total_rates(totals: DataFrame, digits: int = 2) -> DataFrame:
+    """Totals per key with the five rounded rates.
+
+    A rate of sent rows is null where none was sent; click and conversion rates are 0
+    where nothing was opened or clicked.
+    """
     sent, opened, clicked = ref("total_sent"), ref("total_opened"), ref("total_clicked")
     rates = {
         "open_rate": rate(opened, sent),
@@ -61,3 +72,18 @@ def flag_rates(
         "bounce_rate": rate(ref("total_bounced"), sent),
     }
     return totals.withColumns({name: round_half_even(c, digits) for name, c in rates.items()})
+
+
+def flag_rates(
+    df: DataFrame,
+    key: str = "campaign_id",
+    id_column: str = "message_id",
+    flags: dict[str, list[str]] | None = None,
+    digits: int = 2,
+) -> DataFrame:
+    """``flag_totals`` per key, and the five rates of ``total_rates``.
+
+    All totals are counters, combined in the map tasks: the shuffle carries one
+    row per key and map task, however the rows spread over the keys.
+    """
+    return total_rates(flag_totals(df, key, id_column, flags), digits)

@@ -66,7 +66,11 @@ def count_duplicates(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
 
 
 def correlation(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
-    """One row with the Pearson correlation ``<a>_<b>`` of each pair of columns."""
+    """One row with the Pearson correlation ``<a>_<b>`` of each pair of columns.
+
+    A pair ignores rows where one of the two is null. Not-a-number is a value: where a row that
+    counts holds it, the correlation is not a number; so it is with an infinite value.
+    """
     require_columns(df, [c for pair in pairs for c in pair])
     measures = {f"{a}_{b}": pearson(ref(a), ref(b)) for a, b in pairs}
     if not pairs or len(measures) < len(pairs):
@@ -78,7 +82,8 @@ def correlation_matrix(df: DataFrame, columns: list[str] | None = None) -> DataF
     """Pearson correlations of all numeric columns, one row per ``column``.
 
     Each pair ignores rows where one of the two is null; a constant column has no
-    correlation with anything, itself included. Two scans, whatever the number of
+    correlation with anything, itself included. Not-a-number is a value: a pair with a row that
+    holds it, or an infinite value, has not-a-number for its correlation. Two scans, whatever the number of
     columns, run when this is called: one for each column's mean and range, one for the
     products of the columns less their means, in blocks of rows. A task sends one row for
     each pair of columns.
@@ -86,29 +91,35 @@ def correlation_matrix(df: DataFrame, columns: list[str] | None = None) -> DataF
     columns = require_columns(df, columns or columns_of_kind(df, "numeric"))
     spark, width = df.sparkSession, len(columns)
     values = [ref(c).cast("double") for c in columns]
-    cells = df.select(F.posexplode(F.array(*values)).alias("i", "value")).where("value is not null")
+    cells = df.select(F.posexplode(F.array(*values)).alias("i", "value")).where("abs(value) < double('Infinity')")
     ranges = cells.groupBy("i").agg(F.mean("value").alias("mean"), F.min("value").alias("low"), F.max("value").alias("high"))
     found = {r["i"]: r for r in ranges.collect()}
     means = np.array([found[i]["mean"] if i in found else 0.0 for i in range(width)])
     varies = [i in found and found[i]["low"] < found[i]["high"] for i in range(width)]
 
     def products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((4, width, width))
+        sums = np.zeros((5, width, width))
         for batch in batches:
             known = np.stack([c.is_valid().to_numpy(zero_copy_only=False) for c in batch.columns], axis=1).astype(float)
             x = np.stack([c.fill_null(0.0).to_numpy(zero_copy_only=False) for c in batch.columns], axis=1)
-            x = np.where(known > 0, x - means, 0.0)
-            sums += np.stack([known.T @ known, x.T @ known, (x * x).T @ known, x.T @ x])
-        i, j = np.triu_indices(width, 1)
-        named = {"n": sums[0][i, j], "x": sums[1][i, j], "y": sums[1][j, i]}
+            finite = known * np.isfinite(x)
+            # Any finite value would do to take off; a mean keeps the sums small.
+            x = np.where(finite > 0, x, means) - means
+            sums += np.stack([finite.T @ finite, x.T @ finite, (x * x).T @ finite, x.T @ x, known.T @ known])
+        i, j = np.triu_indices(width)
+        named = {"n": sums[0][i, j], "all": sums[4][i, j], "x": sums[1][i, j], "y": sums[1][j, i]}
         named |= {"xx": sums[2][i, j], "yy": sums[2][j, i], "xy": sums[3][i, j]}
         yield pa.RecordBatch.from_pydict({"i": pa.array(i, pa.int32()), "j": pa.array(j, pa.int32())} | named)
 
-    schema = "i int, j int, n double, x double, y double, xx double, yy double, xy double"
+    schema = "i int, j int, n double, `all` double, x double, y double, xx double, yy double, xy double"
     blocks = df.select([v.alias(f"c{i}") for i, v in enumerate(values)]).mapInArrow(products, schema)
-    sums = blocks.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "x", "y", "xx", "yy", "xy")])
+    sums = blocks.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "all", "x", "y", "xx", "yy", "xy")])
     results: dict[tuple[int, int], float | None] = {(i, i): 1.0 if varies[i] else None for i in range(width)}
     for r in sums.collect():
+        if r["n"] < r["all"]:
+            results[r["i"], r["j"]] = results[r["j"], r["i"]] = float("nan")
+        if r["n"] < r["all"] or r["i"] == r["j"]:
+            continue
         xx, yy = r["n"] * r["xx"] - r["x"] ** 2, r["n"] * r["yy"] - r["y"] ** 2
         # What is left of a constant's square after subtracting it is rounding.
         constant = xx <= _ROUNDING * r["n"] * r["xx"] or yy <= _ROUNDING * r["n"] * r["yy"]

@@ -1,4 +1,4 @@
-"""Unions and row slices."""
+"""Unions, row numbers and row slices."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..naming import ref
 from ..session import fresh_path
+from .slices import Order, keys_at, keys_of
 
 _PART, _POSITION, _START = "__part", "__position", "__start"
 
@@ -60,14 +61,27 @@ def number_rows(
 def slice_rows(
     df: DataFrame, order_by: list[str | Column], offset: int, length: int, path: str | None = None
 ) -> DataFrame:
-    """Rows ``offset`` to ``offset + length`` of a total order.
+    """Rows ``offset`` to ``offset + length`` of a total order, in that order.
 
-    Cut out of ``number_rows``, so that no task has to hold the rows before it. The
-    numbered table is written to ``path``, or to a fresh place in the shared folder,
-    and stays there.
+    The keys at both places are selected first (see ``slices.keys_at``), in some scans of the key columns
+    that run when this is called; the slice is a filter between them, so nothing is written and no task
+    holds the rows before it. ``order_by`` names columns, or gives them as Columns with their
+    directions; it must be a total order (unique), and the table the same in every scan.
+
+    Other expressions to order by, and a ``path``, take the slice out of ``number_rows``, which writes the
+    whole table there, or to a fresh place in the shared folder.
     """
     if offset < 0 or length < 0:
         raise ValueError("offset and length must not be negative")
-    numbered = number_rows(df, order_by, name="__row", path=path)
-    inside = (ref("__row") >= offset) & (ref("__row") < offset + length)
-    return numbered.filter(inside).select([ref(c) for c in df.columns])
+    keys = None if path else keys_of(df, order_by)
+    if keys is None:
+        numbered = number_rows(df, order_by, name="__row", path=path)
+        inside = (ref("__row") >= offset) & (ref("__row") < offset + length)
+        return numbered.filter(inside).select([ref(c) for c in df.columns])
+    rows = df.count()
+    if offset >= rows or not length:
+        return df.where(F.lit(False))
+    order = Order(df, keys)
+    places = [p for p in (offset, offset + length) if 0 < p < rows]
+    found = dict(zip(places, keys_at(order, places, rows)))
+    return df.where(order.between(found.get(offset), found.get(offset + length))).orderBy(*order.columns)

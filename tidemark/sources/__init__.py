@@ -3,13 +3,14 @@
 from .files import infer_schema, read_csv, read_parquet
 from .jdbc import bind, read_jdbc
 from .records import as_table, read_json_records
-from .web import PagedRecords, read_api
+from .web import PagedRecords, ingest_api, read_api
 
 __all__ = [
     "PagedRecords",
     "as_table",
     "bind",
     "infer_schema",
+    "ingest_api",
     "read_api",
     "read_csv",
     "read_jdbc",

@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..naming import ref, require_columns
+from .csv_records import layout, lines_of, records
 
 # No CSV cell holds this text: an unquoted empty cell is read as null while a
 # quoted one stays the empty text.
 _NEVER = "\u0000"
+_CELLS, _BAD = "__cells", "__bad_record"
 
 
 def _locations(paths: str | list[str] | None, folder: str | None) -> list[str]:
@@ -27,6 +29,10 @@ def _without(df: DataFrame, excluded: list[str] | None) -> DataFrame:
     return df.filter(~F.col("_metadata.file_name").isin(list(excluded)))
 
 
+def _without_names(lines: DataFrame, excluded: list[str] | None) -> DataFrame:
+    return lines.filter(~F.col("file_name").isin(list(excluded))) if excluded else lines
+
+
 def _sample(
     spark: SparkSession, locations: list[str], folder: str | None, pattern: str, excluded: list[str] | None
 ) -> list[str]:
@@ -43,22 +49,34 @@ def _sample(
     return [first]
 
 
-def csv_reader_options(sep: str, header: bool, multiline: bool, mode: str) -> dict[str, str]:
+def csv_options(sep: str, header: bool, mode: str) -> dict[str, str]:
     return {
         "sep": sep,
         "header": str(header).lower(),
-        "multiLine": str(multiline).lower(),
         "mode": mode,
         "quote": '"',
         "escape": '"',
         "nullValue": _NEVER,
         "emptyValue": "",
-        # Line by line, a wrong number of cells is the one sign of a line break in a
-        # cell; with pruned columns the parser would not count them.
-        "columnPruning": str(multiline).lower(),
+        # With pruned columns the parser would not see that a row has too few or too many cells.
+        "columnPruning": "false",
     }
 
 
+def parsed(rows: DataFrame, schema: T.StructType, sep: str, mode: str, keep: list[Column]) -> DataFrame:
+    """The cells of CSV records in the column ``value``, and the columns to keep."""
+    options = csv_options(sep, False, mode) | {"multiLine": "true"}
+    dropping = mode.upper() == "DROPMALFORMED"
+    if dropping:
+        # Text is parsed cell by cell; what does not fit leaves the record in a column of its own.
+        options |= {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD}
+        schema = T.StructType([*schema.fields, T.StructField(_BAD, T.StringType())])
+    cells = rows.select(*keep, F.from_csv("value", schema.toDDL(), options).alias(_CELLS))
+    if dropping:
+        cells = cells.where(ref(_CELLS)[_BAD].isNull())
+    return cells
+
+
 def read_csv(
     spark: SparkSession,
     paths: str | list[str] | None = None,
@@ -68,9 +86,11 @@ def read_csv(
     header: bool = True,
     folder: str | None = None,
     exclude: list[str] | None = None,
-    multiline: bool = False,
+    multiline: bool = True,
     mode: str = "FAILFAST",
     position: str | None = None,
+    chunk: tuple[int, int] | None = None,
+    nested: bool = False,
 ) -> DataFrame:
     """Scan CSV files: the listed ones, or all ``*.csv`` of a folder except some.
 
@@ -79,49 +99,60 @@ def read_csv(
     (see ``infer_schema``). Dates are best read as text and converted afterwards.
     An empty cell is null, a quoted empty cell is empty text. A cell that does not
     fit its type fails the job unless ``mode`` is ``PERMISSIVE`` or ``DROPMALFORMED``.
-    ``multiline`` allows line breaks inside quoted cells but reads each file in one task;
-    without it they fail the job. That takes parsing every cell of a line, whatever columns
-    are selected, and for files of a single column a scan of their own, run when this is called.
+
+    Cells may hold line breaks; many tasks read a file all the same. For that the quotes of
+    all files are counted first, in a scan of its own that is run when this is called (see
+    ``csv_records``). ``multiline=False`` saves that scan; a record that spans lines then fails the
+    job. So do, either way, quotes that are not doubled inside a cell, and another header.
+
     ``position`` names a column that sorts the rows as the files hold them, in the order
-    of their paths, for keeping the first of duplicate rows as written.
+    of their paths, for keeping the first of duplicate rows as written. ``chunk=(part, size)`` reads the
+    rows from ``part * size`` up to the next part in that order, and parses only splits of files that
+    hold some of them. ``nested`` looks for files in folders below the paths as well.
     """
     locations = _locations(paths, folder)
+    if chunk is not None and (chunk[0] < 0 or chunk[1] < 0):
+        raise ValueError("part and size of a chunk must not be negative")
+    if len(sep) != 1:
+        raise ValueError(f"{sep!r} is not one character")
     sample = _sample(spark, locations, folder, "*.csv", exclude)
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
-    reader = spark.read.options(**csv_reader_options(sep, header, multiline, mode))
-    if folder:
-        reader = reader.option("pathGlobFilter", "*.csv")
+
+    def reader():
+        found = spark.read.option("pathGlobFilter", "*.csv") if folder else spark.read
+        return found.option("recursiveFileLookup", "true") if nested else found
+
+    native = reader().options(**csv_options(sep, header, mode))
     kinds = {f.name: f.dataType for f in schema.fields} if schema is not None else {}
     if header or schema is None:
         # Reads one line of one file.
-        names = reader.csv(sample).columns
+        names = native.csv(sample).columns
         absent = [n for n in kinds if n not in names]
         if absent:
             raise ValueError(f"the file has no columns {absent}; it has {names}")
         schema = T.StructType([T.StructField(n, kinds.get(n, T.StringType())) for n in names])
-    # Fail on a file whose header differs, rather than shift its columns.
-    reader = reader.schema(schema).option("enforceSchema", "false")
-    if len(schema.fields) == 1 and not multiline:
-        _require_whole_lines(spark, locations, "*.csv" if folder else None, exclude)
-    df = _without(reader.csv(locations), exclude)
-    kept = [ref(c) for c in (require_columns(df, columns) if columns else df.columns)]
-    if position:
+    lines = _without_names(lines_of(reader(), locations), exclude)
+    found = layout(lines, header) if multiline or chunk is not None else None
+    if found is not None and not found.several_lines and chunk is None:
+        # Every line is a record, so Spark's own reader can cut the files.
+        # It fails on a file whose header differs, rather than shift its columns.
+        df = _without(native.schema(schema).option("enforceSchema", "false").csv(locations), exclude)
         # One block is read by one task, from top to bottom.
-        block = [F.col("_metadata.file_path"), F.col("_metadata.file_block_start")]
-        kept.append(F.struct(*block, F.monotonically_increasing_id().alias("row")).alias(position))
+        place = [F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id()]
+    else:
+        low = (chunk[0] * chunk[1], (chunk[0] + 1) * chunk[1]) if chunk is not None else None
+        rows = records(lines, found, schema.names if header else None, sep, low)
+        df = parsed(rows, schema, sep, mode, [F.col(c).alias(f"__{c}") for c in ("file", "block", "row")])
+        place = [F.col(f"__{c}") for c in ("file", "block", "row")]
+        df = df.select("*", *[ref(_CELLS)[n].alias(n) for n in schema.names]).drop(_CELLS)
+    kept = [ref(c) for c in (require_columns(df, columns) if columns else schema.names)]
+    if position:
+        names = ("file_path", "file_block_start", "row")
+        kept.append(F.struct(*[c.alias(n) for c, n in zip(place, names)]).alias(position))
     return df.select(kept)
 
 
-def _require_whole_lines(spark: SparkSession, locations: list[str], pattern: str | None, excluded: list[str] | None) -> None:
-    """Fail if a line of a one-column file opens a quote that it does not close."""
-    reader = spark.read.option("pathGlobFilter", pattern) if pattern else spark.read
-    lines = _without(reader.text(locations), excluded)
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    if not lines.where(quotes % 2 == 1).isEmpty():
-        raise ValueError("a cell holds a line break: read these files with multiline=True")
-
-
 _WHOLE, _DECIMAL, _FLAG, _TEXT = 1, 2, 4, 8
 
 
@@ -157,6 +188,7 @@ def read_parquet(
     exclude: list[str] | None = None,
     position: str | None = None,
     chunk: tuple[int, int] | None = None,
+    nested: bool = False,
 ) -> DataFrame:
     """Scan Parquet files: the listed ones, or all ``*.parquet`` of a folder except some.
 
@@ -164,10 +196,12 @@ def read_parquet(
     of their paths (the path and the row's index in the file), for keeping the first
     of duplicate rows as written. ``chunk=(part, size)`` reads the rows from ``part * size``
     up to the next part in that order, and opens only the files that hold them. Their
-    numbers of rows are taken from the footers when the plan is built.
+    numbers of rows are taken from the footers when the plan is built. ``nested`` looks for files
+    in folders below the paths as well.
     """
     locations = _locations(paths, folder)
     reader = spark.read.option("pathGlobFilter", "*.parquet") if folder else spark.read
+    reader = reader.option("recursiveFileLookup", "true") if nested else reader
     if folder and exclude:
         sample = _sample(spark, locations, folder, "*.parquet", exclude)
         reader = reader.schema(spark.read.parquet(*sample).schema)
