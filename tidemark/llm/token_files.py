@@ -23,8 +23,8 @@ from tidemark.llm.shared import filesystem, ship
 
 #: Fixed value: a document without identifier.
 NO_ID = np.iinfo(np.int64).min
-#: Texts encoded at a time, and tokens read back at a time.
-_TEXTS, _TOKENS = 128, 1 << 20
+#: Tokens read back at a time.
+_TOKENS = 1 << 20
 
 
 def write_token_files(
@@ -45,7 +45,7 @@ def write_token_files(
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, (store, folder) = byte_bpe(tokenizer), filesystem(path)
         part = TaskContext.get().partitionId()
-        name, tail = f"part-{part:06d}-{uuid.uuid4().hex}", np.array([end_id], id_type)
+        name = f"part-{part:06d}-{uuid.uuid4().hex}"
         docs = tokens = 0
         store.create_dir(folder, recursive=True)
         with (
@@ -55,12 +55,11 @@ def write_token_files(
         ):
             for batch in batches:
                 docs_out.write(batch.column(0).fill_null(NO_ID).to_numpy(zero_copy_only=False).astype("<i8").tobytes())
-                for at in range(0, batch.num_rows, _TEXTS):
-                    encoded = encoder.encode(batch.column(1).slice(at, _TEXTS).to_pylist())
-                    ids_out.write(b"".join([x.astype(id_type).tobytes() + tail.tobytes() for x in encoded]))
-                    lengths = np.array([len(x) + 1 for x in encoded], "<i8")
-                    lengths_out.write(lengths.tobytes())
-                    docs, tokens = docs + len(lengths), tokens + int(lengths.sum())
+                for ids, lengths in encoder.encode_column(batch.column(1)):
+                    # An end behind each document.
+                    ids_out.write(np.insert(ids.astype(id_type), np.cumsum(lengths), end_id).tobytes())
+                    lengths_out.write((lengths + 1).astype("<i8").tobytes())
+                    docs, tokens = docs + len(lengths), tokens + len(ids) + len(lengths)
         if docs:
             yield pa.RecordBatch.from_pydict(
                 {"part": [part], "name": [name], "docs": [docs], "tokens": [tokens], "id_bytes": [id_type.itemsize]}
