@@ -86,6 +86,18 @@ def test_sum_of_squares_by_definition():
     assert lengths == given
 
 
+def test_open_windows_are_bounded():
+    """Documents that do not fit together leave a window each; before they hold too many ids they are filled up."""
+    packer, out = SumOfSquares(64, most=2000), []
+    for doc in range(1000):
+        out += packer.place(doc, np.arange(40))
+        assert packer.held == sum(len(p[2]) for level in packer.open for w in level for p in w) <= 2000 + 40
+    out += packer.close()
+    pieces = [(doc, start, ids, total, s, o) for s, o, (doc, start, ids, total) in out]
+    _check_pieces(pieces, 64, 1000 * 40 // 2000 + 1)
+    assert sum(len(p[2]) for p in pieces) == 40_000
+
+
 def _check_pieces(pieces, size, partitions):
     windows = {}
     for doc, start, ids, _, sequence, offset in pieces:

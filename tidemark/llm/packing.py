@@ -4,7 +4,8 @@ Every task takes the documents of its partition as they come. It cuts full windo
 document, and puts the rest into that fill level which minimises the sum, over the levels,
 of the squared numbers of partially filled windows; a level array holds these numbers.
 When its documents end, the emptiest windows are cut up to fill the fullest, so that a
-task leaves one window with padding at most.
+task leaves one window with padding at most. So it does when the open windows hold some
+millions of ids, as windows of documents that do not fit together would grow in number without end.
 """
 
 from __future__ import annotations
@@ -21,7 +22,9 @@ from tidemark.llm.shared import ship
 
 #: Sequences of one task are numbered within a range of this size.
 SEQUENCES_PER_TASK = 1 << 36
-_TEXTS = 128
+#: Ids that a task's open windows hold at most, besides those of the latest document.
+HELD = 1 << 23
+_PIECES = 1000
 
 
 class SumOfSquares:
@@ -30,8 +33,8 @@ class SumOfSquares:
     A piece is a tuple (document, start, ids, tokens of the document).
     """
 
-    def __init__(self, size: int):
-        self.size, self.sequences = size, 0
+    def __init__(self, size: int, most: int = HELD):
+        self.size, self.most, self.sequences, self.held = size, most, 0, 0
         self.level = np.zeros(size + 1, np.int64)
         self.open: list[list[list[tuple]]] = [[] for _ in range(size + 1)]
 
@@ -43,6 +46,10 @@ class SumOfSquares:
         self.sequences += 1
         return out
 
+    def _filled(self) -> list[tuple]:
+        """Room for more documents, if the open windows hold too many ids."""
+        return self.close() if self.held > self.most else []
+
     def place(self, doc, ids: np.ndarray) -> list[tuple]:
         total, at, out = len(ids), 0, []
         while total - at >= self.size:
@@ -63,12 +70,15 @@ class SumOfSquares:
         if best:
             pieces = self.open[best].pop()
             self.level[best] -= 1
-        pieces.append((doc, at, ids[at:], total))
+        # A copy: the rest must not keep all ids of its batch.
+        pieces.append((doc, at, ids[at:].copy(), total))
         if best + rest == self.size:
+            self.held -= best
             return out + self._settled(pieces)
         self.open[best + rest].append(pieces)
         self.level[best + rest] += 1
-        return out
+        self.held += rest
+        return out + self._filled()
 
     def close(self) -> list[tuple]:
         windows = [w for level in reversed(self.open) for w in level]
@@ -86,6 +96,9 @@ class SumOfSquares:
                     windows.pop()
             out += self._settled(pieces)
             first += 1
+        self.open = [[] for _ in range(self.size + 1)]
+        self.level[:] = 0
+        self.held = 0
         return out
 
 
@@ -96,10 +109,10 @@ def pack(
 
     A document is its text's ids and ``end_id``; every id lies in one piece. The pieces of
     a sequence lie gapless from offset 0; a sequence holds at most ``size`` ids, and at most
-    one per partition of ``df`` holds fewer. ``ids`` are little-endian unsigned 32-bit
-    integers. A null or empty text is its end id alone; rows repeated or with equal or null
+    one per partition of ``df``, and one in some millions of ids, holds fewer. ``ids`` are
+    little-endian unsigned 32-bit integers. A null or empty text is its end id alone; rows repeated or with equal or null
     identifiers are documents of their own; further columns play no part; an empty table
-    gives an empty result. A task holds its open windows only.
+    gives an empty result. A task holds its open windows only, with ``HELD`` ids at most.
     """
     ship(df.sparkSession)
     id_field = pa.int64()
@@ -122,17 +135,19 @@ def pack(
             )
 
         for batch in batches:
-            for at in range(0, batch.num_rows, _TEXTS):
-                docs = batch.column(0).slice(at, _TEXTS).to_pylist()
-                texts = batch.column(1).slice(at, _TEXTS).to_pylist()
-                placed: list[tuple] = []
-                for doc, ids in zip(docs, encoder.encode(texts), strict=True):
-                    placed += packer.place(doc, np.concatenate([ids, tail]))
-                if placed:
-                    yield table(placed)
+            docs = iter(batch.column(0).to_pylist())
+            placed: list[tuple] = []
+            for ids, lengths in encoder.encode_column(batch.column(1)):
+                for part in np.split(ids, np.cumsum(lengths)[:-1]):
+                    placed += packer.place(next(docs), np.concatenate([part, tail]))
+                    if len(placed) >= _PIECES:
+                        yield table(placed)
+                        placed = []
+            if placed:
+                yield table(placed)
         if placed := packer.close():
-            for at in range(0, len(placed), 1000):
-                yield table(placed[at : at + 1000])
+            for at in range(0, len(placed), _PIECES):
+                yield table(placed[at : at + _PIECES])
 
     schema = f"`{id_col}` long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
     return df.selectExpr(f"cast(`{id_col}` as long) id", f"`{text_col}` text").mapInArrow(run, schema)
