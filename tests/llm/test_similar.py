@@ -143,7 +143,7 @@ def test_frequent_shingles_are_joined_by_rows(spark):
 def test_bitmaps_fold():
     hashes = shingles(" ".join(f"w{k}" for k in range(300)))
     full = bitmap(hashes)
-    assert 4 * len(hashes) <= 64 * len(full) < 8 * len(hashes) + 64
+    assert 2 * len(hashes) <= 64 * len(full) < 4 * len(hashes) + 64
     small = np.zeros(len(full) * 16, bool)
     small[(hashes & np.uint64(len(full) * 16 - 1)).astype(np.int64)] = True
     assert (signature_tree._folded(full, len(full) // 4) == np.packbits(small).view(np.uint64)).all()

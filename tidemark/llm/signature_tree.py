@@ -9,8 +9,9 @@ traversal starts with the root against itself and drops a pair of nodes if no do
 and the other can have the overlap that their sizes ask for, or if all their documents are
 known to be connected. Pairs of documents that are left are confirmed on their full sets.
 
-To keep confirmations few, a document goes to its most promising partner only in the first two
-rounds; what they connect is known, and a last round takes all pairs that are still open.
+To keep confirmations few, a document of a shingle that most documents share goes to its most promising
+partner only in the first round; what they connect is known, and a second round takes all pairs
+that are still open.
 """
 
 from __future__ import annotations
@@ -27,8 +28,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
-from tidemark.llm.minhash import _mixed, shingles
+from tidemark.llm.minhash import _mixed, forget, shingles
 from tidemark.llm.shared import dealt_anew, keep, packed_texts, ship
+from tidemark.session import BROADCAST_ROWS, has_at_most
 
 #: Documents of a subtree that one task builds.
 BLOCK = 1024
@@ -39,8 +41,8 @@ _SAMPLE, FREQUENT = 16, 1 << 20
 #: Pairs of nodes looked at together; texts of a batch.
 _PAIRS, _TEXTS = 4096, 256
 #: Shingles of prefixes that a task holds before it deals them to buckets, and those of a bucket.
-_POSTINGS = 1 << 20
-_DESCRIBED = """id long, n_shingles long, digest binary, node long, bits binary, often long, bucket long, shingles binary, nodes binary"""
+_POSTINGS, _BUCKET = 1 << 19, 1 << 18
+_DESCRIBED = """id long, n_shingles long, digest binary, node long, bits binary, often long, lead long, bucket long, shingles binary, nodes binary, leads binary"""
 
 
 def prefix(hashes: np.ndarray, frequent: np.ndarray, percent: int) -> np.ndarray:
@@ -53,12 +55,17 @@ def prefix(hashes: np.ndarray, frequent: np.ndarray, percent: int) -> np.ndarray
     return hashes[:length]
 
 
+def _leading(n: int, percent: int) -> int:
+    """So many shingles of a set of ``n`` hold one of a similar set that is as large or larger."""
+    return n - -(-2 * percent * n // (100 + percent)) + 1
+
+
 def bitmap(hashes: np.ndarray) -> np.ndarray:
-    """A bit for each hash, as 64-bit words: a power of two of bits, four for each hash or more.
+    """A bit for each hash, as 64-bit words: a power of two of bits, two for each hash or more.
 
     A shorter bitmap of the same set is the OR of the halves of a longer one.
     """
-    bits = max(64, 1 << (4 * len(hashes) - 1).bit_length())
+    bits = max(64, 1 << (2 * len(hashes) - 1).bit_length())
     taken = np.zeros(bits, bool)
     taken[(hashes & np.uint64(bits - 1)).astype(np.int64)] = True
     return np.packbits(taken).view(np.uint64)
@@ -310,8 +317,12 @@ def _candidates(members: DataFrame, labels: DataFrame | None, documents: DataFra
     return keep(found.select("a", "b").distinct(), "signature-candidates")
 
 
-def _confirmed(pairs: DataFrame, packed: DataFrame, size: int, percent: int) -> DataFrame:
+def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs ``a, b`` whose full sets are similar enough."""
+    ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
+    # Identifiers only, broadcast if measured to be few.
+    ids = F.broadcast(ids) if has_at_most(ids, BROADCAST_ROWS) else ids
+    packed = keep(packed_texts(texts.join(ids, "id", "left_semi")), "signature-texts")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
@@ -327,6 +338,7 @@ def _confirmed(pairs: DataFrame, packed: DataFrame, size: int, percent: int) ->
                     a.append(one)
                     b.append(other)
             yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+        forget()
 
     rows = pairs.join(packed.select(F.col("id").alias("a"), F.col("packed").alias("one")), "a")
     rows = rows.join(packed.select(F.col("id").alias("b"), F.col("packed").alias("other")), "b")
@@ -357,31 +369,35 @@ def _described(df: DataFrame, frequent: np.ndarray, buckets: int, size: int, per
     """Rows of documents, ``id, n_shingles, digest, node, bits``, and besides of the shingles of their prefixes.
 
     ``node`` is a hash of the digest; documents of equal sets have one. A shingle that is not
-    frequent goes to a ``bucket`` by its first bits, with others of the same batch: ``shingles`` and ``nodes``
-    hold 32 bits of each and the nodes, one after the other. Of a frequent one comes the row ``often, node``.
+    frequent goes to a ``bucket`` by its first bits, with others of the same batch: ``shingles``, ``nodes`` and ``leads``
+    hold 32 bits of each, the nodes, and whether the smaller set of a similar pair may begin
+    with it, one after the other. Of a frequent one comes the row ``often, node, lead``.
     """
     shared = df.sparkSession.sparkContext.broadcast(frequent)
     names = [c.split()[0] for c in _DESCRIBED.split(", ")]
 
     def table(**columns: pa.Array) -> pa.RecordBatch:
         n = len(next(iter(columns.values())))
-        types = {"id": pa.int64(), "n_shingles": pa.int64(), "node": pa.int64(), "often": pa.int64(), "bucket": pa.int64()}
+        types = dict.fromkeys(("id", "n_shingles", "node", "often", "lead", "bucket"), pa.int64())
         return pa.RecordBatch.from_pydict({c: columns.get(c, pa.nulls(n, types.get(c, pa.binary()))) for c in names})
 
-    def postings(held: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
+    def postings(held: dict[int, tuple[np.ndarray, int]]) -> Iterator[pa.RecordBatch]:
         """The prefixes of some nodes, each node once."""
         if not held:
             return
-        nodes = np.repeat(np.fromiter(held, np.int64, len(held)), [len(x) for x in held.values()])
-        tokens = np.concatenate(list(held.values()))
+        sizes = np.array([len(x) for x, _ in held.values()])
+        nodes = np.repeat(np.fromiter(held, np.int64, len(held)), sizes)
+        tokens = np.concatenate([x for x, _ in held.values()])
+        places = np.arange(len(tokens)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        leads = places < np.repeat([n for _, n in held.values()], sizes)
         held.clear()
         often = np.zeros(len(tokens), bool)
         if len(shared.value):
             often = shared.value[np.minimum(np.searchsorted(shared.value, tokens), len(shared.value) - 1)] == tokens
-        yield table(often=pa.array(tokens[often].view(np.int64)), node=pa.array(nodes[often]))
-        tokens, nodes = tokens[~often], nodes[~often]
-        order = np.argsort(tokens)
-        tokens, nodes = tokens[order], nodes[order]
+        yield table(often=pa.array(tokens[often].view(np.int64)), node=pa.array(nodes[often]), lead=pa.array(leads[often].astype(np.int64)))
+        order = np.flatnonzero(~often)
+        order = order[np.argsort(tokens[order])]
+        tokens, nodes, leads = tokens[order], nodes[order], leads[order]
         bucket = ((tokens >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
         cuts = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(tokens)] if len(tokens) else [0]
         parts = list(zip(cuts, cuts[1:]))
@@ -389,10 +405,11 @@ def _described(df: DataFrame, frequent: np.ndarray, buckets: int, size: int, per
             bucket=pa.array([int(bucket[i]) for i, _ in parts], pa.int64()),
             shingles=pa.array([tokens[i:j].astype(np.uint32).tobytes() for i, j in parts], pa.binary()),
             nodes=pa.array([nodes[i:j].tobytes() for i, j in parts], pa.binary()),
+            leads=pa.array([leads[i:j].tobytes() for i, j in parts], pa.binary()),
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, np.ndarray] = {}
+        held: dict[int, tuple[np.ndarray, int]] = {}
         n = 0
         for whole in batches:
             for at in range(0, whole.num_rows, _TEXTS):
@@ -409,18 +426,20 @@ def _described(df: DataFrame, frequent: np.ndarray, buckets: int, size: int, per
                 )
                 for node, hashes, doc in zip(nodes, sets, batch.column(0).is_valid().to_pylist()):
                     if node is not None and doc and node not in held:
-                        held[node] = prefix(hashes, shared.value, percent)
-                        n += len(held[node])
+                        held[node] = prefix(hashes, shared.value, percent), _leading(len(hashes), percent)
+                        n += len(held[node][0])
                 if n >= _POSTINGS:
                     yield from postings(held)
                     n = 0
         yield from postings(held)
+        forget()
 
     return keep(df.select("id", "text").mapInArrow(run, _DESCRIBED), "signature-sets")
 
 
 def _rare_lists(described: DataFrame) -> DataFrame:
-    """``n, mark, other, part, nodes``: the nodes that share a shingle, for each shingle of a bucket that two have.
+    """``n, mark, other, part, nodes``: the nodes that share a shingle, for each shingle of a bucket that two
+    have, one of them as a leading one.
 
     Lists of the same nodes have the same marks. A list goes in parts, each with ``BLOCK`` nodes at most.
     """
@@ -428,16 +447,17 @@ def _rare_lists(described: DataFrame) -> DataFrame:
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         tokens = np.concatenate([np.frombuffer(x, np.uint32) for x in frame["shingles"]])
         nodes = np.concatenate([np.frombuffer(x, np.int64) for x in frame["nodes"]])
-        order = np.lexsort((nodes, tokens))
-        tokens, nodes = tokens[order], nodes[order]
+        leads = np.concatenate([np.frombuffer(x, bool) for x in frame["leads"]])
+        order = np.lexsort((~leads, nodes, tokens))
+        tokens, nodes, leads = tokens[order], nodes[order], leads[order]
         # A node comes from every batch that has one of its documents.
         first = np.concatenate([[True], (tokens[1:] != tokens[:-1]) | (nodes[1:] != nodes[:-1])])
-        tokens, nodes = tokens[first], nodes[first]
+        tokens, nodes, leads = tokens[first], nodes[first], leads[first]
         begins = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
         n = np.diff(np.append(begins, len(tokens)))
         mixed = _mixed(nodes.view(np.uint64))
         mark, other = np.add.reduceat(mixed, begins), np.add.reduceat(_mixed(mixed), begins)
-        several = np.flatnonzero(n > 1)
+        several = np.flatnonzero((n > 1) & np.logical_or.reduceat(leads, begins))
         _, once = np.unique(np.stack([mark[several], other[several]]), axis=1, return_index=True)
         rows = [
             (int(n[k]), int(mark.view(np.int64)[k]), int(other.view(np.int64)[k]), part, nodes[at : min(at + BLOCK, begins[k] + n[k])].tobytes())
@@ -446,7 +466,7 @@ def _rare_lists(described: DataFrame) -> DataFrame:
         ]
         return pd.DataFrame(rows, columns=["n", "mark", "other", "part", "nodes"])
 
-    rows = described.where("bucket is not null").select("bucket", "shingles", "nodes")
+    rows = described.where("bucket is not null").select("bucket", "shingles", "nodes", "leads")
     lists = rows.groupBy("bucket").applyInPandas(run, "n long, mark long, other long, part long, nodes binary")
     return lists.dropDuplicates(["n", "mark", "other", "part"])
 
@@ -467,13 +487,14 @@ def _lists(described: DataFrame, reps: DataFrame) -> DataFrame:
 
     rare = _rare_lists(described).select(F.xxhash64("n", "mark", "other").alias("g"), "n", "nodes")
     rare = rare.mapInArrow(unpacked, "g long, n long, node long")
-    often = described.where("often is not null").select(F.col("often").alias("g"), "node").distinct()
+    often = described.where("often is not null").groupBy(F.col("often").alias("g"), "node").agg(F.max("lead").alias("lead"))
     half = F.lit(0xFFFFFFFF)
     lists = often.groupBy("g").agg(
         F.count(F.lit(1)).alias("n"),
+        F.max("lead").alias("lead"),
         *[F.sum(F.xxhash64("node", F.lit(k)).bitwiseAND(half)).alias(f"mark{k}") for k in range(3)],
     )
-    lists = lists.where("n > 1").groupBy("n", "mark0", "mark1", "mark2").agg(F.min("g").alias("g")).select("g", "n")
+    lists = lists.where("n > 1 and lead = 1").groupBy("n", "mark0", "mark1", "mark2").agg(F.min("g").alias("g")).select("g", "n")
     often = often.join(dealt_anew(lists), "g").select("g", "n", "node")
     return keep(rare.unionByName(often).join(reps.select("node", "id"), "node").select("g", "id", "n"), "signature-lists")
 
@@ -494,8 +515,7 @@ def similar_classes(
     ship(df.sparkSession)
     rows = df.selectExpr(f"cast(`{id_col}` as long) id", f"`{text_col}` text")
     frequent, total = _frequent(rows, size)
-    # As many buckets as to hold about a million shingles of prefixes each.
-    buckets = 1 + total * (100 - percent) // 100 * _SAMPLE // _POSTINGS
+    buckets = 1 + total * (100 - percent) // 100 * _SAMPLE // _BUCKET
     everything = _described(rows, frequent, buckets, size, percent)
     described = everything.where("n_shingles is not null").select("id", "n_shingles", "digest", "node", "bits")
     # Documents of equal sets are one class from the start, under its smallest identifier.
@@ -505,23 +525,23 @@ def similar_classes(
     ids = members.select("id").distinct()
     documents = described.join(ids, "id", "left_semi").dropDuplicates(["id", "node"])
     documents = keep(documents.select("id", F.col("n_shingles").alias("size"), "bits"), "signature-bitmaps")
-    packed = keep(packed_texts(rows.where("id is not null and text is not null")).join(ids, "id", "left_semi"), "signature-texts")
+    texts = rows.where("id is not null and text is not null")
 
     # The first round takes the largest list of every document only.
     largest = members.groupBy("id").agg(F.max(F.struct("n", "g")).alias("most")).select("most.g").distinct()
     members = members.select("g", "id")
     first_lists = members.join(largest, "g", "left_semi")
-    links = _confirmed(_candidates(first_lists, None, documents, percent, True, block), packed, size, percent)
+    links = _confirmed(_candidates(first_lists, None, documents, percent, True, block), texts, size, percent)
     # An identifier with several texts connects their classes.
     texts_of = described.where("digest is not null").groupBy("id").agg(F.min("digest").alias("least"), F.max("digest").alias("most"))
     several = described.join(texts_of.where("least < most").select("id"), "id", "left_semi").select(F.col("id").alias("a"), "digest")
     same = several.join(reps.select("digest", F.col("id").alias("b")), "digest").select("a", "b")
-    links = keep(links.unionByName(same), "signature-links")
-    for best_only in (True, False):
-        labels = keep(components(links), "signature-components")
-        more = _confirmed(_candidates(members, labels, documents, percent, best_only, block), packed, size, percent)
-        links = links.unionByName(more)
-    labels = keep(components(links), "signature-components")
+    labels = keep(components(links.unionByName(same)), "signature-components")
+    more = _confirmed(_candidates(members, labels, documents, percent, False, block), texts, size, percent)
+    if not more.isEmpty():
+        # The stars found so far stand for the links they come from.
+        stars = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        labels = keep(components(stars.unionByName(more)), "signature-components")
 
     labels = labels.select(F.col("node").alias("id"), "component")
     found = reps.join(labels, "id", "left").select("digest", F.coalesce("component", "id").alias("component"))
