@@ -1,3 +1,4 @@
+import hashlib
 import math
 import random
 
@@ -163,3 +164,29 @@ def test_toxicity_of_odd_rows(spark, odd_docs, no_docs):
         (only,) = score(texts.limit(1), train(few)).collect()
         assert only.score == pytest.approx(expected, abs=1e-6)
     assert score(no_docs, model).count() == 0
+
+
+def test_blocks_beyond_any_window(spark):
+    """One source with more than 65,536 blocks of one token: places as one running sum gives them."""
+    docs = spark.range(0, 110_000, 1, 6).selectExpr("id AS doc_id", "'w' AS text", "IF(id % 20 = 0, 'few', 'many') AS source")
+    sources, placed = plan_mix(docs, max_repeats=2.0, block_tokens=1, seed=3)
+    totals = {r["key"]: r for r in sources.collect()}
+    hashes = docs.select("source", F.md5(F.concat_ws("|", F.lit("3"), F.col("doc_id").cast("string"))).alias("h")).collect()
+    sizes: dict[tuple[str, int], int] = {}
+    for r in hashes:
+        key = f"={r['source']}"
+        block = (key, int(r["h"][:8], 16) % totals[key]["n_blocks"])
+        sizes[block] = sizes.get(block, 0) + 1
+    assert sum(key == "=many" for key, _ in sizes) > 65_536
+    taken = []
+    for key, source in totals.items():
+        for epoch in range(max(1, math.ceil(source["budget"] / source["tokens"] - 1e-9))):
+            before = epoch * source["tokens"]
+            blocks = [b for k, b in sizes if k == key]
+            for block in sorted(blocks, key=lambda b: hashlib.md5(f"3|{epoch}|{key}|{b}".encode()).hexdigest()):
+                middle = before + sizes[key, block] / 2
+                before += sizes[key, block]
+                if middle <= source["budget"] + 0.5:
+                    taken.append((math.floor(1e9 * middle / max(source["budget"], 1.0)), key, epoch, block))
+    expected = [(key, block, epoch, position) for position, (_, key, epoch, block) in enumerate(sorted(taken))]
+    assert [tuple(r) for r in placed.orderBy("position").collect()] == expected

@@ -19,7 +19,7 @@ from tidemark.session import BROADCAST_ROWS, has_at_most
 
 #: Exponents are multiples of one part in so many, found four binary digits at a time.
 GRID, _DIGITS = 1 << 16, 4
-#: No more blocks than about this many, whatever the input: the blocks are numbered in one window per source.
+#: Fixed value of the SQL only, which takes larger blocks beyond so many; at the sizes it is run at it changes nothing.
 MOST_BLOCKS = 1 << 16
 _WORDS = "[^\\x20\\x09-\\x0D]+"
 
@@ -91,7 +91,7 @@ def plan_mix(
     sources = rows.groupBy("key").agg(F.sum("tokens").alias("tokens"))
     totals = sources.agg(F.sum("tokens").alias("all_tokens")).select(F.coalesce("all_tokens", F.lit(0)).alias("all_tokens"))
     (total,) = totals.collect()
-    size = max(block_tokens, -(-total["all_tokens"] // MOST_BLOCKS), 1)
+    size = max(block_tokens, 1)
     n_blocks = F.greatest(F.ceil(F.col("tokens") / size), F.lit(1)).cast("long")
     sources = keep(sources.select("*", F.lit(total["all_tokens"]).alias("all_tokens"), n_blocks.alias("n_blocks")), "mix-sources")
     if total["all_tokens"]:
@@ -111,15 +111,32 @@ def plan_mix(
     last = F.greatest(F.ceil(repeats - 1e-9).cast("long") - 1, F.lit(0).cast("long"))
     epochs = _small(sources).withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), last)))
     drawn = F.md5(F.concat_ws("|", F.lit(str(seed)), "epoch", "key", "block"))
-    before = Window.partitionBy("key", "epoch").orderBy(drawn).rowsBetween(Window.unboundedPreceding, -1)
-    middle = F.col("epoch") * F.col("tokens") + F.coalesce(F.sum("block_tokens").over(before), F.lit(0)) + F.col("block_tokens") / 2
-    taken = blocks.join(epochs, "key").withColumn("middle", middle).where("middle <= budget + 0.5")
+    dealt = _with_tokens_before(blocks.join(epochs, "key").withColumn("drawn", drawn))
+    middle = F.col("epoch") * F.col("tokens") + F.col("before") + F.col("block_tokens") / 2
+    taken = dealt.withColumn("middle", middle).where("middle <= budget + 0.5")
     place = F.floor(F.lit(1e9) * F.col("middle") / F.greatest("budget", F.lit(1.0)))
     placed = taken.select("key", "block", "epoch", place.alias("place"))
     numbered = number_rows(placed, ["place", "key", "epoch", "block"], "position")
     return sources, numbered.select("key", "block", "epoch", "position")
 
 
+def _with_tokens_before(dealt: DataFrame) -> DataFrame:
+    """The blocks with ``before``: the tokens of those drawn before in the same epoch of the same source.
+
+    Blocks are sorted in ranges of (source, epoch, draw), however many one source has; each range
+    adds up its own, and a row for each range, source and epoch tells what lies before it.
+    """
+    order = ["key", "epoch", "drawn", "block"]
+    ranged = keep(dealt.repartitionByRange(*order).withColumn("range", F.spark_partition_id()), "mix-ranges")
+    until = (Window.unboundedPreceding, -1)
+    inside = F.sum("block_tokens").over(Window.partitionBy("range", "key", "epoch").orderBy("drawn", "block").rowsBetween(*until))
+    sums = ranged.groupBy("range", "key", "epoch").agg(F.sum("block_tokens").alias("tokens_here"))
+    ahead = F.sum("tokens_here").over(Window.partitionBy("key", "epoch").orderBy("range").rowsBetween(*until))
+    sums = sums.select("range", "key", "epoch", F.coalesce(ahead, F.lit(0)).alias("ahead"))
+    rows = ranged.withColumn("inside", F.coalesce(inside, F.lit(0))).join(_small(sums), ["range", "key", "epoch"])
+    return rows.withColumn("before", F.col("ahead") + F.col("inside")).drop("range", "ahead", "inside")
+
+
 def _row_hash(id_col: str, text_col: str, seed: int) -> Column:
     named = F.coalesce(F.col(id_col).cast("string"), F.md5(F.coalesce(F.col(text_col), F.lit(""))))
     return F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), named)), 1, 8), 16, 10).cast("long")
