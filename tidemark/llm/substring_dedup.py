@@ -177,11 +177,19 @@ def _among(key: np.ndarray, hot: np.ndarray) -> np.ndarray:
     return hot[np.minimum(np.searchsorted(hot, key), len(hot) - 1)] == key
 
 
-def _selected(
-    rows: DataFrame, ranges: int, key_bits: int, length: int, gram: int, hot: np.ndarray, only_hot: bool = False
-) -> DataFrame:
-    """``range, blob`` of all but open places of hot grams, or with ``only_hot`` the rows of just
-    these: ``key, digest, id, at``. Settled places are in ranges beyond the last, spread by task."""
+def _selected(rows: DataFrame, ranges: int, key_bits: int, length: int, gram: int, hot: np.ndarray) -> DataFrame:
+    """Rows ``range, blob`` of all but open places of hot grams, and rows ``key, digest, id, at`` of these.
+
+    Settled places are in ranges beyond the last, spread by task. Texts are gone through once.
+    """
+    kinds = {"range": pa.int32(), "blob": pa.binary(), "key": pa.int64(), "digest": pa.int64(), "id": pa.int64(), "at": pa.int32()}
+
+    def table(**columns: pa.Array) -> pa.RecordBatch:
+        n = len(next(iter(columns.values())))
+        return pa.RecordBatch.from_pydict({c: columns.get(c, pa.nulls(n, kind)) for c, kind in kinds.items()})
+
+    def packed(number: int, blob: bytes) -> pa.RecordBatch:
+        return table(range=pa.array([number], pa.int32()), blob=pa.array([blob], pa.binary()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[tuple[int, tuple[np.ndarray, ...]]] = []
@@ -197,21 +205,17 @@ def _selected(
             order, _, settled = _settle(key, digest, docs[doc])
             key, digest, doc, at = key[order], digest[order], doc[order], at[order]
             apart = _among(key, hot)
-            if only_hot:
-                part = apart & ~settled
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "key": pa.array(key[part].view(np.int64), pa.int64()),
-                        "digest": pa.array(digest[part].view(np.int64), pa.int64()),
-                        "id": pa.array(docs[doc[part]], pa.int64()),
-                        "at": pa.array(at[part], pa.int32()),
-                    }
+            part = apart & ~settled
+            if part.any():
+                yield table(
+                    key=pa.array(key[part].view(np.int64)),
+                    digest=pa.array(digest[part].view(np.int64)),
+                    id=pa.array(docs[doc[part]]),
+                    at=pa.array(at[part], pa.int32()),
                 )
-                return
             if settled.any():
                 blob = _pack(docs, key[settled], digest[settled], doc[settled], at[settled], settled[settled])
-                beyond = ranges + int(_mixed(np.array([task << 32 | flushed], np.uint64))[0] % np.uint64(ranges))
-                yield pa.RecordBatch.from_pydict({"range": pa.array([beyond], pa.int32()), "blob": pa.array([blob], pa.binary())})
+                yield packed(ranges + int(_mixed(np.array([task << 32 | flushed], np.uint64))[0] % np.uint64(ranges)), blob)
             in_range = ~settled & ~apart
             key, digest, doc, at = key[in_range], digest[in_range], doc[in_range], at[in_range]
             settled = np.zeros(len(key), bool)
@@ -221,8 +225,7 @@ def _selected(
             for k in range(ranges):
                 part = slice(cuts[k], cuts[k + 1])
                 if cuts[k] < cuts[k + 1]:
-                    blob = _pack(docs, key[part], digest[part], doc[part], at[part], settled[part])
-                    yield pa.RecordBatch.from_pydict({"range": pa.array([k], pa.int32()), "blob": pa.array([blob], pa.binary())})
+                    yield packed(k, _pack(docs, key[part], digest[part], doc[part], at[part], settled[part]))
 
         for batch in batches:
             for one, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -237,12 +240,12 @@ def _selected(
         if waiting:
             yield from flush()
 
-    return rows.mapInArrow(run, "key long, digest long, id long, at int" if only_hot else "range int, blob binary")
+    found = rows.mapInArrow(run, "range int, blob binary, key long, digest long, id long, at int")
+    return keep(found, "repeats-selected")
 
 
 def _settled_hot(table: DataFrame) -> DataFrame:
     """As ``_settled``, of the rows of hot grams; all of their first places are left open."""
-    table = keep(table, "repeats-hot")
     # The minima are taken before rows are shuffled; the join can be split where a context is common.
     least = table.groupBy("key", "digest").agg(F.min("id").alias("least"))
     found = table.join(dealt_anew(least), ["key", "digest"])
@@ -293,9 +296,9 @@ def _contexts(rows: DataFrame, places: DataFrame, length: int, gram: int) -> Dat
     return joined.mapInArrow(run, "key long, id long, begin int, context binary")
 
 
-def repeats(contexts: list[bytes], docs: np.ndarray, length: int = LENGTH) -> list[list[tuple[int, int]]]:
-    """For each context, the stretches covered by strings of ``length`` bytes that a context of
-    an earlier document holds too; by the suffix array of them all."""
+def repeats(contexts: list[bytes], docs: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The stretches covered by strings of ``length`` bytes that a context of an earlier document
+    holds too, as context, begin and end; by the suffix array of them all."""
     lengths = np.array([len(c) for c in contexts], np.int64)
     joined = np.frombuffer(b"\0".join(contexts) + b"\0", np.uint8).astype(np.uint16) + 2
     begins = np.cumsum(lengths + 1) - lengths - 1
@@ -315,14 +318,12 @@ def repeats(contexts: list[bytes], docs: np.ndarray, length: int = LENGTH) -> li
     least = np.minimum.reduceat(doc, np.flatnonzero(new)) if len(doc) else doc
     later = np.zeros(len(owner), bool)
     later[ordered[doc > least[np.cumsum(new) - 1]]] = True if len(doc) else False
-    found: list[list[tuple[int, int]]] = [[] for _ in contexts]
-    for at in np.flatnonzero(later).tolist():
-        spans, begin = found[owner[at]], int(offset[at])
-        if spans and spans[-1][1] >= begin:
-            spans[-1] = (spans[-1][0], begin + length)
-        else:
-            spans.append((begin, begin + length))
-    return found
+    # Strings that begin within a string before them, in the same context, prolong its stretch.
+    at = np.flatnonzero(later)
+    context, begin = owner[at], offset[at]
+    new = np.append(True, (context[1:] != context[:-1]) | (begin[1:] > begin[:-1] + length))[: len(at)]
+    last = np.append(new[1:], True)[: len(at)]
+    return context[new], begin[new], begin[last] + length
 
 
 def _crowded(contexts: DataFrame, length: int) -> DataFrame:
@@ -357,13 +358,9 @@ def _spans(contexts: DataFrame, length: int) -> DataFrame:
     shards = max(1, -(-contexts.count() // _SHARD))
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        found = repeats([bytes(c) for c in frame["context"]], frame["id"].to_numpy(np.int64), length)
-        rows = [
-            (one, begin + a, begin + b)
-            for one, begin, spans in zip(frame["id"].tolist(), frame["begin"].tolist(), found, strict=True)
-            for a, b in spans
-        ]
-        return pd.DataFrame(rows, columns=["id", "begin", "end"])
+        ids, begins = frame["id"].to_numpy(np.int64), frame["begin"].to_numpy(np.int64)
+        context, begin, end = repeats([bytes(c) for c in frame["context"]], ids, length)
+        return pd.DataFrame({"id": ids[context], "begin": begins[context] + begin, "end": begins[context] + end})
 
     dealt = contexts.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards)))
     spans = dealt.groupBy("shard").applyInPandas(run, "id long, begin int, end int")
@@ -394,9 +391,10 @@ def drop_repeats(
     ranges = -(-grams // _RANGE)
     hot = _hot(named, grams, key_bits, length, gram)
     selected = _selected(named, ranges, key_bits, length, gram, hot)
-    places = selected.groupBy("range").applyInPandas(_settled, "id long, at int, key long")
+    in_ranges = selected.where("range is not null").select("range", "blob")
+    places = in_ranges.groupBy("range").applyInPandas(_settled, "id long, at int, key long")
     if len(hot):
-        places = places.unionByName(_settled_hot(_selected(named, ranges, key_bits, length, gram, hot, only_hot=True)))
+        places = places.unionByName(_settled_hot(selected.where("key is not null").select("key", "digest", "id", "at")))
     places = keep(places, "repeats-places")
     contexts = keep(_contexts(named, places.where("key is not null"), length, gram), "repeats-contexts")
     spans = keep(_spans(contexts, length), "repeats-spans")

@@ -20,7 +20,7 @@ def types(text: np.ndarray) -> np.ndarray:
     smaller = np.zeros(n, bool)
     smaller[-1] = True
     # Equal neighbours take the type of the end of their run.
-    run_end = differs[np.searchsorted(differs, np.arange(n - 1))] if n > 1 else differs
+    run_end = np.repeat(differs, np.diff(differs, prepend=-1))
     smaller[:-1] = text[run_end] < text[run_end + 1] if n > 1 else smaller[:-1]
     return smaller
 
@@ -95,19 +95,33 @@ def _named(text: np.ndarray, leftmost: np.ndarray, order: np.ndarray) -> np.ndar
 
 
 def _sorted_by_names(names: np.ndarray) -> np.ndarray:
-    """The suffixes of the reduced string in order, by doubling of the names compared."""
+    """The suffixes of the reduced string in order, by doubling of the names compared.
+
+    A suffix's rank is the place of the first one not yet told apart from it; only those that
+    share a rank are sorted again.
+    """
     n, step = len(names), 1
-    order = np.argsort(names, kind="stable")
-    while names[order[-1]] < n - 1:
-        following = np.zeros(n, np.int64)
-        following[: n - step] = names[step:] + 1
-        key = names * (n + 1) + following
-        order = np.argsort(key, kind="stable")
-        ranked = key[order]
-        names = np.empty(n, np.int64)
-        names[order] = np.concatenate([[0], np.cumsum(ranked[1:] != ranked[:-1])])
-        step *= 2
-    return order
+    sizes = np.bincount(names)
+    rank = (np.cumsum(sizes) - sizes)[names]
+    tied = np.flatnonzero(sizes[names] > 1)
+    while len(tied):
+        following = np.full(len(tied), -1, np.int64)
+        inside = tied + step < n
+        following[inside] = rank[tied[inside] + step]
+        key = rank[tied] * (n + 1) + following + 1
+        order = np.argsort(key)
+        tied, key, old = tied[order], key[order], rank[tied[order]]
+        # Where each old group, and each new one, begins among the tied.
+        places = np.arange(len(tied))
+        new = np.append(True, key[1:] != key[:-1])
+        group = np.maximum.accumulate(np.where(np.append(True, old[1:] != old[:-1]), places, 0))
+        begin = np.maximum.accumulate(np.where(new, places, 0))
+        rank[tied] = old + begin - group
+        alone = new & np.append(new[1:], True)
+        tied, step = tied[~alone], step * 2
+    found = np.empty(n, np.int64)
+    found[rank] = np.arange(n)
+    return found
 
 
 def suffix_array(text: np.ndarray) -> np.ndarray:
