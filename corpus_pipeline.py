@@ -3,6 +3,12 @@
 Toxic documents go, of equal texts one stays, of near duplicates one stays, sources are
 mixed to target weights, and what is left is packed. Each stage's rows are written as Parquet
 and read again as the next one's input.
+
+A null text counts as empty in every stage, and is kept by those that filter but where it is
+a copy of an empty one; texts of any length are taken whole. Of equal texts with equal
+identifiers one row stays; a row without identifier is never a near duplicate. Null sources
+are a source of their own. Further columns go along, whatever their names. An empty table gives
+an empty one.
 """
 
 from __future__ import annotations
@@ -37,7 +43,10 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document at least once and no source more than twice, in the order of reading."""
-    return in_reading_order(mix(docs, prefix="mix_", **MIX), docs.columns, prefix="mix_")
+    prefix = "mix_"
+    while any(c.startswith(prefix) for c in docs.columns):
+        prefix = f"_{prefix}"
+    return in_reading_order(mix(docs, prefix=prefix, **MIX), docs.columns, prefix=prefix)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
