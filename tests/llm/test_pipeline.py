@@ -13,7 +13,7 @@ def test_registered():
     import __spark_entry__
 
     names = set(__spark_entry__.queries())
-    assert {f"op{n}" for n in range(1, 11)} == {n.split("_")[0] for n in QUERIES} and "pipeline" in names
+    assert {f"op{n}" for n in range(1, 14)} == {n.split("_")[0] for n in QUERIES} and "pipeline" in names
     assert set(QUERIES) <= names
 
 
@@ -64,3 +64,29 @@ def test_stages(spark, sf, tmp_path):
         part = np.array(ids[r.doc_id][r.start : r.start + r.length], "<u4")
         assert len(part) == r.length and zlib.crc32(part.tobytes()) == r.ids_crc32
     assert len(corpus_pipeline.STAGES) == 5 and "pyspark" in sys.modules
+
+
+def test_stages_on_odd_tables(spark, sf, odd_docs, no_docs):
+    """Nulls, empty and long texts, repeated rows, an empty table, and columns named as those that stages add."""
+    names = ("mix_epoch", "mix_block", "mix_position", "row", "id", "text_sha256", "dropped_id", "hash", "__row")
+    odd = odd_docs.select("doc_id", "text", "source", *[F.lit(n).alias(n) for n in names])
+    stages = dict(corpus_pipeline.STAGES)
+    for docs in (odd, odd.limit(0)):
+        for name in ("toxicity", "exact dedup", "near dedup", "mixing"):
+            found = stages[name](spark, docs, sf)
+            assert found.columns == odd.columns, name
+            kept = found.collect()
+            # Every row that is left is one of the table, with its other columns as they were.
+            given = {(r.doc_id, r.text, r.source) for r in docs.collect()}
+            assert {(r.doc_id, r.text, r.source) for r in kept} <= given, name
+            assert all(r[n] == n for r in kept for n in names), name
+        lengths = {}
+        for r in stages["packing"](spark, docs, sf).collect():
+            lengths[r.doc_id] = lengths.get(r.doc_id, 0) + r.length
+        assert set(lengths) == {r.doc_id for r in docs.collect()}
+    exact = {(r.doc_id, r.text) for r in stages["exact dedup"](spark, odd, sf).collect()}
+    assert {d for d, _ in exact if d in (3, 5, 7, 8, 9, 11)} == {3, 7, 8}
+    near = [r.doc_id for r in stages["near dedup"](spark, odd, sf).collect()]
+    assert 20 in near and 21 not in near and 22 not in near and {7, 8, 9} <= set(near)
+    mixed = [r.doc_id for r in stages["mixing"](spark, odd, sf).collect()]
+    assert set(mixed) == {r.doc_id for r in odd.collect()}
