@@ -300,3 +300,48 @@ def test_hot_grams_stay_out_of_ranges(spark, monkeypatch):
     assert n.max() < 40 and not set(keys.tolist()) & set(hot.tolist())
     assert all(not len(substring_dedup._unpack(b.blob)[4]) for b in blobs if b.range < 4)
     assert sum(len(substring_dedup._unpack(b.blob)[4]) for b in blobs if b.range >= 4) > 200
+
+
+@pytest.mark.parametrize("least_run", [0, 48])
+def test_chunk_runs_by_brute_force(spark, rows, least_run):
+    """What the registered query drops: runs of adjacent repeated chunks, found with plain loops."""
+    rng = random.Random(21)
+    words = ["".join(rng.choices("abcdefgh é", k=rng.randint(2, 9))) for _ in range(80)]
+    passages = [" ".join(rng.choices(words, k=40)) for _ in range(5)]
+    docs = []
+    for k in range(60):
+        parts = [" ".join(rng.choices(words, k=rng.randint(1, 30))) for _ in range(3)]
+        parts.insert(rng.randint(0, 3), rng.choice(passages))
+        docs.append((k * 7 % 60, " ".join(parts) if k % 9 else rng.choice(passages)))
+    cuts, first = Cuts(), {}
+    table = {}
+    for doc, text in sorted(docs):
+        data, begin, own = text.encode(), 0, []
+        for end in cut_points(data, cuts):
+            own.append((begin, end, data[begin:end]))
+            begin = end
+        table[doc] = own
+    for doc in sorted(table):
+        for begin, _, chunk in table[doc]:
+            first.setdefault(chunk, (doc, begin))
+    expected = []
+    for doc, own in table.items():
+        kept, k, dropped = [], 0, 0
+        while k < len(own):
+            after = k
+            while after < len(own) and first[own[after][2]] != (doc, own[after][0]):
+                after += 1
+            if after > k and (own[after - 1][1] - own[k][0] >= least_run or after - k == len(own)):
+                dropped += after - k
+                k = after
+                continue
+            after = max(after, k + 1)
+            kept += [c for _, _, c in own[k:after]]
+            k = after
+        left = b"".join(kept)
+        size = own[-1][1] if own else 0
+        expected.append((doc, len(own), dropped, size, size - len(left), left.decode()))
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    found = rows(drop_chunks(df, least_run=least_run), "doc_id", "n_chunks", "n_dropped", "n_bytes", "n_removed", "text")
+    assert found == sorted(expected, key=repr)
+    assert any(r[4] for r in found)

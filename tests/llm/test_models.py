@@ -190,3 +190,78 @@ def test_blocks_beyond_any_window(spark):
                     taken.append((math.floor(1e9 * middle / max(source["budget"], 1.0)), key, epoch, block))
     expected = [(key, block, epoch, position) for position, (_, key, epoch, block) in enumerate(sorted(taken))]
     assert [tuple(r) for r in placed.orderBy("position").collect()] == expected
+
+
+def _plain_grams(text, buckets):
+    """Features by definition, in plain integers."""
+    chars = [ord(c) for c in f" {(text or '').lower()} "]
+    found = set()
+    for n in (3, 4, 5):
+        for at in range(len(chars) - n + 1):
+            value = 0x811C9DC5
+            for c in chars[at : at + n]:
+                value = (value * 0x01000193) % 2**32 ^ ((c + 1) * 2_654_435_761) % 2**32
+            found.add((((value ^ value >> 15) * 2_654_435_761) % 2**32) >> (33 - buckets.bit_length()))
+    return sorted(found)
+
+
+def test_scores_by_brute_force(spark):
+    """The registered classifier's score, from counts to the last step, without arrays."""
+    buckets, steps, penalty = 1 << 18, 80, 6e-3
+    rng = random.Random(12)
+    words = ["fine", "day", "you", "fool", "idiot", "weather", "nice", "stupid", "café", "moon"]
+    data = []
+    for key in range(24):
+        toxic = key % 3 == 0
+        chosen = rng.choices(words[3:5] + words[7:8] + words[:3], k=5) if toxic else rng.choices(words[:3] + words[5:7] + words[8:], k=5)
+        data.append((" ".join(chosen), int(toxic), str(key)))
+    model = train(spark.createDataFrame(data, "text string, label int, key string").repartition(3))
+    grams = [_plain_grams(text, buckets) for text, _, _ in data]
+    labels = [label for _, label, _ in data]
+    for text, own in zip((t for t, _, _ in data), grams):
+        assert features(text).tolist() == own
+    totals = [labels.count(0), labels.count(1)]
+    held = [{}, {}]
+    for own, label in zip(grams, labels):
+        for g in own:
+            held[label][g] = held[label].get(g, 0) + 1
+    ratio = {}
+    for g in held[0].keys() | held[1].keys():
+        other, toxic = ((held[k].get(g, 0) + 1) / (totals[k] + 2) for k in (0, 1))
+        ratio[g] = math.log(toxic / (1 - toxic)) - math.log(other / (1 - other))
+    weight, past, constant, past_constant = dict.fromkeys(ratio, 0.0), dict.fromkeys(ratio, 1e-12), 0.0, 1e-12
+    for _ in range(steps):
+        slope, whole = dict.fromkeys(ratio, 0.0), 0.0
+        for own, label in zip(grams, labels):
+            z = sum(weight[g] * ratio[g] for g in own) + constant
+            error = 0.5 / totals[label] * (1 / (1 + math.exp(-z)) - label)
+            whole += error
+            for g in own:
+                slope[g] += error * ratio[g]
+        past_constant += whole**2
+        for g in ratio:
+            past[g] += slope[g] ** 2
+            step = 0.1 / math.sqrt(past[g])
+            moved = weight[g] - step * slope[g]
+            weight[g] = math.copysign(max(abs(moved) - step * penalty, 0.0), moved)
+        constant -= 0.1 * whole / math.sqrt(past_constant)
+    tried = [t for t, _, _ in data] + ["", None, "you stupid moon", "unseen words"]
+    expected = []
+    for text in tried:
+        z = sum(weight.get(g, 0.0) * ratio.get(g, 0.0) for g in _plain_grams(text, buckets)) + constant
+        expected.append(1 / (1 + math.exp(-z)))
+    found = score(spark.createDataFrame(list(enumerate(tried)), "doc_id long, text string"), model).orderBy("doc_id").collect()
+    assert [r.score for r in found] == pytest.approx(expected, abs=1e-9)
+
+
+def test_fit_is_bounded_by_features(spark):
+    """Rows with long texts are left out of the regression, not of the counts; ties of keys have one order."""
+    rng = random.Random(3)
+    long = " ".join("".join(rng.choices("abcdefghij", k=8)) for _ in range(4000))
+    rows = [(f"you fool {k}", 1, "same") for k in range(20)] + [(f"fine day {k}", 0, "same") for k in range(20)]
+    rows += [(long, 1, "same"), (long + " x", 0, "same")]
+    df = spark.createDataFrame(rows, "text string, label int, key string")
+    models = [train(df.repartition(n), fit_features=8000, fit_rows=12) for n in (1, 5)]
+    assert np.array_equal(models[0].weights, models[1].weights) and models[0].constant == models[1].constant
+    assert np.count_nonzero(models[0].weights) <= 8000
+    assert np.count_nonzero(train(df, fit_features=10**6).weights) >= np.count_nonzero(models[0].weights)

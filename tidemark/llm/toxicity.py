@@ -119,6 +119,7 @@ def train(
     label_col: str = "label",
     key_col: str = "key",
     fit_rows: int = 4_000,
+    fit_features: int = 12_000_000,
     lengths: tuple[int, ...] = LENGTHS,
     buckets: int = BUCKETS,
     steps: int = 80,
@@ -129,7 +130,9 @@ def train(
     Rows whose label is neither 0 nor 1, or null, teach nothing; a null text counts as
     empty. The log-count ratios use every row. The regression uses the ``fit_rows / 2`` rows
     of either label whose ``key_col`` comes first in a hashed order: all of them if there
-    are fewer. Without rows of both labels every weight is zero, and the score is near 1 if
+    are fewer. Of these, rows are left out that would bring the features of a label's rows
+    beyond ``fit_features / 2``, but for its first one; ties in the order are taken as their texts come.
+    Without rows of both labels every weight is zero, and the score is near 1 if
     all rows are toxic, else near 0.
     """
     ship(labelled.sparkSession)
@@ -149,13 +152,17 @@ def train(
         part = min(1.0, 2 * (fit_rows / 2 + 100) / totals[label])
         most = f"{min(int(part * 16**8), 16**8 - 1):08x}"
         chosen = rows.where((F.col("label") == label) & (F.substring("order", 1, 8) <= most))
-        return chosen.orderBy("order").limit(fit_rows // 2)
+        return chosen.orderBy("order", "text").limit(fit_rows // 2)
 
     def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        found, labels = [], []
+        found, labels, taken = [], [], [0, 0]
         for frame in batches:
-            found += [features(t, lengths, buckets).astype(np.int32) for t in frame["text"]]
-            labels += frame["label"].tolist()
+            for text, label in zip(frame["text"], frame["label"].tolist(), strict=True):
+                row = features(text, lengths, buckets).astype(np.int32)
+                if not taken[label] or taken[label] + len(row) <= fit_features // 2:
+                    taken[label] += len(row)
+                    found.append(row)
+                    labels.append(label)
         if found:
             weights, constant = _logistic(found, np.array(labels, np.float64), ratio, steps, penalty)
             yield pd.DataFrame({"weights": [weights.tobytes()], "constant": [constant]})
