@@ -28,14 +28,14 @@ from tidemark.operators import (
 
 
 def test_where_keeps_true_rows(spark, rows):
-    df = spark.createDataFrame([(20, "Colombia"), (35, "Peru"), (None, "Chile")], "edad long, pais string")
-    assert rows(where(df, "edad > 25")) == [(35, "Peru")]
-    assert rows(where(df, (F.col("edad") > 30) & (F.col("pais") == "Peru"))) == [(35, "Peru")]
+    df = spark.createDataFrame([(7, "oak"), (90, "elm"), (None, "ash"), (91, "fir")], "height long, tree string")
+    assert rows(where(df, "height > 10")) == [(90, "elm"), (91, "fir")]
+    assert rows(where(df, (F.col("height") > 50) & (F.col("tree") == "fir"))) == [(91, "fir")]
 
 
-@pytest.mark.parametrize("condition", ["", "  ", "edad + 1", "no_such > 1"])
+@pytest.mark.parametrize("condition", ["", "  ", "height + 1", "no_such > 1"])
 def test_where_refuses_bad_conditions(spark, condition):
-    df = spark.createDataFrame([(1,)], "edad long")
+    df = spark.createDataFrame([(1,)], "height long")
     with pytest.raises(Exception):
         where(df, condition)
 
@@ -46,9 +46,9 @@ def test_where_refuses_other_types(spark):
 
 
 def test_drop_duplicates(spark, rows):
-    df = spark.createDataFrame([(1, 3), (1, 3), (2, 4)], "a long, b long")
-    assert rows(drop_duplicates(df, ["a"])) == [(1, 3), (2, 4)]
-    assert rows(drop_duplicates(spark.createDataFrame([(1, 2), (1, 2)], "a long, b long"))) == [(1, 2)]
+    df = spark.createDataFrame([("p", 70), ("q", 80), ("p", 70), ("p", 70)], "code string, size long")
+    assert rows(drop_duplicates(df, ["code"])) == [("p", 70), ("q", 80)]
+    assert rows(drop_duplicates(spark.createDataFrame([(5, None), (5, None)], "m long, n long"))) == [(5, None)]
 
 
 def test_drop_duplicates_keeps_the_first_in_order(spark, rows):

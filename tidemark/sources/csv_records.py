@@ -41,8 +41,6 @@ class Layout:
     splits: dict[str, dict[int, tuple[int, int]]] = field(default_factory=dict)
     #: Files some split of which begins inside a cell.
     cut: list[str] = field(default_factory=list)
-    #: Whether any record spans lines.
-    several_lines: bool = False
     records: int = 0
 
 
@@ -65,29 +63,37 @@ def _marks(lines: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return odd.astype(np.int64), blank.astype(bool)
 
 
+def may_span_lines(lines: DataFrame) -> bool:
+    """Whether a line has an odd number of quotes, or a carriage return that does not end it; one scan.
+
+    If none has, every line is a record, for Spark's own reader too.
+    """
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    found = lines.agg(F.bool_or((quotes % 2 == 1) | F.col("value").rlike("\r.")).alias("found")).first()
+    return bool(found["found"])
+
+
 def _index(lines: DataFrame) -> DataFrame:
-    """``file, block, parity, outside, inside, several``: a row for each split that holds a line."""
+    """``file, block, parity, outside, inside``: a row for each split that holds a line."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[list] = []
         for batch in batches:
             for file, block, values in _stretches(batch):
                 if not rows or rows[-1][:2] != [file, block]:
-                    rows.append([file, block, 0, 0, 0, False])
+                    rows.append([file, block, 0, 0, 0])
                 row = rows[-1]
                 odd, blank = _marks(values)
                 before = (row[2] + np.cumsum(odd) - odd) % 2
                 row[2] = int(row[2] + odd.sum()) % 2
                 row[3] += int(((before == 0) & ~blank).sum())
                 row[4] += int(((before == 1) & ~blank).sum())
-                # A carriage return that does not end its line breaks lines for Spark's own reader.
-                row[5] |= bool(odd.any()) or pc.any(pc.match_substring_regex(values, "\r.")).as_py() is True
-        names = ("file", "block", "parity", "outside", "inside", "several")
-        types = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_())
+        names = ("file", "block", "parity", "outside", "inside")
+        types = (pa.string(), *[pa.int64()] * 4)
         columns = list(zip(*rows)) if rows else [[]] * len(names)
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], list(names))
 
-    schema = "file string, block long, parity long, outside long, inside long, several boolean"
+    schema = "file string, block long, parity long, outside long, inside long"
     return lines.select("value", "file", "block").mapInArrow(run, schema)
 
 
@@ -105,7 +111,6 @@ def layout(lines: DataFrame, header: bool) -> Layout:
         begun = row["inside" if state else "outside"]
         place += begun - (1 if header and row["block"] == 0 and begun else 0)
         state = (state + row["parity"]) % 2
-        found.several_lines |= row["several"]
     if state:
         raise ValueError(f"{last} ends inside a quoted cell")
     found.records = place

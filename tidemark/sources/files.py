@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..naming import ref, require_columns
-from .csv_records import layout, lines_of, records
+from .csv_records import layout, lines_of, may_span_lines, records
 
 # No CSV cell holds this text: an unquoted empty cell is read as null while a
 # quoted one stays the empty text.
@@ -100,9 +100,9 @@ def read_csv(
     An empty cell is null, a quoted empty cell is empty text. A cell that does not
     fit its type fails the job unless ``mode`` is ``PERMISSIVE`` or ``DROPMALFORMED``.
 
-    Cells may hold line breaks; many tasks read a file all the same. For that the quotes of
-    all files are counted first, in a scan of its own that is run when this is called (see
-    ``csv_records``). ``multiline=False`` saves that scan; a record that spans lines then fails the
+    Cells may hold line breaks; many tasks read a file all the same. For that all files are
+    looked through for lines that are no whole records when this is called, and if there are
+    any the quotes of every split are counted (see ``csv_records``). ``multiline=False`` saves these scans; a record that spans lines then fails the
     job. So do, either way, quotes that are not doubled inside a cell, and another header.
 
     ``position`` names a column that sorts the rows as the files hold them, in the order
@@ -133,16 +133,16 @@ def read_csv(
             raise ValueError(f"the file has no columns {absent}; it has {names}")
         schema = T.StructType([T.StructField(n, kinds.get(n, T.StringType())) for n in names])
     lines = _without_names(lines_of(reader(), locations), exclude)
-    found = layout(lines, header) if multiline or chunk is not None else None
-    if found is not None and not found.several_lines and chunk is None:
+    if chunk is None and multiline and not may_span_lines(lines):
         # Every line is a record, so Spark's own reader can cut the files.
         # It fails on a file whose header differs, rather than shift its columns.
         df = _without(native.schema(schema).option("enforceSchema", "false").csv(locations), exclude)
         # One block is read by one task, from top to bottom.
         place = [F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id()]
     else:
-        low = (chunk[0] * chunk[1], (chunk[0] + 1) * chunk[1]) if chunk is not None else None
-        rows = records(lines, found, schema.names if header else None, sep, low)
+        found = layout(lines, header) if multiline or chunk is not None else None
+        places = (chunk[0] * chunk[1], (chunk[0] + 1) * chunk[1]) if chunk is not None else None
+        rows = records(lines, found, schema.names if header else None, sep, places)
         df = parsed(rows, schema, sep, mode, [F.col(c).alias(f"__{c}") for c in ("file", "block", "row")])
         place = [F.col(f"__{c}") for c in ("file", "block", "row")]
         df = df.select("*", *[ref(_CELLS)[n].alias(n) for n in schema.names]).drop(_CELLS)
