@@ -9,9 +9,9 @@ traversal starts with the root against itself and drops a pair of nodes if no do
 and the other can have the overlap that their sizes ask for, or if all their documents are
 known to be connected. Pairs of documents that are left are confirmed on their full sets.
 
-To keep confirmations few, a document of a shingle that most documents share goes to its most promising
-partner only in the first round; what they connect is known, and a second round takes all pairs
-that are still open.
+To keep confirmations few, the first round takes each document's largest list only, and its
+most promising partners there; what they connect is known, and a second round takes all pairs that
+are still open.
 """
 
 from __future__ import annotations
@@ -34,8 +34,8 @@ from tidemark.session import BROADCAST_ROWS, has_at_most
 
 #: Documents of a subtree that one task builds.
 BLOCK = 1024
-#: Children of a node.
-_FAN = 8
+#: Children of a node, and partners of a document in the first round.
+_FAN, _FOREMOST = 8, 4
 #: One document in so many is looked at for frequent shingles, of which there are so many at most.
 _SAMPLE, FREQUENT = 16, 1 << 20
 #: Pairs of nodes looked at together; texts of a batch.
@@ -162,24 +162,48 @@ def dual_traversal(one: list[Nodes], other: list[Nodes] | None, percent: int) ->
         stack.append((a, b, i[inside], j[inside]))
 
 
-def _pairs(one: list[Nodes], other: list[Nodes] | None, percent: int, best_only: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All pairs of leaves of the traversal, or for each left one the partner with most to spare."""
-    if not best_only:
-        found = list(dual_traversal(one, other, percent))
-        return tuple(np.concatenate(x) for x in zip(*found)) if found else (np.empty(0, np.int64),) * 3
-    width = len((other or one)[0])
-    best = np.full(len(one[0]), -1, np.int64)
-    for i, j, spare in dual_traversal(one, other, percent):
-        np.maximum.at(best, i, spare * width + j)
-    i = np.flatnonzero(best >= 0)
-    return i, best[i] % width, best[i] // width
+def _foremost(owner: np.ndarray, spare: np.ndarray, most: int) -> np.ndarray:
+    """Which rows are among the ``most`` with most to spare of their owner."""
+    order = np.lexsort((-spare, owner))
+    begins = np.append(True, owner[order][1:] != owner[order][:-1])
+    places = np.arange(len(order)) - np.maximum.accumulate(np.where(begins, np.arange(len(order)), 0))
+    chosen = np.zeros(len(order), bool)
+    chosen[order[places < most]] = True
+    return chosen
+
+
+def _pairs(one: list[Nodes], other: list[Nodes] | None, percent: int, most: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of leaves of the traversal: all, or those that are among the ``most`` with most to spare of
+    either leaf."""
+    held: list[tuple[np.ndarray, ...]] = []
+    size = bound = 0
+
+    def thinned() -> tuple[np.ndarray, ...]:
+        i, j, spare = (np.concatenate(x) for x in zip(*held)) if held else (np.empty(0, np.int64),) * 3
+        if most is None or not len(i):
+            return i, j, spare
+        if other is None:
+            both = _foremost(np.concatenate([i, j]), np.concatenate([spare, spare]), most)
+            kept = both[: len(i)] | both[len(i) :]
+        else:
+            kept = _foremost(i, spare, most) | _foremost(j, spare, most)
+        return i[kept], j[kept], spare[kept]
+
+    for found in dual_traversal(one, other, percent):
+        held.append(found)
+        size += len(found[0])
+        if most is not None and size > bound:
+            held = [thinned()]
+            size = len(held[0][0])
+            bound = 2 * size + 16 * _PAIRS
+    return thinned()
 
 
 _BLOCKS = """g long, block long, a array<long>, b array<long>, spare array<long>, ids binary, sizes binary, components binary,
 bits binary, least long, most long, taken array<long>, component long, any_bits binary"""
 
 
-def _blocks(rows: DataFrame, percent: int, best_only: bool, block: int) -> DataFrame:
+def _blocks(rows: DataFrame, percent: int, most: int | None, block: int) -> DataFrame:
     """Subtrees of sorted rows ``g, id, size, component, bits``, and the open pairs ``a, b, spare`` inside each.
 
     A list's documents lie in the order of their sizes, and no link leads over a gap between sizes
@@ -204,7 +228,7 @@ def _blocks(rows: DataFrame, percent: int, best_only: bool, block: int) -> DataF
             held.clear()
             leaves = Nodes.leaves(bits, size, component)
             tree = leaves.tree()
-            i, j, spare = _pairs(tree, None, percent, best_only)
+            i, j, spare = _pairs(tree, None, percent, most)
             row = [g, number, ids[i], ids[j], spare]
             if first or open_end:
                 taken = []
@@ -244,14 +268,14 @@ def _blocks(rows: DataFrame, percent: int, best_only: bool, block: int) -> DataF
     return keep(rows.mapInArrow(run, _BLOCKS), "signature-blocks")
 
 
-def _across(blocks: DataFrame, percent: int, best_only: bool) -> DataFrame:
+def _across(blocks: DataFrame, percent: int, most: int | None) -> DataFrame:
     """Open pairs ``a, b, spare`` of documents of one list in different blocks.
 
     The blocks' roots are leaves of the highest levels of the list's tree, which one task traverses. With
-    ``best_only`` only neighbouring blocks are taken.
+    ``most`` only neighbouring blocks are taken.
     """
     roots = blocks.where("ids is not null").select("g", "block", "least", "most", "taken", "component", "any_bits")
-    if best_only:
+    if most is not None:
         before = F.lag("block").over(Window.partitionBy("g").orderBy("block"))
         pairs = roots.select("g", before.alias("i"), F.col("block").alias("j")).where("i is not null")
     else:
@@ -269,7 +293,7 @@ def _across(blocks: DataFrame, percent: int, best_only: bool) -> DataFrame:
                 np.array([t[level] for t in frame["taken"]], np.int64),
                 frame["component"].to_numpy(),
             )
-            i, j, _ = _pairs(nodes.tree(), None, percent, best_only=False)
+            i, j, _ = _pairs(nodes.tree(), None, percent, None)
             numbers = frame["block"].to_numpy()
             return pd.DataFrame({"g": frame["g"].iat[0], "i": numbers[i], "j": numbers[j]})
 
@@ -288,14 +312,14 @@ def _across(blocks: DataFrame, percent: int, best_only: bool) -> DataFrame:
                     sides.append((ids, np.frombuffer(row[f"{name}_bits"], np.uint64).reshape(len(ids), -1), size, component))
                 width = min(bits.shape[1] for _, bits, _, _ in sides)
                 one, other = (Nodes.leaves(_folded(bits, width), size, part).tree() for _, bits, size, part in sides)
-                i, j, spare = _pairs(one, other, percent, best_only)
+                i, j, spare = _pairs(one, other, percent, most)
                 yield pa.RecordBatch.from_pydict({"a": pa.array(sides[0][0][i]), "b": pa.array(sides[1][0][j]), "spare": pa.array(spare)})
 
     rows = pairs.join(documents("i", "one"), ["g", "i"]).join(documents("j", "other"), ["g", "j"]).drop("g", "i", "j")
     return rows.mapInArrow(cross, "a long, b long, spare long")
 
 
-def _candidates(members: DataFrame, labels: DataFrame | None, documents: DataFrame, percent: int, best_only: bool, block: int) -> DataFrame:
+def _candidates(members: DataFrame, labels: DataFrame | None, documents: DataFrame, percent: int, most: int | None, block: int) -> DataFrame:
     """Pairs ``a, b`` of documents that share a list, may be linked, and are not known to be connected."""
     component = F.col("id")
     if labels is not None:
@@ -308,12 +332,10 @@ def _candidates(members: DataFrame, labels: DataFrame | None, documents: DataFra
         named = named.join(dealt_anew(still.select("g")), "g")
     rows = named.join(documents, "id").select("g", "id", "size", "component", "bits")
     order = ["g", "size", "component", "id"]
-    blocks = _blocks(rows.repartitionByRange(*order).sortWithinPartitions(*order), percent, best_only, block)
+    blocks = _blocks(rows.repartitionByRange(*order).sortWithinPartitions(*order), percent, most, block)
     pair = F.inline(F.arrays_zip("a", "b", "spare"))
-    found = blocks.where("size(a) > 0").select(pair).unionByName(_across(blocks, percent, best_only))
-    if best_only:
-        # One partner for every document, taken before rows are shuffled.
-        found = found.groupBy("a").agg(F.max(F.struct("spare", "b")).alias("best")).select("a", F.col("best.b").alias("b"))
+    found = blocks.where("size(a) > 0").select(pair).unionByName(_across(blocks, percent, most))
+    found = found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     return keep(found.select("a", "b").distinct(), "signature-candidates")
 
 
@@ -531,13 +553,13 @@ def similar_classes(
     largest = members.groupBy("id").agg(F.max(F.struct("n", "g")).alias("most")).select("most.g").distinct()
     members = members.select("g", "id")
     first_lists = members.join(largest, "g", "left_semi")
-    links = _confirmed(_candidates(first_lists, None, documents, percent, True, block), texts, size, percent)
+    links = _confirmed(_candidates(first_lists, None, documents, percent, _FOREMOST, block), texts, size, percent)
     # An identifier with several texts connects their classes.
     texts_of = described.where("digest is not null").groupBy("id").agg(F.min("digest").alias("least"), F.max("digest").alias("most"))
     several = described.join(texts_of.where("least < most").select("id"), "id", "left_semi").select(F.col("id").alias("a"), "digest")
     same = several.join(reps.select("digest", F.col("id").alias("b")), "digest").select("a", "b")
     labels = keep(components(links.unionByName(same)), "signature-components")
-    more = _confirmed(_candidates(members, labels, documents, percent, False, block), texts, size, percent)
+    more = _confirmed(_candidates(members, labels, documents, percent, None, block), texts, size, percent)
     if not more.isEmpty():
         # The stars found so far stand for the links they come from.
         stars = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
