@@ -31,9 +31,6 @@ from tidemark.session import BROADCAST_ROWS, has_at_most
 BINS, ROWS = 128, 4
 #: Members of two blocks that one task compares at a time.
 _BLOCK = 256
-#: Words whose hashes a task remembers, and bytes of a word that is: some 30 MB.
-_WORDS_KEPT, _LONGEST = 200_000, 64
-_WORD_HASHES: dict[bytes, int] = {}
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -54,17 +51,7 @@ def shingles(text: str | None, size: int = 5) -> np.ndarray:
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
         return np.empty(0, np.uint64)
-    known = _WORD_HASHES
-    if len(known) > _WORDS_KEPT:
-        known.clear()
-    found = list(map(known.get, words))
-    if None in found:
-        for k, word in enumerate(words):
-            if found[k] is None:
-                found[k] = xxhash.xxh64_intdigest(word)
-                if len(word) <= _LONGEST:
-                    known[word] = found[k]
-    hashes = np.array(found, np.uint64)
+    hashes = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
     n = min(size, len(words))
     total = np.full(len(words) - n + 1, n, np.uint64)
     with np.errstate(over="ignore"):
@@ -73,12 +60,6 @@ def shingles(text: str | None, size: int = 5) -> np.ndarray:
     return np.unique(_mixed(total))
 
 
-def forget() -> None:
-    """Let go of the words remembered; at the end of a task, as Python workers outlive it."""
-    _WORD_HASHES.clear()
-    pa.default_memory_pool().release_unused()
-
-
 def signature(hashes: np.ndarray) -> np.ndarray:
     """The densified one-permutation signature of a non-empty set of sorted hashes."""
     bits = np.uint64(64 - (BINS.bit_length() - 1))
@@ -132,7 +113,6 @@ def _described(df: DataFrame, id_col: str, text_col: str, size: int, percent: in
                     "bands": pa.array(keys, pa.list_(pa.int64())),
                 }
             )
-        forget()
 
     rows = df.selectExpr(f"cast(`{id_col}` as long) id", f"`{text_col}` text")
     return keep(rows.mapInArrow(run, "id long, n_shingles long, digest binary, bands array<long>"), "minhash-sets")
@@ -155,7 +135,6 @@ def _confirmed(edges: DataFrame, texts: DataFrame, size: int, percent: int) -> D
                     a.append(one)
                     b.append(hub)
             yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
-        forget()
 
     # Both joins can be split where a hub has many edges; rows come sorted by hub.
     rows = edges.join(texts.select(F.col("id").alias("a"), F.col("text").alias("a_text")), "a")
