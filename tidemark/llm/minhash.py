@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
-from tidemark.llm.shared import dealt_anew, keep, ship
+from tidemark.llm.shared import dealt_anew, keep, let_go, ship
 from tidemark.session import BROADCAST_ROWS, has_at_most
 
 #: Bins of a signature; bands of so many bins. At a similarity of 0.85 a pair shares no
@@ -113,6 +113,7 @@ def _described(df: DataFrame, id_col: str, text_col: str, size: int, percent: in
                     "bands": pa.array(keys, pa.list_(pa.int64())),
                 }
             )
+        let_go()
 
     rows = df.selectExpr(f"cast(`{id_col}` as long) id", f"`{text_col}` text")
     return keep(rows.mapInArrow(run, "id long, n_shingles long, digest binary, bands array<long>"), "minhash-sets")
@@ -135,6 +136,7 @@ def _confirmed(edges: DataFrame, texts: DataFrame, size: int, percent: int) -> D
                     a.append(one)
                     b.append(hub)
             yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+        let_go()
 
     # Both joins can be split where a hub has many edges; rows come sorted by hub.
     rows = edges.join(texts.select(F.col("id").alias("a"), F.col("text").alias("a_text")), "a")
@@ -192,7 +194,9 @@ def _rest(members: DataFrame, labels: DataFrame, texts: DataFrame, size: int, pe
     rows = rows.select("bucket", "id", "component", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame(_block_links(frame, size, percent), columns=["a", "b"], dtype="int64")
+        found = pd.DataFrame(_block_links(frame, size, percent), columns=["a", "b"], dtype="int64")
+        let_go()
+        return found
 
     return rows.join(texts, "id").groupBy("bucket", "i", "j").applyInPandas(run, "a long, b long")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import zipfile
@@ -48,6 +49,15 @@ def keep(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def let_go() -> None:
+    """Give memory that is no longer used back to the system, at the end of a task: Python workers outlive
+    their tasks, and what their allocators hold is missing to the executor's other work."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def dealt_anew(grouped: DataFrame) -> DataFrame:
     """``grouped``, not as its grouping dealt it: a join on the same key then shuffles both
     sides itself, and adaptive execution can split a key that is hot on the other side."""
@@ -62,6 +72,7 @@ def packed_texts(rows: DataFrame) -> DataFrame:
         for batch in batches:
             packed = [compressor.compress(t.encode()) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_pydict({"id": batch.column(0), "packed": pa.array(packed, pa.binary())})
+        let_go()
 
     return rows.mapInArrow(run, "id long, packed binary")
 

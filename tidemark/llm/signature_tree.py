@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
 from tidemark.llm.minhash import _mixed, shingles
-from tidemark.llm.shared import dealt_anew, keep, packed_texts, ship
+from tidemark.llm.shared import dealt_anew, keep, let_go, packed_texts, ship
 from tidemark.session import BROADCAST_ROWS, has_at_most
 
 #: Documents of a subtree that one task builds.
@@ -453,6 +453,7 @@ def _described(df: DataFrame, frequent: np.ndarray, buckets: int, size: int, per
                     yield from postings(held)
                     n = 0
         yield from postings(held)
+        let_go()
 
     return keep(df.select("id", "text").mapInArrow(run, _DESCRIBED), "signature-sets")
 

@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import dealt_anew, keep, packed_texts, ship
+from tidemark.llm.shared import dealt_anew, keep, let_go, packed_texts, ship
 from tidemark.llm.suffix_array import PART_END, common_prefixes, suffix_array
 
 #: Bytes of a repeat, and of a gram.
@@ -239,6 +239,8 @@ def _selected(rows: DataFrame, ranges: int, key_bits: int, length: int, gram: in
                     waiting, size, flushed = [], 0, flushed + 1
         if waiting:
             yield from flush()
+        waiting.clear()
+        let_go()
 
     found = rows.mapInArrow(run, "range int, blob binary, key long, digest long, id long, at int")
     return keep(found, "repeats-selected")
@@ -267,6 +269,7 @@ def _settled(frame: pd.DataFrame) -> pd.DataFrame:
     covered = len(settled_doc) + int(later.sum())
     found["key"] = pd.array(np.concatenate([np.zeros(covered, np.int64), key[left].view(np.int64)]), "Int64")
     found.loc[: covered - 1, "key"] = pd.NA
+    let_go()
     return found
 
 
@@ -360,6 +363,7 @@ def _spans(contexts: DataFrame, length: int) -> DataFrame:
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         ids, begins = frame["id"].to_numpy(np.int64), frame["begin"].to_numpy(np.int64)
         context, begin, end = repeats([bytes(c) for c in frame["context"]], ids, length)
+        let_go()
         return pd.DataFrame({"id": ids[context], "begin": begins[context] + begin, "end": begins[context] + end})
 
     dealt = contexts.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards)))

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import ship
+from tidemark.llm.shared import let_go, ship
 
 #: Lengths of the n-grams, in characters.
 LENGTHS = (3, 4, 5)
@@ -67,6 +67,7 @@ def _class_counts(labelled: DataFrame, lengths: tuple[int, ...], buckets: int) -
             for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 held[label, features(text, lengths, buckets)] += 1
                 rows[label] += 1
+        let_go()
         at = np.flatnonzero(held.any(axis=0))
         yield pa.RecordBatch.from_pydict(
             {
@@ -166,6 +167,8 @@ def train(
         if found:
             weights, constant = _logistic(found, np.array(labels, np.float64), ratio, steps, penalty)
             yield pd.DataFrame({"weights": [weights.tobytes()], "constant": [constant]})
+        del found, labels
+        let_go()
 
     one = sample(0).unionByName(sample(1)).select("text", "label").coalesce(1)
     (model,) = one.mapInPandas(fit, "weights binary, constant double").collect()
