@@ -120,7 +120,7 @@ def train(
     label_col: str = "label",
     key_col: str = "key",
     fit_rows: int = 4_000,
-    fit_features: int = 12_000_000,
+    fit_features: int = 18_000_000,
     lengths: tuple[int, ...] = LENGTHS,
     buckets: int = BUCKETS,
     steps: int = 80,
