@@ -84,6 +84,31 @@ def test_chunks(spark, tmp_path, small_splits, size):
         read_csv(spark, folder=str(tmp_path), chunk=(-1, 5))
 
 
+@pytest.fixture
+def splits_by_total(spark):
+    """The size of splits depends on the bytes of all files that a scan reads, as by default."""
+    names = ("spark.sql.files.minPartitionNum", "spark.sql.files.openCostInBytes")
+    before = [spark.conf.get(n, None) for n in names]
+    spark.conf.set(names[0], "40")
+    spark.conf.set(names[1], "1b")
+    yield
+    for name, value in zip(names, before):
+        spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def test_some_files_without_a_cut_record(spark, tmp_path, splits_by_total):
+    """What is read again of some files is split as when all were indexed."""
+    data = [(0, "a", "b")] * 400 + [(k, f"line {k}\n" * 30, "\n\n") for k in range(1, 41)] + [(41, "y", "z")] * 300
+    for k, rows in enumerate((data[:400], data[400:440], data[440:])):
+        _write(tmp_path / f"{k}.csv", rows)
+    found = read_csv(spark, folder=str(tmp_path), schema="k BIGINT, t STRING, u STRING", position="at")
+    assert found.rdd.getNumPartitions() > 10
+    assert [tuple(r)[:3] for r in found.orderBy("at").collect()] == data
+    for part, size in ((0, 150), (2, 150), (4, 100), (60, 7), (14, 50), (3, 200)):
+        chunk = read_csv(spark, folder=str(tmp_path), schema="k BIGINT", chunk=(part, size))
+        assert sorted(map(tuple, chunk.collect())) == sorted(data[part * size : (part + 1) * size])
+
+
 def test_only_overlapping_splits_are_parsed(spark, tmp_path, small_splits):
     path = tmp_path / "t.csv"
     _write(path, [(k, "x" * 50, "y") for k in range(200)])

@@ -39,8 +39,8 @@ class Layout:
     """What a split needs to know of the splits before it: ``{file: {block: (state, first place)}}``."""
 
     splits: dict[str, dict[int, tuple[int, int]]] = field(default_factory=dict)
-    #: Files some split of which begins inside a cell.
-    cut: list[str] = field(default_factory=list)
+    #: Splits that begin or end inside a cell.
+    cut: list[tuple[str, int]] = field(default_factory=list)
     records: int = 0
 
 
@@ -106,8 +106,8 @@ def layout(lines: DataFrame, header: bool) -> Layout:
                 raise ValueError(f"{last} ends inside a quoted cell")
             last, state = row["file"], 0
         found.splits.setdefault(row["file"], {})[row["block"]] = (state, place)
-        if state and found.cut[-1:] != [last]:
-            found.cut.append(last)
+        if state or row["parity"]:
+            found.cut.append((last, row["block"]))
         begun = row["inside" if state else "outside"]
         place += begun - (1 if header and row["block"] == 0 and begun else 0)
         state = (state + row["parity"]) % 2
@@ -250,8 +250,10 @@ def records(
     whole = parts.where(F.col("kind") == _WHOLE).select(columns)
     if found is None or not found.cut:
         return whole
-    # Only files that have a record in two splits are read for this.
-    cut = lines.where(F.col("file").isin(found.cut)).select("value", "file", "block").mapInArrow(run, _RECORDS)
+    # Only splits that have a part of a record are put together again. By a condition on files alone Spark would
+    # leave out the others, and then size the splits by the bytes that are left.
+    cut = F.broadcast(lines.sparkSession.createDataFrame(found.cut, "file string, block long"))
+    cut = lines.join(cut, ["file", "block"], "left_semi").select("value", "file", "block").mapInArrow(run, _RECORDS)
     return whole.unionByName(_joined(cut, sep, chunk).select(columns))
 
 
@@ -294,9 +296,7 @@ def _overlapping(lines: DataFrame, found: Layout, low: int, high: int) -> DataFr
     first, last = held[0], held[-1]
     while last + 1 < len(splits) and splits[last + 1][2] == 1:
         last += 1
-    (from_file, from_block), (to_file, to_block) = splits[first][:2], splits[last][:2]
-    return lines.where(
-        F.col("file").between(from_file, to_file)
-        & ((F.col("file") != from_file) | (F.col("block") >= from_block))
-        & ((F.col("file") != to_file) | (F.col("block") <= to_block))
-    )
+    # Both columns in one condition, as one on files alone would change the sizes of the splits.
+    at = F.struct("file", "block")
+    ends = [F.struct(F.lit(f).alias("file"), F.lit(b).cast("long").alias("block")) for f, b, *_ in (splits[first], splits[last])]
+    return lines.where((at >= ends[0]) & (at <= ends[1]))
