@@ -345,3 +345,16 @@ def test_chunk_runs_by_brute_force(spark, rows, least_run):
     found = rows(drop_chunks(df, least_run=least_run), "doc_id", "n_chunks", "n_dropped", "n_bytes", "n_removed", "text")
     assert found == sorted(expected, key=repr)
     assert any(r[4] for r in found)
+
+
+def test_ranges_hold_alike_many_grams(spark):
+    """Grams are selected for their small hashes, so ranges of one width would not."""
+    rng = random.Random(7)
+    given = [(k, "".join(rng.choices("abcdefghijklmnop ", k=20_000))) for k in range(20)]
+    rows = spark.createDataFrame(given, "id long, text string")
+    for ranges in (2, 16):
+        blobs = substring_dedup._selected(rows, ranges, 40, 50, 20, np.empty(0, np.uint64)).collect()
+        sizes = np.zeros(ranges)
+        for b in blobs:
+            sizes[b.range] += len(substring_dedup._unpack(b.blob)[0])
+        assert sizes.sum() > 20_000 and sizes.max() < 1.15 * sizes.mean()

@@ -177,19 +177,36 @@ def _among(key: np.ndarray, hot: np.ndarray) -> np.ndarray:
     return hot[np.minimum(np.searchsorted(hot, key), len(hot) - 1)] == key
 
 
-def _selected(rows: DataFrame, ranges: int, key_bits: int, length: int, gram: int, hot: np.ndarray) -> DataFrame:
-    """Rows ``range, blob`` of all but open places of hot grams, and rows ``key, digest, id, at`` of these.
+def _bounds(ranges: int, key_bits: int, reach: int) -> np.ndarray:
+    """Where ranges of the key begin that hold alike many selected grams.
 
-    Settled places are in ranges beyond the last, spread by task. Texts are gone through once.
+    A gram of hash x, as a share of all hashes, is selected if ``reach`` neighbours in a row have
+    greater ones: with a chance of ``(1 - x)**reach * (1 + reach * x)``, so small hashes stand out.
     """
-    kinds = {"range": pa.int32(), "blob": pa.binary(), "key": pa.int64(), "digest": pa.int64(), "id": pa.int64(), "at": pa.int32()}
 
-    def table(**columns: pa.Array) -> pa.RecordBatch:
-        n = len(next(iter(columns.values())))
-        return pa.RecordBatch.from_pydict({c: columns.get(c, pa.nulls(n, kind)) for c, kind in kinds.items()})
+    def beyond(x: np.ndarray) -> np.ndarray:
+        return (1 - x) ** (reach + 1) * ((reach + 2) - reach * (1 - x)) / 2
+
+    share = np.arange(ranges) / ranges
+    low, high = np.zeros(ranges), np.ones(ranges)
+    for _ in range(60):
+        middle = (low + high) / 2
+        before = 1 - beyond(middle) <= share
+        low, high = np.where(before, middle, low), np.where(before, high, middle)
+    low[0] = 0
+    return np.ceil(low * 2.0**key_bits).astype(np.uint64)
+
+
+def _selected(rows: DataFrame, ranges: int, key_bits: int, length: int, gram: int, hot: np.ndarray) -> DataFrame:
+    """``range, blob``: the selected places, of which texts are gone through once.
+
+    Settled places are in as many ranges beyond the last, spread by task, and open places of hot
+    grams in one beyond these, which no task takes whole.
+    """
+    begins = _bounds(ranges, key_bits, length - gram)
 
     def packed(number: int, blob: bytes) -> pa.RecordBatch:
-        return table(range=pa.array([number], pa.int32()), blob=pa.array([blob], pa.binary()))
+        return pa.RecordBatch.from_pydict({"range": pa.array([number], pa.int32()), "blob": pa.array([blob], pa.binary())})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[tuple[int, tuple[np.ndarray, ...]]] = []
@@ -207,21 +224,15 @@ def _selected(rows: DataFrame, ranges: int, key_bits: int, length: int, gram: in
             apart = _among(key, hot)
             part = apart & ~settled
             if part.any():
-                yield table(
-                    key=pa.array(key[part].view(np.int64)),
-                    digest=pa.array(digest[part].view(np.int64)),
-                    id=pa.array(docs[doc[part]]),
-                    at=pa.array(at[part], pa.int32()),
-                )
+                yield packed(2 * ranges, _pack(docs, key[part], digest[part], doc[part], at[part], settled[part]))
             if settled.any():
                 blob = _pack(docs, key[settled], digest[settled], doc[settled], at[settled], settled[settled])
                 yield packed(ranges + int(_mixed(np.array([task << 32 | flushed], np.uint64))[0] % np.uint64(ranges)), blob)
             in_range = ~settled & ~apart
             key, digest, doc, at = key[in_range], digest[in_range], doc[in_range], at[in_range]
             settled = np.zeros(len(key), bool)
-            # Equal ranges of the key, which is sorted.
-            bounds = np.searchsorted(key, np.array([-(-(k << key_bits) // ranges) for k in range(ranges)], np.uint64))
-            cuts = np.append(bounds, len(key)).tolist()
+            # Ranges of the key, which is sorted.
+            cuts = np.append(np.searchsorted(key, begins), len(key)).tolist()
             for k in range(ranges):
                 part = slice(cuts[k], cuts[k + 1])
                 if cuts[k] < cuts[k + 1]:
@@ -242,8 +253,21 @@ def _selected(rows: DataFrame, ranges: int, key_bits: int, length: int, gram: in
         waiting.clear()
         let_go()
 
-    found = rows.mapInArrow(run, "range int, blob binary, key long, digest long, id long, at int")
-    return keep(found, "repeats-selected")
+    return keep(rows.mapInArrow(run, "range int, blob binary"), "repeats-selected")
+
+
+def _unpacked(blobs: DataFrame) -> DataFrame:
+    """``key, digest, id, at``: the open places as rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for blob in batch.column(0).to_pylist():
+                key, digest, doc, at, *_ = _unpack(blob)
+                columns = {"key": key.view(np.int64), "digest": digest.view(np.int64), "id": doc, "at": at}
+                yield pa.RecordBatch.from_pydict({n: pa.array(v) for n, v in columns.items()})
+        let_go()
+
+    return blobs.select("blob").mapInArrow(run, "key long, digest long, id long, at int")
 
 
 def _settled_hot(table: DataFrame) -> DataFrame:
@@ -395,10 +419,9 @@ def drop_repeats(
     ranges = -(-grams // _RANGE)
     hot = _hot(named, grams, key_bits, length, gram)
     selected = _selected(named, ranges, key_bits, length, gram, hot)
-    in_ranges = selected.where("range is not null").select("range", "blob")
-    places = in_ranges.groupBy("range").applyInPandas(_settled, "id long, at int, key long")
+    places = selected.where(F.col("range") < 2 * ranges).groupBy("range").applyInPandas(_settled, "id long, at int, key long")
     if len(hot):
-        places = places.unionByName(_settled_hot(selected.where("key is not null").select("key", "digest", "id", "at")))
+        places = places.unionByName(_settled_hot(_unpacked(selected.where(F.col("range") == 2 * ranges))))
     places = keep(places, "repeats-places")
     contexts = keep(_contexts(named, places.where("key is not null"), length, gram), "repeats-contexts")
     spans = keep(_spans(contexts, length), "repeats-spans")
