@@ -1,11 +1,13 @@
 import hashlib
 import math
 import random
+import tracemalloc
 
 import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from tidemark.llm import toxicity
 from tidemark.llm.cover_tree import products, top_k
 from tidemark.llm.mixing import GRID, in_reading_order, mix, plan_mix, word_count
 from tidemark.llm.mixing_sql import mixing_sql
@@ -265,3 +267,15 @@ def test_fit_is_bounded_by_features(spark):
     assert np.array_equal(models[0].weights, models[1].weights) and models[0].constant == models[1].constant
     assert np.count_nonzero(models[0].weights) <= 8000
     assert np.count_nonzero(train(df, fit_features=10**6).weights) >= np.count_nonzero(models[0].weights)
+
+
+def test_the_fit_needs_little_memory_beyond_its_features():
+    """Six million features, in rows of different lengths; a step takes them in block by block."""
+    rng = np.random.default_rng(3)
+    rows = [np.flatnonzero(rng.random(1 << 18) < share).astype(np.int32) for share in np.linspace(0.01, 0.45, 100)]
+    n, labels = sum(map(len, rows)), np.arange(100) % 2.0
+    tracemalloc.start()
+    weights, _ = toxicity._logistic(rows, labels, rng.normal(size=1 << 18), 3, 1e-4)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n > 5_500_000 and peak < 14 * n and np.count_nonzero(weights) > 1000

@@ -26,6 +26,8 @@ LENGTHS = (3, 4, 5)
 BUCKETS = 1 << 18
 #: Fixed value: an odd multiplier that spreads sums over 32 bits.
 _SPREAD = np.uint32(2_654_435_761)
+#: Features that a step of the regression takes in at a time.
+_BLOCK = 1 << 19
 
 
 def features(text: str | None, lengths: tuple[int, ...] = LENGTHS, buckets: int = BUCKETS) -> np.ndarray:
@@ -90,25 +92,41 @@ def _logistic(rows: list[np.ndarray], labels: np.ndarray, ratio: np.ndarray, ste
     """Weights of a balanced logistic regression on rows scaled by ``ratio``.
 
     Adaptive steps that draw small weights to zero, so that the many n-grams which tell
-    nothing add nothing to the sum of a long text.
+    nothing add nothing to the sum of a long text. ``rows`` are emptied.
     """
-    ends = np.cumsum([0] + [len(x) for x in rows])
-    used, flat = np.unique(np.concatenate(rows), return_inverse=True)
-    flat, scale = flat.astype(np.int32), ratio[used]
-    owner = np.repeat(np.arange(len(rows), dtype=np.int32), np.diff(ends))
+    seen = np.zeros(len(ratio), bool)
+    for row in rows:
+        seen[row] = True
+    used = np.flatnonzero(seen)
+    scale, place = ratio[used], (np.cumsum(seen) - 1).astype(np.int32)
+    blocks, first = [], 0
+    while first < len(rows):
+        # A step needs little memory beyond the features then. Rows are dropped as they are taken in.
+        end, size = first, 0
+        while end < len(rows) and (end == first or size + len(rows[end]) <= _BLOCK):
+            end, size = end + 1, size + len(rows[end])
+        sizes = np.array([len(x) for x in rows[first:end]])
+        blocks.append((slice(first, end), sizes, place[np.concatenate(rows[first:end])]))
+        rows[first:end] = [None] * (end - first)
+        first = end
     balance = np.where(labels == 1, 0.5 / max(labels.sum(), 1), 0.5 / max((1 - labels).sum(), 1))
     weights, past = np.zeros(len(used)), np.full(len(used), 1e-12)
     constant, past_constant = 0.0, 1e-12
     for _ in range(steps):
-        sums = np.bincount(owner, (weights * scale)[flat], len(rows)) + constant
-        error = balance * (1 / (1 + np.exp(-np.clip(sums, -500, 500))) - labels)
-        slope = np.bincount(flat, error[owner], len(used)) * scale
+        slope, total, scaled = np.zeros(len(used)), 0.0, weights * scale
+        for part, sizes, flat in blocks:
+            owner = np.repeat(np.arange(len(sizes)), sizes)
+            sums = np.bincount(owner, scaled[flat], len(sizes)) + constant
+            error = balance[part] * (1 / (1 + np.exp(-np.clip(sums, -500, 500))) - labels[part])
+            slope += np.bincount(flat, error[owner], len(used))
+            total += error.sum()
+        slope *= scale
         past += slope**2
-        past_constant += error.sum() ** 2
+        past_constant += total**2
         step = 0.1 / np.sqrt(past)
         weights -= step * slope
         weights = np.sign(weights) * np.maximum(np.abs(weights) - step * penalty, 0)
-        constant -= 0.1 * error.sum() / np.sqrt(past_constant)
+        constant -= 0.1 * total / np.sqrt(past_constant)
     full = np.zeros(len(ratio))
     full[used] = weights * scale
     return full, constant
