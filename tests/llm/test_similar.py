@@ -147,3 +147,15 @@ def test_bitmaps_fold():
     small = np.zeros(len(full) * 16, bool)
     small[(hashes & np.uint64(len(full) * 16 - 1)).astype(np.int64)] = True
     assert (signature_tree._folded(full, len(full) // 4) == np.packbits(small).view(np.uint64)).all()
+
+
+def test_short_sets_below_the_threshold_are_told_apart():
+    """Each pair shares 34 of 46 shingles: few of a group's pairs are left to confirm, all of the linked ones."""
+    draw = np.random.default_rng(12)
+    base = draw.integers(0, 1 << 63, 34).astype(np.uint64)
+    sets = [np.unique(np.append(base, draw.integers(0, 1 << 63, 6).astype(np.uint64))) for _ in range(200)]
+    sets.append(sets[0])
+    bits = np.stack([bitmap(s) for s in sets])
+    tree = Nodes.leaves(bits, np.array([len(s) for s in sets]), np.arange(len(sets))).tree()
+    found = {(i, j) for a, b, _ in dual_traversal(tree, None, 80) for i, j in zip(a, b)}
+    assert (0, 200) in found and len(found) < len(sets) ** 2 / 200

@@ -36,6 +36,8 @@ from tidemark.session import BROADCAST_ROWS, has_at_most
 BLOCK = 1024
 #: Children of a node, and partners of a document in the first round.
 _FAN, _FOREMOST = 8, 4
+#: Bits of the smallest bitmap: in small ones many unlike shingles would share a bit, and their pairs be left to confirm.
+_LEAST_BITS = 1024
 #: One document in so many is looked at for frequent shingles, of which there are so many at most.
 _SAMPLE, FREQUENT = 16, 1 << 20
 #: Pairs of nodes looked at together; texts of a batch.
@@ -61,11 +63,11 @@ def _leading(n: int, percent: int) -> int:
 
 
 def bitmap(hashes: np.ndarray) -> np.ndarray:
-    """A bit for each hash, as 64-bit words: a power of two of bits, two for each hash or more.
+    """A bit for each hash, as 64-bit words: a power of two of bits, two for each hash or more, and ``_LEAST_BITS``.
 
     A shorter bitmap of the same set is the OR of the halves of a longer one.
     """
-    bits = max(64, 1 << (2 * len(hashes) - 1).bit_length())
+    bits = max(_LEAST_BITS, 1 << (2 * len(hashes) - 1).bit_length())
     taken = np.zeros(bits, bool)
     taken[(hashes & np.uint64(bits - 1)).astype(np.int64)] = True
     return np.packbits(taken).view(np.uint64)
@@ -319,8 +321,10 @@ def _across(blocks: DataFrame, percent: int, most: int | None) -> DataFrame:
     return rows.mapInArrow(cross, "a long, b long, spare long")
 
 
-def _candidates(members: DataFrame, labels: DataFrame | None, documents: DataFrame, percent: int, most: int | None, block: int) -> DataFrame:
-    """Pairs ``a, b`` of documents that share a list, may be linked, and are not known to be connected."""
+def _candidates(
+    members: DataFrame, labels: DataFrame | None, documents: DataFrame, percent: int, most: int | None, block: int, looked: DataFrame | None = None
+) -> DataFrame:
+    """Pairs ``a, b`` of documents that share a list, may be linked, and are not known to be connected; none of ``looked``."""
     component = F.col("id")
     if labels is not None:
         members = members.join(labels.withColumnRenamed("node", "id"), "id", "left")
@@ -336,7 +340,10 @@ def _candidates(members: DataFrame, labels: DataFrame | None, documents: DataFra
     pair = F.inline(F.arrays_zip("a", "b", "spare"))
     found = blocks.where("size(a) > 0").select(pair).unionByName(_across(blocks, percent, most))
     found = found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    return keep(found.select("a", "b").distinct(), "signature-candidates")
+    found = found.select("a", "b").distinct()
+    if looked is not None:
+        found = found.join(looked, ["a", "b"], "left_anti")
+    return keep(found, "signature-candidates")
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
@@ -552,13 +559,14 @@ def similar_classes(
     largest = members.groupBy("id").agg(F.max(F.struct("n", "g")).alias("most")).select("most.g").distinct()
     members = members.select("g", "id")
     first_lists = members.join(largest, "g", "left_semi")
-    links = _confirmed(_candidates(first_lists, None, documents, percent, _FOREMOST, block), texts, size, percent)
+    looked = _candidates(first_lists, None, documents, percent, _FOREMOST, block)
+    links = _confirmed(looked, texts, size, percent)
     # An identifier with several texts connects their classes.
     texts_of = described.where("digest is not null").groupBy("id").agg(F.min("digest").alias("least"), F.max("digest").alias("most"))
     several = described.join(texts_of.where("least < most").select("id"), "id", "left_semi").select(F.col("id").alias("a"), "digest")
     same = several.join(reps.select("digest", F.col("id").alias("b")), "digest").select("a", "b")
     labels = keep(components(links.unionByName(same)), "signature-components")
-    more = _confirmed(_candidates(members, labels, documents, percent, None, block), texts, size, percent)
+    more = _confirmed(_candidates(members, labels, documents, percent, None, block, looked), texts, size, percent)
     if not more.isEmpty():
         # The stars found so far stand for the links they come from.
         stars = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
