@@ -159,3 +159,22 @@ def test_short_sets_below_the_threshold_are_told_apart():
     tree = Nodes.leaves(bits, np.array([len(s) for s in sets]), np.arange(len(sets))).tree()
     found = {(i, j) for a, b, _ in dual_traversal(tree, None, 80) for i, j in zip(a, b)}
     assert (0, 200) in found and len(found) < len(sets) ** 2 / 200
+
+
+def test_rarer_shingles_are_frequent_where_they_fit(spark, monkeypatch):
+    """Those found least often that still fit come last, whatever the number of occurrences; never more than the bound."""
+    monkeypatch.setattr(signature_tree, "_SAMPLE", 1)
+    monkeypatch.setattr(signature_tree, "FREQUENT", 100)
+    draw = random.Random(14)
+
+    def text(shared):
+        return " ".join(f"o{draw.randrange(10**9)}" for _ in range(60)) + " " + " ".join(f"{shared}{k}" for k in range(5))
+
+    # 20 shingles that six documents share, and with 150 more that four share too many; some 45,000 occurrences.
+    six, four = [text(f"s{f}w") for f in range(20) for _ in range(6)], [text(f"f{f}w") for f in range(150) for _ in range(4)]
+    for texts, of in ((six + [text("a") for _ in range(2)], 20), (six + four, 20), (four[:320] + six, 100)):
+        df = spark.createDataFrame(list(enumerate(texts)), "id long, text string").repartition(4)
+        assert len(signature_tree._frequent(df, 5)[0]) == of
+    docs = list(enumerate([*six, *six[:30], *four[:60]]))
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    assert found_rows(similar_classes(df, block=16)) == brute_force(docs)

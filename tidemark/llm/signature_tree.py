@@ -40,6 +40,8 @@ _FAN, _FOREMOST = 8, 4
 _LEAST_BITS = 1024
 #: One document in so many is looked at for frequent shingles, of which there are so many at most.
 _SAMPLE, FREQUENT = 16, 1 << 20
+#: Times that a frequent shingle is found there at least.
+_OFTEN = 3
 #: Pairs of nodes looked at together; texts of a batch.
 _PAIRS, _TEXTS = 4096, 256
 #: Shingles of prefixes that a task holds before it deals them to buckets, and those of a bucket.
@@ -388,8 +390,16 @@ def _frequent(df: DataFrame, size: int) -> tuple[np.ndarray, int]:
     some = df.where(F.pmod(F.xxhash64("id"), F.lit(_SAMPLE)) == 0).select("text")
     counts = keep(some.mapInArrow(run, "shingle long").groupBy("shingle").agg(F.count(F.lit(1)).alias("n")), "signature-sample")
     total = counts.agg(F.sum("n")).first()[0] or 0
-    # Of all occurrences this share, so there are no more than its inverse.
-    often = counts.where(F.col("n") >= max(3, -(-total // FREQUENT))).select("shingle").toPandas()["shingle"]
+    # Those found this often are no more than ``FREQUENT``, being that share of all occurrences; most times rarer ones fit as well.
+    least = max(_OFTEN, -(-total // FREQUENT))
+    capped = counts.where(F.col("n") >= _OFTEN).groupBy(F.least("n", F.lit(least)).alias("n")).agg(F.count(F.lit(1)).alias("shingles"))
+    kinds, found = dict(capped.collect()), 0
+    for n in range(least, _OFTEN - 1, -1):
+        found += kinds.get(n, 0)
+        if found > FREQUENT:
+            break
+        least = n
+    often = counts.where(F.col("n") >= least).select("shingle").toPandas()["shingle"]
     return np.sort(often.to_numpy(np.int64).view(np.uint64)), total
 
 
