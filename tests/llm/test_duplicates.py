@@ -11,6 +11,7 @@ from tidemark.llm.exact_dedup import drop_copies, mark_copies
 from tidemark.llm.minhash import drop_near_duplicates, near_duplicates
 
 import numpy as np
+import pyarrow as pa
 
 
 def _norm(text):
@@ -358,3 +359,11 @@ def test_ranges_hold_alike_many_grams(spark):
         for b in blobs:
             sizes[b.range] += len(substring_dedup._unpack(b.blob)[0])
         assert sizes.sum() > 20_000 and sizes.max() < 1.15 * sizes.mean()
+
+
+def test_texts_are_taken_in_parts():
+    """A batch of Spark's 10,000 rows is worked on a few texts at a time, so that results aren't held for all of them."""
+    batch = pa.RecordBatch.from_pydict({"id": list(range(10_000)), "text": [f"text {k}" for k in range(10_000)]})
+    parts = list(substring_dedup._parts(iter([batch, batch.slice(0, 0), batch.slice(9_999)])))
+    assert max(p.num_rows for p in parts) <= 512
+    assert pa.Table.from_batches(parts) == pa.Table.from_batches([batch, batch.slice(9_999)])

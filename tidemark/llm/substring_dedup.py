@@ -42,6 +42,15 @@ _TEXT, _RANGE, _SHARD, _CROWDED = 1 << 23, 400_000, 20_000, 65_536
 _DIGEST_BITS = 48
 #: Places from which on a gram stays out of the ranges, as counted in one document of so many.
 _HOT, _SAMPLE = 65_536, 16
+#: Texts of a batch: Spark sends up to 10,000 at a time, and what a task makes of them would be held as well.
+_TEXTS = 512
+
+
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of ``_TEXTS`` rows at most."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, _TEXTS):
+            yield batch.slice(at, _TEXTS)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -238,7 +247,7 @@ def _selected(rows: DataFrame, ranges: int, key_bits: int, length: int, gram: in
                 if cuts[k] < cuts[k + 1]:
                     yield packed(k, _pack(docs, key[part], digest[part], doc[part], at[part], settled[part]))
 
-        for batch in batches:
+        for batch in _parts(batches):
             for one, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 data = text.encode()
                 found = select(data, length, gram)
@@ -302,7 +311,7 @@ def _contexts(rows: DataFrame, places: DataFrame, length: int, gram: int) -> Dat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
-        for batch in batches:
+        for batch in _parts(batches):
             out: dict[str, list] = {"key": [], "id": [], "begin": [], "context": []}
             columns = [batch.column(n).to_pylist() for n in ("id", "packed", "at", "key")]
             for one, packed, places_at, keys in zip(*columns, strict=True):
@@ -316,6 +325,7 @@ def _contexts(rows: DataFrame, places: DataFrame, length: int, gram: int) -> Dat
                         out["context"].append(data[begin:end])
             kinds = {"key": pa.int64(), "id": pa.int64(), "begin": pa.int32(), "context": pa.binary()}
             yield pa.RecordBatch.from_pydict({n: pa.array(v, kinds[n]) for n, v in out.items()})
+        let_go()
 
     by_doc = places.groupBy("id").agg(F.collect_list(F.struct("at", "key")).alias("p"))
     by_doc = by_doc.select("id", F.col("p.at").alias("at"), F.col("p.key").alias("key"))
@@ -434,7 +444,7 @@ def drop_repeats(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
-        for batch in batches:
+        for batch in _parts(batches):
             out: dict[str, list] = {"n_bytes": [], "n_removed": [], "spans": [], "kept": []}
             columns = [batch.column(n).to_pylist() for n in ("packed", "begin", "end")]
             for packed, begins, ends in zip(*columns, strict=True):
@@ -457,6 +467,7 @@ def drop_repeats(
             kinds = {"n_bytes": pa.int64(), "n_removed": pa.int64(), "kept": pa.binary()}
             kinds["spans"] = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
             yield pa.RecordBatch.from_pydict({id_col: batch.column("id")} | {n: pa.array(v, kinds[n]) for n, v in out.items()})
+        let_go()
 
     joined = packed_texts(rows).join(by_doc, "id", "left").select("id", "packed", "begin", "end")
     schema = f"`{id_col}` long, n_bytes long, n_removed long, spans array<struct<begin: long, end: long>>, kept binary"
