@@ -367,3 +367,58 @@ def test_texts_are_taken_in_parts():
     parts = list(substring_dedup._parts(iter([batch, batch.slice(0, 0), batch.slice(9_999)])))
     assert max(p.num_rows for p in parts) <= 512
     assert pa.Table.from_batches(parts) == pa.Table.from_batches([batch, batch.slice(9_999)])
+
+
+@pytest.mark.parametrize(("length", "gram"), [(50, 20), (31, 20), (27, 20), (20, 20)])
+def test_contexts_that_cannot_repeat_stay_out(length, gram):
+    """Most contexts of a gram have only some bytes beside it in common: no suffix array has to tell that."""
+    rng = random.Random(length)
+    room = length - gram
+    contexts, key, at, docs = [], [], [], []
+    for k in range(400):
+        which = rng.randrange(8)
+        around = random.Random(which)
+        before, word, after = (bytes(around.choice(b"abcd") for _ in range(n)) for n in (room, gram, room))
+        left, right = rng.randrange(room + 1), rng.randrange(room + 1)
+        own = [bytes(rng.choice(b"wxyz") for _ in range(room - n)) for n in (left, right)]
+        context = own[0] + before[room - left :] + word + after[:right] + own[1]
+        begin = rng.randrange(room + 1) if k % 5 == 0 else 0
+        contexts.append(context[begin:])
+        key.append(which - 4)
+        at.append(room - begin)
+        docs.append(rng.randrange(50))
+    found = substring_dedup.may_repeat(contexts, *(np.array(x, np.int64) for x in (key, at, docs)), length, gram)
+
+    def strings(k, size):
+        """The strings of a context that hold its gram, with the gram and where it lies in them."""
+        starts = range(max(0, at[k] + gram - size), min(at[k], len(contexts[k]) - size) + 1)
+        return {(key[k], at[k] - s, contexts[k][s : s + size]) for s in starts}
+
+    def shared(size):
+        holders = {}
+        for k in range(len(contexts)):
+            for s in strings(k, size):
+                holders.setdefault(s, set()).add(docs[k])
+        return np.array([any(len(holders[s]) > 1 for s in strings(k, size)) for k in range(len(contexts))])
+
+    assert not (shared(length) & ~found).any()
+    assert not (found & ~shared(length - -(-room // 3))).any()
+    assert length == gram or 0 < found.sum() < len(found)
+
+
+def test_texts_are_hashed_together():
+    """Grams are selected from neighbouring texts in one go; the texts stay apart."""
+    rng = random.Random(12)
+    texts = ["".join(rng.choices("ab é", k=rng.choice([0, 3, 19, 20, 49, 50, 51, 80, 300]))).encode() for _ in range(200)]
+    text, at, hashes, digest = substring_dedup.select(texts)
+    for k, data in enumerate(texts):
+        _, *alone = substring_dedup.select([data])
+        assert all((a == b[text == k]).all() for a, b in zip(alone, (at, hashes, digest), strict=True))
+        own = {data[a : a + 20]: h for a, h in zip(at[text == k].tolist(), hashes[text == k].tolist())}
+        # Every string of 50 bytes selects a gram, and short texts none.
+        for a in range(len(data) - 49):
+            assert any(data[p : p + 20] in own for p in range(a, a + 31))
+        assert len(data) >= 50 or not own
+    assert not len(substring_dedup.select([])[0]) and not len(substring_dedup.select([b"", b"a"])[0])
+    pieces = list(substring_dedup._joined((k, "é" * 40_000) for k in range(5)))
+    assert [p[0] for p in pieces] == [[0, 1], [2, 3], [4]] and sum(len(x) for p in pieces for x in p[1]) == 400_000

@@ -12,8 +12,9 @@ select: the up to 80 bytes of the 50-byte strings around a gram.
    first places of contexts whose gram has other contexts as well are left. Grams too frequent
    for a range, known from a sample of documents, go as rows: minima taken before the shuffle and
    a join that can be split find the first places of their contexts.
-3. These contexts are dealt by gram into shards; each shard gets a suffix array, and the
-   lengths of common prefixes tell which 50-byte strings are equal.
+3. These contexts are dealt by gram into shards. Of those that share 40 bytes around the gram with
+   another document, as any that share 50 do, each shard gets a suffix array, and the lengths of
+   common prefixes tell which 50-byte strings are equal.
 4. The covered bytes are cut out of the texts.
 """
 
@@ -44,6 +45,8 @@ _DIGEST_BITS = 48
 _HOT, _SAMPLE = 65_536, 16
 #: Texts of a batch: Spark sends up to 10,000 at a time, and what a task makes of them would be held as well.
 _TEXTS = 512
+#: Bytes of texts whose grams are hashed together: arrays of that many numbers stay in the processor's cache.
+_JOINED = 1 << 17
 
 
 def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -55,9 +58,12 @@ def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _mixed(x: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
-        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        return x ^ (x >> np.uint64(31))
+        x = x ^ (x >> np.uint64(30))
+        x *= np.uint64(0xBF58476D1CE4E5B9)
+        x ^= x >> np.uint64(27)
+        x *= np.uint64(0x94D049BB133111EB)
+        x ^= x >> np.uint64(31)
+        return x
 
 
 _BYTES = _mixed(np.arange(1, 257, dtype=np.uint64))
@@ -67,18 +73,21 @@ _BASE = 0x9E3779B97F4A7C15
 def _grams(data: np.ndarray, size: int) -> np.ndarray:
     """A polynomial hash of every gram, by doubling."""
     with np.errstate(over="ignore"):
-        doubled, length, total, covered = _BYTES[data], 1, None, 0
+        doubled, length, total, covered = np.take(_BYTES, data), 1, None, 0
         while True:
             if size & length:
                 if total is None:
                     total = doubled
                 else:
                     n = len(data) - covered - length + 1
-                    total = total[:n] * np.uint64(pow(_BASE, length, 1 << 64)) + doubled[covered : covered + n]
+                    total = total[:n] * np.uint64(pow(_BASE, length, 1 << 64))
+                    total += doubled[covered : covered + n]
                 covered += length
             if covered == size:
                 return _mixed(total)
-            doubled = doubled[:-length] * np.uint64(pow(_BASE, length, 1 << 64)) + doubled[length:]
+            following = doubled[length:]
+            doubled = doubled[:-length] * np.uint64(pow(_BASE, length, 1 << 64))
+            doubled += following
             length *= 2
 
 
@@ -89,22 +98,47 @@ def _running(values: np.ndarray, width: int, pick) -> np.ndarray:
     return pick(values[: len(values) - (width - size)], values[width - size :]) if size < width else values
 
 
-def select(data: bytes, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Places, hashes and context digests of the selected grams; none of a short text."""
-    raw = np.frombuffer(data, np.uint8)
+def select(texts: list[bytes], length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of the selected grams: the number of the text, the place in it, hash and context digest; none of short texts."""
+    sizes = np.array([len(t) for t in texts], np.int64)
+    ends = np.cumsum(sizes)
+    raw = np.frombuffer(b"".join(texts), np.uint8)
     if len(raw) < length:
-        return np.empty(0, np.int32), np.empty(0, np.uint64), np.empty(0, np.uint64)
+        return np.empty(0, np.int64), np.empty(0, np.int32), np.empty(0, np.uint64), np.empty(0, np.uint64)
     hashes, width = _grams(raw, gram), length - gram + 1
-    least = _running(hashes, width, np.minimum)
     edge = np.zeros(width - 1, np.uint64)
-    at = np.flatnonzero(hashes == _running(np.concatenate([edge, least, edge]), width, np.maximum))
-    begin, end = np.maximum(at - (length - gram), 0), np.minimum(at + length, len(raw))
+    least = np.concatenate([edge, _running(hashes, width, np.minimum), edge])
+    # Strings that cross from one text to the next select nothing.
+    across = (ends[:-1, None] - np.arange(1, length)).ravel()
+    least[across[(across >= 0) & (across <= len(raw) - length)] + width - 1] = 0
+    at = np.flatnonzero(hashes == _running(least, width, np.maximum))
+    text = np.searchsorted(ends, at, side="right")
+    inside = (at + gram <= ends[text]) & (sizes[text] >= length)
+    at, text = at[inside], text[inside]
+    start = ends[text] - sizes[text]
+    begin, end = np.maximum(at - (length - gram), start), np.minimum(at + length, ends[text])
     # Grams that overlap cover a context, so their hashes and its shape make its digest.
     digest = _mixed((at - begin).astype(np.uint64) * np.uint64(1 << 20) + (end - begin).astype(np.uint64))
     with np.errstate(over="ignore"):
-        for place in (begin, begin + gram, np.minimum(begin + 2 * gram, end - gram), end - gram):
-            digest = _mixed(digest * np.uint64(_BASE) + hashes[place])
-    return at.astype(np.int32), hashes[at], digest >> np.uint64(64 - _DIGEST_BITS)
+        for shift in (0, gram, 2 * gram, 2 * length):
+            digest = _mixed(digest * np.uint64(_BASE) + hashes[np.minimum(begin + shift, end - gram)])
+    return text, (at - start).astype(np.int32), hashes[at], digest >> np.uint64(64 - _DIGEST_BITS)
+
+
+def _joined(texts: Iterator[tuple[int, str]]) -> Iterator[tuple[list[int], list[bytes]]]:
+    """Identifiers and bytes of neighbouring texts, ``_JOINED`` bytes or one text at a time."""
+    ids: list[int] = []
+    found: list[bytes] = []
+    size = 0
+    for one, text in texts:
+        ids.append(one)
+        found.append(text.encode())
+        size += len(found[-1])
+        if size >= _JOINED:
+            yield ids, found
+            ids, found, size = [], [], 0
+    if ids:
+        yield ids, found
 
 
 def _planes(values: np.ndarray, width: int) -> bytes:
@@ -158,7 +192,12 @@ def _first_of_group(*keys: np.ndarray) -> np.ndarray:
 def _settle(key: np.ndarray, digest: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Order by key, context, document; in that order, starts of contexts and whether an
     earlier document has the context too."""
-    order = np.lexsort((doc, digest, key))
+    order = np.argsort(key)
+    # Most keys are there once; only the others are sorted on.
+    new = _first_of_group(key[order])
+    tied = np.flatnonzero(~(new & np.append(new[1:], True)[: len(new)]))
+    again = order[tied]
+    order[tied] = again[np.lexsort((doc[again], digest[again], key[again]))]
     key, digest, doc = key[order], digest[order], doc[order]
     first = _first_of_group(key, digest)
     least = doc[np.flatnonzero(first)][np.cumsum(first) - 1] if len(doc) else doc
@@ -169,9 +208,9 @@ def _hot(rows: DataFrame, grams: int, key_bits: int, length: int, gram: int) ->
     """Keys of frequent grams, sorted; about 4 million at most. Any choice gives the same result."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                key = select(text.encode(), length, gram)[1] >> np.uint64(64 - key_bits)
+        for batch in _parts(batches):
+            for _, texts in _joined((0, text) for text in batch.column(0).to_pylist()):
+                key = select(texts, length, gram)[2] >> np.uint64(64 - key_bits)
                 yield pa.RecordBatch.from_pydict({"key": pa.array(key.view(np.int64), pa.int64())})
 
     sample = rows.where(F.pmod(F.xxhash64("id"), F.lit(_SAMPLE)) == 0).select("text")
@@ -218,16 +257,15 @@ def _selected(rows: DataFrame, ranges: int, key_bits: int, length: int, gram: in
         return pa.RecordBatch.from_pydict({"range": pa.array([number], pa.int32()), "blob": pa.array([blob], pa.binary())})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting: list[tuple[int, tuple[np.ndarray, ...]]] = []
+        ids: list[int] = []
+        waiting: list[tuple[np.ndarray, ...]] = []
         size = flushed = 0
         task = TaskContext.get().partitionId()
 
         def flush() -> Iterator[pa.RecordBatch]:
-            waiting.sort(key=lambda x: x[0])
-            docs = np.array([i for i, _ in waiting], np.int64)
-            doc = np.repeat(np.arange(len(docs)), [len(x[0]) for _, x in waiting])
-            at, hashes, digest = (np.concatenate([x[k] for _, x in waiting]) for k in range(3))
-            key = hashes >> np.uint64(64 - key_bits)
+            doc, at, hashes, digest = (np.concatenate([x[k] for x in waiting]) for k in range(4))
+            docs, number = np.unique(np.array(ids, np.int64), return_inverse=True)
+            doc, key = number[doc], hashes >> np.uint64(64 - key_bits)
             order, _, settled = _settle(key, digest, docs[doc])
             key, digest, doc, at = key[order], digest[order], doc[order], at[order]
             apart = _among(key, hot)
@@ -248,15 +286,14 @@ def _selected(rows: DataFrame, ranges: int, key_bits: int, length: int, gram: in
                     yield packed(k, _pack(docs, key[part], digest[part], doc[part], at[part], settled[part]))
 
         for batch in _parts(batches):
-            for one, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                data = text.encode()
-                found = select(data, length, gram)
-                size += len(data)
-                if len(found[0]):
-                    waiting.append((one, found))
-                if size >= _TEXT and waiting:
+            for some, texts in _joined(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
+                text, *found = select(texts, length, gram)
+                waiting.append((text + len(ids), *found))
+                ids += some
+                size += sum(map(len, texts))
+                if size >= _TEXT:
                     yield from flush()
-                    waiting, size, flushed = [], 0, flushed + 1
+                    ids, waiting, size, flushed = [], [], 0, flushed + 1
         if waiting:
             yield from flush()
         waiting.clear()
@@ -307,12 +344,12 @@ def _settled(frame: pd.DataFrame) -> pd.DataFrame:
 
 
 def _contexts(rows: DataFrame, places: DataFrame, length: int, gram: int) -> DataFrame:
-    """``key, id, begin, context`` of the places left open."""
+    """``key, id, begin, gram, context`` of the places left open; ``gram`` is its gram's place in a context."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
         for batch in _parts(batches):
-            out: dict[str, list] = {"key": [], "id": [], "begin": [], "context": []}
+            out: dict[str, list] = {"key": [], "id": [], "begin": [], "gram": [], "context": []}
             columns = [batch.column(n).to_pylist() for n in ("id", "packed", "at", "key")]
             for one, packed, places_at, keys in zip(*columns, strict=True):
                 data = unpack.decompress(packed)
@@ -322,15 +359,51 @@ def _contexts(rows: DataFrame, places: DataFrame, length: int, gram: int) -> Dat
                         out["key"].append(key)
                         out["id"].append(one)
                         out["begin"].append(begin)
+                        out["gram"].append(at - begin)
                         out["context"].append(data[begin:end])
-            kinds = {"key": pa.int64(), "id": pa.int64(), "begin": pa.int32(), "context": pa.binary()}
+            kinds = {"key": pa.int64(), "id": pa.int64(), "begin": pa.int32(), "gram": pa.int32(), "context": pa.binary()}
             yield pa.RecordBatch.from_pydict({n: pa.array(v, kinds[n]) for n, v in out.items()})
         let_go()
 
     by_doc = places.groupBy("id").agg(F.collect_list(F.struct("at", "key")).alias("p"))
     by_doc = by_doc.select("id", F.col("p.at").alias("at"), F.col("p.key").alias("key"))
     joined = packed_texts(rows).join(by_doc, "id").select("id", "packed", "at", "key")
-    return joined.mapInArrow(run, "key long, id long, begin int, context binary")
+    return joined.mapInArrow(run, "key long, id long, begin int, gram int, context binary")
+
+
+def may_repeat(
+    contexts: list[bytes], key: np.ndarray, at: np.ndarray, docs: np.ndarray, length: int = LENGTH, gram: int = GRAM
+) -> np.ndarray:
+    """Which contexts have bytes around their gram in common with a context of the same gram in another document.
+
+    A string of ``length`` bytes reaches over its gram by ``length - gram`` bytes in all. However they are
+    divided between both sides, it holds one of three strings that reach over by two thirds of that, so
+    contexts that share none of these have no string of ``length`` bytes in common through the gram.
+    """
+    sizes = np.array([len(c) for c in contexts], np.int64)
+    # Behind the last context are zeros to read whole words from.
+    raw = np.frombuffer(b"".join(contexts) + bytes(length + 8), np.uint8)
+    begins = np.cumsum(sizes) - sizes
+    room = length - gram
+    step = -(-room // 3)
+    size = length - step
+    found = np.zeros(len(contexts), bool)
+    for left in {*range(0, room - step, max(step, 1)), room - step}:
+        whole = np.flatnonzero((at >= left) & (at - left + size <= sizes))
+        if not len(whole):
+            continue
+        strings = np.zeros((len(whole), -(-size // 8) * 8), np.uint8)
+        strings[:, :size] = raw[(begins + at - left)[whole, None] + np.arange(size)]
+        value = _mixed(key[whole].view(np.uint64))
+        with np.errstate(over="ignore"):
+            for word in strings.view("<u8").T:
+                value = _mixed(value * np.uint64(_BASE) + word)
+        order = np.argsort(value)
+        new = _first_of_group(value[order])
+        groups, doc = np.flatnonzero(new), docs[whole][order]
+        shared = np.minimum.reduceat(doc, groups) < np.maximum.reduceat(doc, groups)
+        found[whole[order]] |= shared[np.cumsum(new) - 1]
+    return found
 
 
 def repeats(contexts: list[bytes], docs: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -384,7 +457,7 @@ def _crowded(contexts: DataFrame, length: int) -> DataFrame:
     return found.select("id", F.col("at").alias("begin"), (F.col("at") + length).alias("end"))
 
 
-def _spans(contexts: DataFrame, length: int) -> DataFrame:
+def _spans(contexts: DataFrame, length: int, gram: int) -> DataFrame:
     """``id, begin, end``: bytes covered by repeats among the contexts."""
     sizes = contexts.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
     crowded = keep(sizes.where(F.col("n") > _CROWDED).select("key"), "repeats-crowded-keys")
@@ -395,8 +468,11 @@ def _spans(contexts: DataFrame, length: int) -> DataFrame:
     shards = max(1, -(-contexts.count() // _SHARD))
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        ids, begins = frame["id"].to_numpy(np.int64), frame["begin"].to_numpy(np.int64)
-        context, begin, end = repeats([bytes(c) for c in frame["context"]], ids, length)
+        key, ids, begins, at = (frame[n].to_numpy(np.int64) for n in ("key", "id", "begin", "gram"))
+        contexts = [bytes(c) for c in frame["context"]]
+        left = np.flatnonzero(may_repeat(contexts, key, at, ids, length, gram))
+        ids, begins = ids[left], begins[left]
+        context, begin, end = repeats([contexts[k] for k in left.tolist()], ids, length)
         let_go()
         return pd.DataFrame({"id": ids[context], "begin": begins[context] + begin, "end": begins[context] + end})
 
@@ -434,7 +510,7 @@ def drop_repeats(
         places = places.unionByName(_settled_hot(_unpacked(selected.where(F.col("range") == 2 * ranges))))
     places = keep(places, "repeats-places")
     contexts = keep(_contexts(named, places.where("key is not null"), length, gram), "repeats-contexts")
-    spans = keep(_spans(contexts, length), "repeats-spans")
+    spans = keep(_spans(contexts, length, gram), "repeats-spans")
 
     covered = places.where("key is null").select(
         "id", (F.col("at") - (length - gram)).alias("begin"), (F.col("at") + length).alias("end")
@@ -449,17 +525,17 @@ def drop_repeats(
             columns = [batch.column(n).to_pylist() for n in ("packed", "begin", "end")]
             for packed, begins, ends in zip(*columns, strict=True):
                 data = unpack.decompress(packed)
-                gone = np.zeros(len(data) + 1, np.int32)
-                if begins:
-                    a = np.maximum(np.array(begins), 0)
-                    b = np.minimum(np.array(ends), len(data))
-                    long = b - a >= length
-                    np.add.at(gone, a[long], 1)
-                    np.add.at(gone, b[long], -1)
-                inside = np.concatenate([[False], np.cumsum(gone[:-1]) > 0, [False]])
-                edges = np.flatnonzero(inside[1:] != inside[:-1]).tolist()
-                removed = list(zip(edges[::2], edges[1::2], strict=True))
-                kept = [data[a:b] for a, b in zip([0, *edges[1::2]], [*edges[::2], len(data)], strict=True)]
+                removed: list[list[int]] = []
+                for begin, end in sorted(zip(begins or (), ends or (), strict=True)):
+                    begin, end = max(begin, 0), min(end, len(data))
+                    if end - begin < length:
+                        continue
+                    if removed and begin <= removed[-1][1]:
+                        removed[-1][1] = max(removed[-1][1], end)
+                    else:
+                        removed.append([begin, end])
+                cuts = [0, *(x for run in removed for x in run), len(data)]
+                kept = [data[a:b] for a, b in zip(cuts[::2], cuts[1::2], strict=True)]
                 out["n_bytes"].append(len(data))
                 out["n_removed"].append(sum(b - a for a, b in removed))
                 out["spans"].append([{"begin": a, "end": b} for a, b in removed])
