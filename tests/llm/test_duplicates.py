@@ -422,3 +422,20 @@ def test_texts_are_hashed_together():
     assert not len(substring_dedup.select([])[0]) and not len(substring_dedup.select([b"", b"a"])[0])
     pieces = list(substring_dedup._joined((k, "é" * 40_000) for k in range(5)))
     assert [p[0] for p in pieces] == [[0, 1], [2, 3], [4]] and sum(len(x) for p in pieces for x in p[1]) == 400_000
+
+
+def test_a_lost_range_fails(spark, monkeypatch):
+    """Selected places that come back without their range aren't left out silently."""
+    kept = substring_dedup.keep
+
+    def losing(df, label):
+        df = kept(df, label)
+        return df.selectExpr("if(range = 0, null, range) range", "blob") if label == "repeats-selected" else df
+
+    rng = random.Random(3)
+    passage = "".join(rng.choices("abcdefgh", k=90))
+    df = spark.createDataFrame([(k, f"{k} {passage}") for k in range(4)], "doc_id long, text string")
+    assert sum(r.n_removed > 80 for r in substring_dedup.drop_repeats(df).collect()) == 3
+    monkeypatch.setattr(substring_dedup, "keep", losing)
+    with pytest.raises(Exception, match="selected places without a range"):
+        substring_dedup.drop_repeats(df).collect()

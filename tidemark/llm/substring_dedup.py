@@ -299,7 +299,10 @@ def _selected(rows: DataFrame, ranges: int, key_bits: int, length: int, gram: in
         waiting.clear()
         let_go()
 
-    return keep(rows.mapInArrow(run, "range int, blob binary"), "repeats-selected")
+    selected = keep(rows.mapInArrow(run, "range int, blob binary"), "repeats-selected")
+    # Conditions on the range would leave a row without one out, and its places with it.
+    number = F.coalesce("range", F.raise_error(F.lit("selected places without a range")))
+    return selected.select(number.alias("range"), "blob")
 
 
 def _unpacked(blobs: DataFrame) -> DataFrame:
